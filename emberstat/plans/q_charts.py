@@ -1 +1,297 @@
-"""placeholder"""
+"""Group D queries: the statistics behind the charts."""
+
+from __future__ import annotations
+
+import math
+
+from pyspark.sql import functions as F
+
+from ..functions.clean import knuth_hash32, round_r
+from ..operators import charts, reshape
+from ..operators.joins import row_index
+from ..operators.sampling import sample_n
+from ..sources.tables import table
+from . import standins as si
+from .registry import query
+from .sqlparts import AIR, DIAMONDS, MONTHLY, with_
+
+SQRT_2PI = repr(math.sqrt(2 * math.pi))
+R6 = lambda c: F.round(c, 6)
+R10 = lambda c: F.round(c, 10)
+
+
+@query("bar_count", with_(DIAMONDS) + "SELECT cut, count(*) AS count FROM diamonds GROUP BY 1")
+def bar_count(spark, sf):
+    return charts.stat_count(si.diamonds(spark, sf), "cut")
+
+
+@query("bar_stacked", with_(DIAMONDS) + """
+SELECT cut, clarity, count,
+       CAST(sum(count) OVER (PARTITION BY cut ORDER BY clarity DESC ROWS UNBOUNDED PRECEDING) AS BIGINT) AS ymax,
+       CAST(sum(count) OVER (PARTITION BY cut ORDER BY clarity DESC ROWS UNBOUNDED PRECEDING) AS BIGINT) - count AS ymin
+FROM (SELECT cut, clarity, count(*) AS count FROM diamonds GROUP BY 1, 2)""")
+def bar_stacked(spark, sf):
+    return charts.stat_stack(charts.stat_count(si.diamonds(spark, sf), "cut", "clarity"), "cut", "clarity")
+
+
+ORDER_TOTALS = """
+totals AS (SELECT o_orderpriority AS x, o_orderstatus AS fill, round(sum(o_totalprice) / 1000000, 3) AS value
+           FROM orders GROUP BY 1, 2)"""
+
+
+def _order_totals(spark, sf):
+    return table(spark, sf, "orders").groupBy(F.col("o_orderpriority").alias("x"), F.col("o_orderstatus").alias(
+        "fill")).agg(F.round(F.sum("o_totalprice") / 1000000, 3).alias("value"))
+
+
+@query("bar_identity", with_(ORDER_TOTALS) + """
+SELECT x, fill, value,
+       round(sum(value) OVER (PARTITION BY x ORDER BY fill DESC ROWS UNBOUNDED PRECEDING), 6) AS ymax,
+       round(sum(value) OVER (PARTITION BY x ORDER BY fill DESC ROWS UNBOUNDED PRECEDING) - value, 6) AS ymin
+FROM totals""")
+def bar_identity(spark, sf):
+    """Pre-aggregated values drawn as given (no counting), stacked."""
+    s = charts.stat_stack(_order_totals(spark, sf), "x", "fill", "value")
+    return s.select("x", "fill", "value", R6("ymax").alias("ymax"), R6("ymin").alias("ymin"))
+
+
+@query("bar_dodge", with_(ORDER_TOTALS) + """
+SELECT x, fill, value, x_level, bar_index, bars,
+       round(x_level + (bar_index - (bars + 1) / 2) * 0.9 / bars, 6) AS xpos, round_even(value, 1) AS label
+FROM (SELECT *, dense_rank() OVER (ORDER BY x) AS x_level, dense_rank() OVER (PARTITION BY x ORDER BY fill) AS bar_index,
+             count(*) OVER (PARTITION BY x) AS bars FROM totals)""")
+def bar_dodge(spark, sf):
+    d = reshape.dodge(_order_totals(spark, sf), "x", "fill", 0.9)
+    return d.select("x", "fill", "value", "x_level", F.col("bar_index").cast("long").alias("bar_index"), "bars",
+                    R6("xpos").alias("xpos"), round_r("value", 1).alias("label"))
+
+
+def _hist_sql(by: str | None) -> str:
+    part = f"PARTITION BY {by}" if by else ""
+    sel = f"{by}, " if by else ""
+    grid = (f"(SELECT * FROM (SELECT DISTINCT {by} FROM diamonds) p, (SELECT range + 1 AS bin FROM range(30)) g) pg"
+            if by else "(SELECT range + 1 AS bin FROM range(30)) g")
+    return with_(DIAMONDS) + f""", e AS (SELECT (max(price) - min(price)) / 29 AS width, min(price) AS mn FROM diamonds),
+e2 AS (SELECT mn - width / 2 AS origin, width FROM e),
+c AS (SELECT {sel}CAST(least(greatest(ceil((price - origin) / width), 1), 30) AS BIGINT) AS bin, count(*) AS count
+      FROM diamonds, e2 GROUP BY ALL),
+f AS (SELECT {sel}bin, CAST(coalesce(count, 0) AS BIGINT) AS count FROM {grid} LEFT JOIN c USING ({sel}bin))
+SELECT {sel}bin, round(origin + (bin - 1) * width, 6) AS xmin, round(origin + (bin - 1) * width + width, 6) AS xmax,
+       round(origin + (bin - 1) * width + width / 2, 6) AS x, count,
+       round(count / width / sum(count) OVER ({part}), 12) AS density,
+       round(count / max(count) OVER ({part}), 12) AS ncount
+FROM f, e2"""
+
+
+def _hist_out(h, by=()):
+    return h.select(*by, "bin", R6("xmin").alias("xmin"), R6("xmax").alias("xmax"), R6("x").alias("x"), "count",
+                    F.round("density", 12).alias("density"), F.round("ncount", 12).alias("ncount"))
+
+
+@query("histogram", _hist_sql(None))
+def histogram(spark, sf):
+    return _hist_out(charts.stat_bin(si.diamonds(spark, sf), "price", 30))
+
+
+@query("histogram_facet", _hist_sql("cut"))
+def histogram_facet(spark, sf):
+    return _hist_out(charts.stat_bin(si.diamonds(spark, sf), "price", 30, by=["cut"]), ["cut"])
+
+
+BOX_SQL = """
+WITH q AS (SELECT event_type, count(*) AS n, quantile_cont(value, 0.25) AS lower, quantile_cont(value, 0.5) AS middle,
+                  quantile_cont(value, 0.75) AS upper FROM events WHERE value IS NOT NULL GROUP BY 1),
+f AS (SELECT *, lower - 1.5 * (upper - lower) AS lo, upper + 1.5 * (upper - lower) AS hi FROM q)"""
+
+
+@query("box_stats", BOX_SQL + """
+SELECT event_type, n, round(least(lower, min(value) FILTER (WHERE value BETWEEN lo AND hi)), 6) AS ymin,
+       round(lower, 6) AS lower, round(middle, 6) AS middle, round(upper, 6) AS upper,
+       round(greatest(upper, max(value) FILTER (WHERE value BETWEEN lo AND hi)), 6) AS ymax,
+       round(middle - 1.58 * (upper - lower) / sqrt(n), 6) AS notchlower,
+       round(middle + 1.58 * (upper - lower) / sqrt(n), 6) AS notchupper,
+       count(*) FILTER (WHERE NOT (value BETWEEN lo AND hi)) AS outliers
+FROM events JOIN f USING (event_type) WHERE value IS NOT NULL
+GROUP BY event_type, n, lower, middle, upper""")
+def box_stats(spark, sf):
+    b = charts.box_stats(table(spark, sf, "events"), "event_type", "value")
+    return b.select("event_type", "n", *[R6(c).alias(c) for c in
+                                         ("ymin", "lower", "middle", "upper", "ymax", "notchlower", "notchupper")],
+                    "outliers")
+
+
+@query("box_outliers", BOX_SQL + """
+SELECT event_id, event_type, value FROM events JOIN f USING (event_type) WHERE value < lo OR value > hi""")
+def box_outliers(spark, sf):
+    return charts.box_outliers(table(spark, sf, "events"), "event_type", "value", keep=["event_id"]).select(
+        "event_id", "event_type", "value")
+
+
+DENSITY_SQL = with_(DIAMONDS) + f""",
+q AS (SELECT cut, count(*) AS n, stddev_samp(carat) AS sd, quantile_cont(carat, 0.25) AS q1,
+             quantile_cont(carat, 0.75) AS q3 FROM diamonds GROUP BY 1),
+b AS (SELECT cut, n, 0.9 * (CASE WHEN least(sd, (q3 - q1) / 1.34) > 0 THEN least(sd, (q3 - q1) / 1.34)
+                                 WHEN sd > 0 THEN sd ELSE 1 END) * pow(CAST(n AS DOUBLE), -0.2) AS bw FROM q),
+r AS (SELECT min(carat) AS lo, max(carat) AS hi FROM diamonds),
+g AS (SELECT range AS i, lo + range * (hi - lo) / 511 AS gx FROM range(512), r),
+p AS (SELECT cut, carat, CAST(count(*) AS DOUBLE) AS w FROM diamonds GROUP BY 1, 2),
+k AS (SELECT cut, i, gx, sum(w * exp(-0.5 * ((gx - carat) / bw) * ((gx - carat) / bw))) / (n * bw * {SQRT_2PI}) AS density, n
+      FROM p JOIN b USING (cut), g GROUP BY cut, i, gx, n, bw)
+SELECT cut, i, round(gx, 10) AS x, round(density, 10) AS density, round(density * n, 6) AS count,
+       round(density / max(density) OVER (PARTITION BY cut), 10) AS scaled, n FROM k"""
+
+
+@query("density_1d", DENSITY_SQL)
+def density_1d(spark, sf):
+    d = charts.stat_density(si.diamonds(spark, sf), "carat", by=["cut"], n=512)
+    return d.select("cut", "i", R10("x").alias("x"), R10("density").alias("density"), R6("count").alias("count"),
+                    R10("scaled").alias("scaled"), "n")
+
+
+DENSITY2_SQL = with_(DIAMONDS) + """,
+hx AS (SELECT 4 * 1.06 * least(stddev_samp(carat), (quantile_cont(carat, 0.75) - quantile_cont(carat, 0.25)) / 1.34)
+              * pow(CAST(count(*) AS DOUBLE), -0.2) / 4 AS h FROM diamonds),
+hy AS (SELECT 4 * 1.06 * least(stddev_samp(depth), (quantile_cont(depth, 0.75) - quantile_cont(depth, 0.25)) / 1.34)
+              * pow(CAST(count(*) AS DOUBLE), -0.2) / 4 AS h FROM diamonds),
+r AS (SELECT min(carat) AS x0, max(carat) AS x1, min(depth) AS y0, max(depth) AS y1, count(*) AS n FROM diamonds),
+g AS (SELECT a.range AS ix, b.range AS iy, x0 + a.range * (x1 - x0) / 24 AS gx, y0 + b.range * (y1 - y0) / 24 AS gy
+      FROM range(25) a, range(25) b, r),
+p AS (SELECT carat, depth, CAST(count(*) AS DOUBLE) AS w FROM diamonds GROUP BY 1, 2)
+SELECT ix, iy, round(gx, 10) AS x, round(gy, 10) AS y,
+       round(sum(w * exp(-0.5 * (((gx - carat) / hx.h) * ((gx - carat) / hx.h) + ((gy - depth) / hy.h) * ((gy - depth) / hy.h))))
+             / (max(n) * max(hx.h) * max(hy.h) * 2 * pi()), 12) AS density
+FROM p, g, hx, hy, r GROUP BY ix, iy, gx, gy"""
+
+
+@query("density_2d", DENSITY2_SQL)
+def density_2d(spark, sf):
+    d = charts.stat_density_2d(si.diamonds(spark, sf), "carat", "depth", n=25)
+    return d.select("ix", "iy", R10("x").alias("x"), R10("y").alias("y"), F.round("density", 12).alias("density"))
+
+
+POLY_SQL = with_(DIAMONDS) + """,
+m AS (SELECT clarity, avg(carat) AS xbar FROM diamonds GROUP BY 1),
+s AS (SELECT clarity, count(*) AS n, any_value(xbar) AS xbar, sum(carat - xbar) AS s1, sum((carat - xbar) * (carat - xbar)) AS s2,
+             sum((carat - xbar) * (carat - xbar) * (carat - xbar)) AS s3,
+             sum((carat - xbar) * (carat - xbar) * (carat - xbar) * (carat - xbar)) AS s4,
+             sum(price) AS t0, sum((carat - xbar) * price) AS t1, sum((carat - xbar) * (carat - xbar) * price) AS t2,
+             sum(price * price) AS syy, min(carat) AS xmin, max(carat) AS xmax
+      FROM diamonds JOIN m USING (clarity) GROUP BY 1),
+d AS (SELECT *, n * (s2 * s4 - s3 * s3) - s1 * (s1 * s4 - s3 * s2) + s2 * (s1 * s3 - s2 * s2) AS det FROM s),
+a AS (SELECT *, (t0 * (s2 * s4 - s3 * s3) - s1 * (t1 * s4 - s3 * t2) + s2 * (t1 * s3 - s2 * t2)) / det AS a0,
+                (n * (t1 * s4 - s3 * t2) - t0 * (s1 * s4 - s3 * s2) + s2 * (s1 * t2 - t1 * s2)) / det AS a1,
+                (n * (s2 * t2 - t1 * s3) - s1 * (s1 * t2 - t1 * s2) + t0 * (s1 * s3 - s2 * s2)) / det AS a2 FROM d)
+SELECT clarity, n, round(xbar, 9) AS xbar, round(a0, 4) AS a0, round(a1, 4) AS a1, round(a2, 6) AS a2,
+       round(a0 - a1 * xbar + a2 * xbar * xbar, 4) AS b0, round(a1 - 2 * a2 * xbar, 4) AS b1, round(a2, 6) AS b2,
+       round((syy - a0 * t0 - a1 * t1 - a2 * t2) / (n - 3) / 1000000, 3) AS sigma2_m, xmin, xmax FROM a"""
+
+
+@query("poly_fit", POLY_SQL)
+def poly_fit(spark, sf):
+    """price ~ poly(carat, 2) per clarity."""
+    p = charts.poly_fit(si.diamonds(spark, sf), "carat", "price", ["clarity"])
+    return p.select("clarity", "n", F.round("xbar", 9).alias("xbar"), F.round("a0", 4).alias("a0"),
+                    F.round("a1", 4).alias("a1"), F.round("a2", 6).alias("a2"), F.round("b0", 4).alias("b0"),
+                    F.round("b1", 4).alias("b1"), F.round("b2", 6).alias("b2"),
+                    F.round(F.col("sigma2") / 1000000, 3).alias("sigma2_m"), "xmin", "xmax")
+
+
+@query("poly_smooth")
+def poly_smooth(spark, sf):
+    """Fitted curve with a 95 % band, 80 points per clarity."""
+    return charts.poly_smooth(si.diamonds(spark, sf), "carat", "price", ["clarity"], n=80)
+
+
+@query("scatter_points", with_(DIAMONDS) + """
+SELECT carat, price, clarity FROM diamonds
+ORDER BY ((((row_key + 12345) % 4294967296) // 65536 * 2654435761) % 65536 * 65536
+          + ((row_key + 12345) % 65536) * 2654435761) % 4294967296,
+         carat, cut, color, clarity, depth, price, row_key
+LIMIT 1000""")
+def scatter_points(spark, sf):
+    """A reproducible 1000-row sample (hash of the row key with seed 12345)."""
+    d = si.diamonds(spark, sf)
+    return sample_n(d, 1000, seed=12345, order=[knuth_hash32(F.col("row_key") + 12345)]).select(
+        "carat", "price", "clarity")
+
+
+@query("sample_exact")
+def sample_exact(spark, sf):
+    """Exactly 1000 lineitems, reproducible for a seed whatever the partitioning."""
+    return sample_n(table(spark, sf, "lineitem"), 1000, seed=12345)
+
+
+@query("facet_counts", with_(DIAMONDS) + """,
+p AS (SELECT cut, CAST(dense_rank() OVER (ORDER BY cut) AS BIGINT) AS panel, count(*) OVER () AS np
+      FROM (SELECT DISTINCT cut FROM diamonds))
+SELECT cut, clarity, count(*) AS count, panel,
+       CAST(floor((panel - 1) / ceil(sqrt(np))) + 1 AS BIGINT) AS "row",
+       CAST((panel - 1) % CAST(ceil(sqrt(np)) AS BIGINT) + 1 AS BIGINT) AS col
+FROM diamonds JOIN p USING (cut) GROUP BY cut, clarity, panel, np""")
+def facet_counts(spark, sf):
+    d = si.diamonds(spark, sf)
+    counts = charts.stat_count(d, "clarity", "cut")
+    return counts.join(charts.facet_panels(d, "cut"), on="cut").select("cut", "clarity", "count", "panel", "row", "col")
+
+
+@query("line_series", with_(AIR) + """
+SELECT NewDate, Ozone, row_number() OVER (ORDER BY NewDate, Ozone) AS pos
+FROM (SELECT CAST(try_strptime(concat_ws('/', Month, Day, '2024'), '%m/%d/%Y') AS DATE) AS NewDate, Ozone
+      FROM air WHERE Ozone IS NOT NULL)""")
+def line_series(spark, sf):
+    """Ozone over time: points in x order (``geom_line``)."""
+    from ..functions.clean import make_date_from_parts
+
+    a = si.air_quality(spark, sf).filter(F.col("Ozone").isNotNull())
+    pts = a.select(make_date_from_parts("Month", "Day", F.lit(2024)).alias("NewDate"), "Ozone")
+    return row_index(pts, ["NewDate", "Ozone"], "pos")
+
+
+@query("path_series", with_(MONTHLY) + """
+SELECT month, value, row_number() OVER (ORDER BY month) AS pos FROM monthly""")
+def path_series(spark, sf):
+    """Monthly totals in data (time) order (``geom_path``)."""
+    return row_index(si.monthly_totals(spark, sf), ["month"], "pos")
+
+
+PAIR_NUM, PAIR_CAT = ["carat", "depth"], ["cut", "color", "clarity"]
+
+
+@query("pairs_box", with_(DIAMONDS) + """,
+long AS (""" + " UNION ALL ".join(
+    f"SELECT '{v}' AS num_var, '{c}' AS cat_var, CAST({c} AS VARCHAR) AS level, CAST({v} AS DOUBLE) AS value FROM diamonds"
+    for v in PAIR_NUM for c in PAIR_CAT) + """),
+q AS (SELECT num_var, cat_var, level, count(*) AS n, quantile_cont(value, 0.25) AS lower,
+             quantile_cont(value, 0.5) AS middle, quantile_cont(value, 0.75) AS upper
+      FROM long GROUP BY 1, 2, 3),
+f AS (SELECT *, lower - 1.5 * (upper - lower) AS lo, upper + 1.5 * (upper - lower) AS hi FROM q)
+SELECT num_var, cat_var, level, n, round(least(lower, min(value) FILTER (WHERE value BETWEEN lo AND hi)), 6) AS ymin,
+       round(lower, 6) AS lower, round(middle, 6) AS middle, round(upper, 6) AS upper,
+       round(greatest(upper, max(value) FILTER (WHERE value BETWEEN lo AND hi)), 6) AS ymax,
+       count(*) FILTER (WHERE NOT (value BETWEEN lo AND hi)) AS outliers
+FROM long JOIN f USING (num_var, cat_var, level) GROUP BY num_var, cat_var, level, n, lower, middle, upper""")
+def pairs_box(spark, sf):
+    """Mixed (continuous × categorical) panels of the pair matrix over the
+    first five diamond columns."""
+    d = si.diamonds(spark, sf)
+    b = charts.pairs_box(d, PAIR_NUM, PAIR_CAT)
+    return b.select("num_var", "cat_var", "level", "n",
+                    *[R6(c).alias(c) for c in ("ymin", "lower", "middle", "upper", "ymax")], "outliers")
+
+
+@query("pairs_crosstab", with_(DIAMONDS) + " " + " UNION ALL ".join(
+    f"SELECT '{a}' AS var_a, '{b}' AS var_b, CAST({a} AS VARCHAR) AS level_a, CAST({b} AS VARCHAR) AS level_b, "
+    f"count(*) AS n FROM diamonds GROUP BY 1, 2, 3, 4"
+    for i, a in enumerate(PAIR_CAT) for b in PAIR_CAT[i + 1:]))
+def pairs_crosstab(spark, sf):
+    return charts.pairs_crosstab(si.diamonds(spark, sf), PAIR_CAT)
+
+
+@query("reorder_levels", """
+SELECT o_orderpriority, round(avg_o_totalprice, 6) AS avg_o_totalprice,
+       dense_rank() OVER (ORDER BY avg_o_totalprice, o_orderpriority) AS level
+FROM (SELECT o_orderpriority, avg(o_totalprice) AS avg_o_totalprice FROM orders GROUP BY 1)""")
+def reorder_levels(spark, sf):
+    """Levels of the priority ordered by mean order value."""
+    r = reshape.reorder_levels(table(spark, sf, "orders"), "o_orderpriority", "o_totalprice")
+    return r.select("o_orderpriority", R6("avg_o_totalprice").alias("avg_o_totalprice"), "level")
