@@ -1 +1,156 @@
-"""placeholder"""
+"""Group C queries: text → document-term matrix → sparse cut → frequencies.
+
+Oracle twins run the same control list in DuckDB; stemming has no DuckDB
+twin, so the oracle-checked keys use ``stemming=False`` and the stemmer is
+checked by goldens (tests) and the rows-only ``stem_tokens`` key.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions.text import collapse_whitespace, normalize_text
+from ..operators import text as tx
+from ..operators.ranks import rank_keys
+from ..operators.reshape import top_n_by
+from . import standins as si
+from .registry import query
+
+SPARSE = 0.97
+
+
+def _sql_list(words):
+    return "[" + ", ".join("'" + w.replace("'", "''") + "'" for w in sorted(set(words))) + "]"
+
+
+CORPUS_SQL = rf"""WITH corpus AS (SELECT doc_id, text FROM documents WHERE lang = 'en'),
+norm AS (SELECT doc_id, regexp_replace(regexp_replace(lower(text), '[[:punct:]]', '', 'g'), '[0-9]', '', 'g') AS t FROM corpus),
+toks AS (SELECT doc_id, token FROM (SELECT doc_id, unnest(regexp_split_to_array(t, '\s+')) AS token FROM norm) WHERE token != ''),
+stop AS (SELECT unnest({_sql_list(tx.STOPWORDS)}) AS token),
+kept AS (SELECT * FROM toks WHERE token NOT IN (SELECT token FROM stop)),
+dtm AS (SELECT doc_id, token AS term, count(*) AS tf FROM kept WHERE length(token) >= 3 GROUP BY 1, 2),
+ndocs AS (SELECT count(*) AS n FROM corpus),
+dfs AS (SELECT term, count(*) AS df FROM dtm GROUP BY 1),
+keep AS (SELECT term, df FROM dfs, ndocs WHERE df > n * (1 - {SPARSE})),
+sdtm AS (SELECT * FROM dtm WHERE term IN (SELECT term FROM keep))
+"""
+
+
+def _dtm(spark, sf, stemming=False):
+    return tx.document_term_matrix(si.reviews(spark, sf), stemming=stemming)
+
+
+def _sparse_dtm(spark, sf, stemming=False):
+    corpus = si.reviews(spark, sf)
+    dtm = tx.document_term_matrix(corpus, stemming=stemming)
+    return tx.remove_sparse(dtm, corpus.count(), SPARSE)
+
+
+@query("text_normalize", r"""SELECT doc_id, trim(regexp_replace(regexp_replace(regexp_replace(lower(text),
+  '[[:punct:]]', '', 'g'), '[0-9]', '', 'g'), '\s+', ' ', 'g')) AS norm FROM documents WHERE lang = 'en'""")
+def text_normalize(spark, sf):
+    c = si.reviews(spark, sf)
+    return c.select("doc_id", collapse_whitespace(normalize_text(F.col("text"))).alias("norm"))
+
+
+@query("tokenize", r"""SELECT doc_id, token, count(*) AS n FROM (
+  SELECT doc_id, unnest(regexp_split_to_array(text, '\s+')) AS token FROM documents WHERE lang = 'en')
+WHERE token != '' GROUP BY 1, 2""")
+def tokenize(spark, sf):
+    t = tx.tokenize(si.reviews(spark, sf))
+    return t.groupBy("doc_id", "token").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("term_counts", CORPUS_SQL + "SELECT doc_id, token AS term, count(*) AS tf FROM toks GROUP BY 1, 2")
+def term_counts(spark, sf):
+    """Raw term frequency of the normalised tokens."""
+    t = tx.tokenize(si.reviews(spark, sf), normalize=True).withColumnRenamed("token", "term")
+    return tx.term_counts(t)
+
+
+@query("stopword_filter", CORPUS_SQL + """SELECT t.doc_id, t.n_tokens, coalesce(k.n_kept, 0) AS n_kept
+FROM (SELECT doc_id, count(*) AS n_tokens FROM toks GROUP BY 1) t
+LEFT JOIN (SELECT doc_id, count(*) AS n_kept FROM kept GROUP BY 1) k USING (doc_id)""")
+def stopword_filter(spark, sf):
+    t = tx.tokenize(si.reviews(spark, sf), normalize=True)
+    k = tx.remove_stopwords(t)
+    a = t.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_tokens"))
+    b = k.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_kept"))
+    return a.join(b, "doc_id", "left").select("doc_id", "n_tokens", F.coalesce("n_kept", F.lit(0)).alias("n_kept"))
+
+
+@query("document_term_matrix", CORPUS_SQL + "SELECT * FROM dtm")
+def document_term_matrix(spark, sf):
+    return _dtm(spark, sf)
+
+
+@query("sparse_terms", CORPUS_SQL + "SELECT term, df FROM keep")
+def sparse_terms(spark, sf):
+    corpus = si.reviews(spark, sf)
+    dtm = tx.document_term_matrix(corpus, stemming=False)
+    return tx.doc_frequency(tx.remove_sparse(dtm, corpus.count(), SPARSE))
+
+
+@query("vocabulary", CORPUS_SQL + "SELECT dense_rank() OVER (ORDER BY term) AS term_id, term FROM keep")
+def vocabulary(spark, sf):
+    v = _sparse_dtm(spark, sf).select("term").distinct()
+    return rank_keys(v, ["term"], method="dense", name="term_id").select("term_id", "term")
+
+
+@query("nonempty_docs", CORPUS_SQL + "SELECT doc_id, count(*) AS n_terms FROM sdtm GROUP BY 1")
+def nonempty_docs(spark, sf):
+    return _sparse_dtm(spark, sf).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_terms"))
+
+
+@query("doc_lengths", CORPUS_SQL + "SELECT doc_id, CAST(sum(tf) AS BIGINT) AS length FROM sdtm GROUP BY 1")
+def doc_lengths(spark, sf):
+    return tx.doc_lengths(_sparse_dtm(spark, sf))
+
+
+@query("term_frequency", CORPUS_SQL + "SELECT term, CAST(sum(tf) AS BIGINT) AS freq FROM sdtm GROUP BY 1")
+def term_frequency(spark, sf):
+    return tx.term_frequency(_sparse_dtm(spark, sf))
+
+
+@query("token_total", CORPUS_SQL + "SELECT CAST(sum(tf) AS BIGINT) AS total FROM sdtm")
+def token_total(spark, sf):
+    return _sparse_dtm(spark, sf).agg(F.sum("tf").cast("long").alias("total"))
+
+
+@query("dtm_summary", CORPUS_SQL + """SELECT docs, terms, non_zero, docs * terms - non_zero AS zero,
+  CAST(round(100 * (docs * terms - non_zero) / (docs * terms)) AS BIGINT) AS sparsity_pct, max_term_length
+FROM (SELECT count(DISTINCT doc_id) AS docs, count(DISTINCT term) AS terms, count(*) AS non_zero,
+             CAST(max(length(term)) AS INTEGER) AS max_term_length FROM sdtm)""")
+def dtm_summary(spark, sf):
+    return tx.dtm_summary(_sparse_dtm(spark, sf))
+
+
+@query("freq_table", CORPUS_SQL + """
+SELECT 'doc' AS kind, CAST(doc_id AS VARCHAR) AS id, count(*) AS n_pairs, CAST(sum(tf) AS BIGINT) AS n_tokens FROM sdtm GROUP BY 1, 2
+UNION ALL
+SELECT 'term' AS kind, term AS id, count(*) AS n_pairs, CAST(sum(tf) AS BIGINT) AS n_tokens FROM sdtm GROUP BY 1, 2""")
+def freq_table(spark, sf):
+    """``table(i)`` / ``table(j)`` of the (doc, term) pairs, with the
+    token-weighted totals beside the pair counts."""
+    d = _sparse_dtm(spark, sf)
+    a = d.groupBy(F.lit("doc").alias("kind"), F.col("doc_id").cast("string").alias("id"))
+    b = d.groupBy(F.lit("term").alias("kind"), F.col("term").alias("id"))
+    aggs = [F.count(F.lit(1)).alias("n_pairs"), F.sum("tf").cast("long").alias("n_tokens")]
+    return a.agg(*aggs).unionByName(b.agg(*aggs))
+
+
+@query("top_words", CORPUS_SQL + """SELECT term AS word, freq, CAST(row_number() OVER (ORDER BY freq DESC, term) AS BIGINT) AS rank
+FROM (SELECT term, CAST(sum(tf) AS BIGINT) AS freq FROM sdtm GROUP BY 1) ORDER BY freq DESC, term LIMIT 30""")
+def top_words(spark, sf):
+    """The 30 most frequent terms (a top-k over the term totals)."""
+    f = tx.term_frequency(_sparse_dtm(spark, sf))
+    top = f.orderBy(F.desc("freq"), "term").limit(30)
+    return rank_keys(top.select((-F.col("freq")).alias("_nf"), "term"), ["_nf", "term"], method="row_number",
+                     name="rank").select(F.col("term").alias("word"), (-F.col("_nf")).alias("freq"), "rank")
+
+
+@query("stem_tokens")
+def stem_tokens(spark, sf):
+    """Distinct kept tokens of the corpus with their Snowball English stems."""
+    t = tx.remove_stopwords(tx.tokenize(si.reviews(spark, sf), normalize=True)).withColumnRenamed("token", "term")
+    return tx.stem_terms(t)
