@@ -1 +1,182 @@
-"""placeholder"""
+"""Group C queries, topic part: LDA fit and the explorer tables.
+
+Explorer tables are oracle-checked on a fixed φ stand-in (term shares per
+document source; θ = the document's source) because a fitted LDA has no
+DuckDB twin; the LDA keys are checked by properties.
+"""
+
+from __future__ import annotations
+
+from pyspark.ml.clustering import LocalLDAModel
+from pyspark.sql import functions as F
+
+from ..operators import text as tx
+from ..operators import topics as tp
+from ..operators.checkpoint import materialize
+from ..session import scratch_path
+from ..sources.models import load_model, save_model
+from ..sources.tables import table
+from . import standins as si
+from .q_text import CORPUS_SQL, SPARSE
+from .registry import query
+
+K, ALPHA, BETA, SEED, ITERS = 20, 0.02, 0.1, 3456, 20
+
+# ---------------------------------------------------------------- stand-in φ
+STANDIN_SQL = CORPUS_SQL + """,
+src AS (SELECT doc_id, source AS topic FROM documents WHERE lang = 'en'),
+phi_c AS (SELECT topic, term, sum(tf) AS c FROM sdtm JOIN src USING (doc_id) GROUP BY 1, 2),
+phi AS (SELECT topic, term, c / sum(c) OVER (PARTITION BY topic) AS phi FROM phi_c),
+tfreq AS (SELECT term, CAST(sum(tf) AS BIGINT) AS freq FROM sdtm GROUP BY 1),
+pw AS (SELECT term, freq, freq / sum(freq) OVER () AS pw FROM tfreq),
+dlen AS (SELECT doc_id, CAST(sum(tf) AS BIGINT) AS length FROM sdtm GROUP BY 1),
+share AS (SELECT topic, sum(CAST(1 AS DOUBLE) * length) AS freq FROM src JOIN dlen USING (doc_id) GROUP BY 1),
+prop AS (SELECT topic, freq, freq / sum(freq) OVER () AS proportion FROM share)
+"""
+
+
+def _standin(spark, sf):
+    """(phi, theta, doc_len, term_freq) of the fixed stand-in."""
+    corpus = spark.read.parquet(f"{sf}/documents.parquet").filter(F.col("lang") == "en")
+    dtm = tx.remove_sparse(tx.document_term_matrix(corpus.select("doc_id", "text"), stemming=False),
+                           corpus.count(), SPARSE)
+    src = corpus.select("doc_id", F.col("source").alias("topic"))
+    c = dtm.join(src, "doc_id").groupBy("topic", "term").agg(F.sum("tf").alias("c"))
+    tot = c.groupBy("topic").agg(F.sum("c").alias("_t"))
+    phi = c.join(tot, "topic").select("topic", "term", (F.col("c") / F.col("_t")).alias("phi"))
+    theta = src.select("doc_id", "topic", F.lit(1.0).alias("theta"))
+    return phi, theta, tx.doc_lengths(dtm), tx.term_frequency(dtm)
+
+
+@query("topic_relevance", STANDIN_SQL + """
+SELECT topic, "lambda", CAST(row_number() OVER (PARTITION BY topic, "lambda" ORDER BY relevance DESC, term) AS INTEGER) AS "rank",
+       term, relevance
+FROM (SELECT topic, "lambda", term, round("lambda" * ln(phi) + (1 - "lambda") * ln(phi / pw), 10) AS relevance
+      FROM phi JOIN pw USING (term), (SELECT range / 100 AS "lambda" FROM range(101)) l WHERE phi > 0)
+QUALIFY "rank" <= 30""")
+def topic_relevance(spark, sf):
+    phi, _, _, tf = _standin(spark, sf)
+    return tp.relevance(phi, tf, top=30)
+
+
+@query("topic_share", STANDIN_SQL + "SELECT topic, freq, round(proportion, 12) AS proportion FROM prop")
+def topic_share(spark, sf):
+    _, theta, dl, _ = _standin(spark, sf)
+    return tp.topic_share(theta, dl).select("topic", "freq", F.round("proportion", 12).alias("proportion"))
+
+
+@query("term_saliency", STANDIN_SQL + """,
+j AS (SELECT term, topic, phi * proportion AS a, proportion FROM phi JOIN prop USING (topic)),
+k AS (SELECT term, topic, a / sum(a) OVER (PARTITION BY term) AS pkw, proportion FROM j),
+d AS (SELECT term, sum(pkw * ln(pkw / proportion)) AS distinctiveness FROM k WHERE pkw > 0 GROUP BY 1)
+SELECT term, round(distinctiveness, 12) AS distinctiveness, round(pw * distinctiveness, 12) AS saliency
+FROM d JOIN pw USING (term)""")
+def term_saliency(spark, sf):
+    phi, theta, dl, tf = _standin(spark, sf)
+    s = tp.saliency(phi, tp.topic_share(theta, dl), tf)
+    return s.select("term", F.round("distinctiveness", 12).alias("distinctiveness"),
+                    F.round("saliency", 12).alias("saliency"))
+
+
+@query("topic_distance", STANDIN_SQL + """,
+t AS (SELECT topic, sum(phi) AS tot FROM phi GROUP BY 1),
+b AS (SELECT x.topic AS topic_a, y.topic AS topic_b,
+             sum(x.phi * ln(x.phi / ((x.phi + y.phi) / 2)) + y.phi * ln(y.phi / ((x.phi + y.phi) / 2))) AS shared,
+             sum(x.phi) AS ma, sum(y.phi) AS mb
+      FROM phi x JOIN phi y ON x.term = y.term AND x.topic < y.topic GROUP BY 1, 2)
+SELECT ta.topic AS topic_a, tb.topic AS topic_b,
+       round(0.5 * coalesce(shared, 0) + 0.5 * ln(2) * ((ta.tot - coalesce(ma, 0)) + (tb.tot - coalesce(mb, 0))), 10) AS jsd
+FROM t ta JOIN t tb ON ta.topic < tb.topic LEFT JOIN b ON b.topic_a = ta.topic AND b.topic_b = tb.topic""")
+def topic_distance(spark, sf):
+    phi, _, _, _ = _standin(spark, sf)
+    return tp.topic_distance(phi).select("topic_a", "topic_b", F.round("jsd", 10).alias("jsd"))
+
+
+# ---------------------------------------------------------------- fitted LDA
+_FITS: dict = {}
+
+
+def lda_context(spark, sf, k=K, max_iter=ITERS):
+    """Stemmed, sparse-cut DTM of the reviews, its vocabulary, count vectors
+    (written once to the checkpoint folder) and a fitted model."""
+    key = (sf, k, max_iter, id(spark))
+    if key not in _FITS:
+        corpus = si.reviews(spark, sf)
+        dtm = materialize(tx.remove_sparse(tx.document_term_matrix(corpus, stemming=True), corpus.count(), SPARSE))
+        vocab = tp.vocabulary(dtm)
+        vectors = materialize(tp.count_vectors(dtm, vocab))
+        model = tp.fit_lda(vectors, k=k, alpha=ALPHA, beta=BETA, seed=SEED, max_iter=max_iter)
+        _FITS[key] = (dtm, vocab, vectors, model)
+    return _FITS[key]
+
+
+@query("lda_fit")
+def lda_fit(spark, sf):
+    """One row describing the fit: K, V, documents, log-likelihood bound, perplexity."""
+    dtm, vocab, vectors, model = lda_context(spark, sf)
+    ll, lp = float(model.logLikelihood(vectors)), float(model.logPerplexity(vectors))
+    return vectors.agg(F.count(F.lit(1)).alias("docs")).select(
+        F.lit(model.getK()).alias("k"), F.lit(len(vocab)).alias("vocab_size"), "docs",
+        F.lit(ll).alias("log_lik"), F.lit(lp).alias("log_perplexity"))
+
+
+@query("lda_top_terms")
+def lda_top_terms(spark, sf):
+    _, vocab, _, model = lda_context(spark, sf)
+    return tp.top_terms(model, vocab, 5)
+
+
+@query("lda_phi")
+def lda_phi(spark, sf):
+    _, vocab, _, model = lda_context(spark, sf)
+    return tp.phi_table(model, vocab)
+
+
+@query("lda_theta")
+def lda_theta(spark, sf):
+    _, _, vectors, model = lda_context(spark, sf)
+    return tp.theta_table(model, vectors)
+
+
+@query("lda_trace")
+def lda_trace(spark, sf):
+    """Bound after 5, 10, …, 30 iterations (the index is ``seq(keep, n, keep)``)."""
+    _, _, vectors, _ = lda_context(spark, sf)
+    return tp.lda_trace(vectors, list(range(5, 31, 5)), k=K, alpha=ALPHA, beta=BETA, seed=SEED)
+
+
+@query("lda_sweep_k")
+def lda_sweep_k(spark, sf):
+    _, _, vectors, _ = lda_context(spark, sf)
+    return tp.sweep_k(vectors, [5, 10, 20], alpha=ALPHA, beta=BETA, seed=SEED, max_iter=ITERS)
+
+
+@query("docs_for_topic")
+def docs_for_topic(spark, sf):
+    _, _, vectors, model = lda_context(spark, sf)
+    return tp.docs_for_topic(tp.theta_table(model, vectors), 5)
+
+
+def _explorer_inputs(spark, sf):
+    dtm, vocab, vectors, model = lda_context(spark, sf)
+    return tp.phi_table(model, vocab), tp.theta_table(model, vectors), tx.doc_lengths(dtm), tx.term_frequency(dtm)
+
+
+@query("topic_map")
+def topic_map(spark, sf):
+    phi, theta, dl, _ = _explorer_inputs(spark, sf)
+    return tp.topic_map(tp.topic_distance(phi), tp.topic_share(theta, dl))
+
+
+@query("ldavis_json")
+def ldavis_json(spark, sf):
+    phi, theta, dl, tf = _explorer_inputs(spark, sf)
+    return tp.explorer_json(phi, theta, dl, tf)
+
+
+@query("model_round_trip")
+def model_round_trip(spark, sf):
+    """Save the fitted model, load it back, and describe its topics."""
+    _, vocab, _, model = lda_context(spark, sf)
+    path = save_model(model, scratch_path(spark, "lda-model"))
+    return tp.top_terms(load_model(LocalLDAModel, path), vocab, 5)
