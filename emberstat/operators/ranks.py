@@ -36,17 +36,19 @@ def _blocks(df: DataFrame, blocks: int | None) -> int:
 
 
 def cumulative_counts(df: DataFrame, order_cols: Sequence[str], group_cols: Sequence[str] = (),
-                      weight_col: str | None = None, blocks: int | None = None) -> DataFrame:
+                      weight_col: str | None = None, blocks: int | None = None,
+                      sums: Sequence[str] = ()) -> DataFrame:
     """Distinct (group, order) keys with
 
     * ``_w`` — total weight (row count if no weight) of the key,
     * ``_before`` — weight of keys of the same group that sort strictly
       before it (ascending, NULLs first),
-    * ``_n`` — total weight of the group.
+    * ``_n`` — total weight of the group,
+    * one column per name in ``sums``: that column summed over the key.
     """
     g, o = list(group_cols), list(order_cols)
     w = F.col(weight_col) if weight_col else F.lit(1)
-    keys = df.groupBy(*g, *o).agg(F.sum(w).alias("_w"))
+    keys = df.groupBy(*g, *o).agg(F.sum(w).alias("_w"), *[F.sum(c).alias(c) for c in sums])
     # Block ids come from a sampled range partitioning; the blocked keys are
     # written once so both branches below see the very same blocks.
     ranged = materialize(keys.repartitionByRange(_blocks(df, blocks), *g, *o)
@@ -63,7 +65,7 @@ def cumulative_counts(df: DataFrame, order_cols: Sequence[str], group_cols: Sequ
     inner = Window.partitionBy(*g, "_blk").orderBy(*o).rowsBetween(Window.unboundedPreceding, -1)
     running = ranged.withColumn("_run", F.coalesce(F.sum("_w").over(inner), F.lit(0)))
     return (running.join(offsets, on=[*g, "_blk"], how="inner")
-            .select(*g, *o, "_w", (F.col("_off") + F.col("_run")).alias("_before"), "_n", "_blk"))
+            .select(*g, *o, "_w", (F.col("_off") + F.col("_run")).alias("_before"), "_n", "_blk", *sums))
 
 
 def rank_keys(df: DataFrame, order_cols: Sequence[str], group_cols: Sequence[str] = (),

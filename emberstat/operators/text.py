@@ -12,6 +12,7 @@ from typing import Iterable
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.stem import stem
 from ..functions.text import ENGLISH_STOPWORDS, EXTRA_STOPWORDS, normalize_text
@@ -37,7 +38,7 @@ def remove_stopwords(tokens: DataFrame, col: str = "token", words: Iterable[str]
     return join_small(tokens, stop, on=col, how="left_anti", bounded=True)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _stem_udf(terms: pd.Series) -> pd.Series:
     return terms.map(stem)
 

@@ -295,3 +295,11 @@ def reorder_levels(spark, sf):
     """Levels of the priority ordered by mean order value."""
     r = reshape.reorder_levels(table(spark, sf, "orders"), "o_orderpriority", "o_totalprice")
     return r.select("o_orderpriority", R6("avg_o_totalprice").alias("avg_o_totalprice"), "level")
+
+
+@query("sample_fraction")
+def sample_fraction(spark, sf):
+    """About 10 % of the lineitems (Bernoulli, seed 12345)."""
+    from ..operators.sampling import sample_frac
+
+    return sample_frac(table(spark, sf, "lineitem"), 0.1, False, 12345)

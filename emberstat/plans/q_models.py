@@ -1 +1,205 @@
-"""placeholder"""
+"""Group B queries: the flight-delay classification study."""
+
+from __future__ import annotations
+
+from pyspark.ml import PipelineModel
+from pyspark.sql import functions as F
+
+from ..functions.clean import knuth_hash32
+from ..operators import classify as cl
+from ..operators.checkpoint import materialize
+from ..operators.prep import separate
+from ..operators.sampling import hash_part, hash_split, random_split
+from ..session import scratch_path
+from ..sources.csv import write_csv
+from ..sources.models import load_model, save_model
+from ..sources.tables import table
+from . import flights as fl
+from . import standins as si
+from .registry import query
+from .sqlparts import PREPARED, SCORED, with_
+
+SPLIT = {"training": 0.7, "test": 0.2, "validation": 0.1}
+SPLIT_SEED, FOREST_SEED, TREES = 101917, 10432, 100
+
+_CTX: dict = {}
+
+
+def study(spark, sf, trees: int = TREES):
+    """Prepared table (written once: three fits read it), key-hash split,
+    the three fitted models and the feature names."""
+    key = (sf, trees, id(spark))
+    if key not in _CTX:
+        prepared = materialize(fl.prepared(spark, sf, keep_key=True))
+        parts = hash_split(prepared, SPLIT, "FlightNum")
+        models = cl.fit_all(parts["training"], "IsDepDelayed", fl.FEATURES, trees, FOREST_SEED)
+        names = cl.feature_names(models["Logistic"].stages[0].transform(parts["training"]))
+        _CTX[key] = (prepared, parts, models, names)
+    return _CTX[key]
+
+
+HASH_SQL = """((((FlightNum % 4294967296) // 65536 * 2654435761) % 65536 * 65536
+   + ((FlightNum % 4294967296) % 65536) * 2654435761) % 4294967296)"""
+
+
+@query("hash_split", PREPARED + f"""
+SELECT CASE WHEN h < {int(0.7 * 2 ** 32)} THEN 'training' WHEN h < {int(0.9 * 2 ** 32)} THEN 'test' ELSE 'validation' END AS part,
+       count(*) AS n, CAST(sum(IsDepDelayed) AS DOUBLE) AS n_delayed
+FROM (SELECT *, {HASH_SQL} AS h FROM prepared) GROUP BY 1""")
+def hash_split_q(spark, sf):
+    """training / test / validation = 0.7 / 0.2 / 0.1 by flight-key hash."""
+    p = fl.prepared(spark, sf, keep_key=True)
+    return p.groupBy(hash_part(F.col("FlightNum"), SPLIT).alias("part")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("IsDepDelayed").alias("n_delayed"))
+
+
+@query("random_split")
+def random_split_q(spark, sf):
+    """Spark's ``randomSplit`` (seed 101917): sizes per part."""
+    p = fl.prepared(spark, sf, keep_key=True)
+    parts = random_split(p, SPLIT, SPLIT_SEED)
+    from ..operators.joins import bind_rows_labelled
+
+    return bind_rows_labelled(parts, "part").groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+
+
+DEST_LEVELS = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED"]
+
+
+@query("dummy_encode", PREPARED + "SELECT FlightNum, Dest, " + ", ".join(
+    f"CASE WHEN Dest = '{lv}' THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS \"Dest_{cl._safe(lv)}\""
+    for lv in DEST_LEVELS) + " FROM prepared")
+def dummy_encode(spark, sf):
+    """Indicator columns of the destination (last level dropped)."""
+    return cl.dummy_encode(fl.prepared(spark, sf, keep_key=True), "Dest", keep=["FlightNum"])
+
+
+@query("feature_matrix")
+def feature_matrix(spark, sf):
+    """Assembled training matrix: label and the feature vector as an array,
+    NULL-feature rows skipped."""
+    prepared, parts, models, names = study(spark, sf)
+    x = models["Logistic"].stages[0].transform(parts["training"])
+    return x.select("FlightNum", "label", vector_to_array_col(x))
+
+
+def vector_to_array_col(df):
+    from pyspark.ml.functions import vector_to_array
+
+    return vector_to_array("features").alias("features")
+
+
+def _model_summary(spark, sf, name):
+    prepared, parts, models, names = study(spark, sf)
+    m = models[name]
+    est = m.stages[-1]
+    depth = getattr(est, "depth", None) if name == "Decision Tree" else None
+    trees = getattr(est, "getNumTrees", None)
+    return parts["training"].agg(F.count(F.lit(1)).alias("train_rows")).select(
+        F.lit(name).alias("model"), F.lit(len(names)).alias("n_features"), "train_rows",
+        F.lit(depth).cast("int").alias("depth"),
+        F.lit(trees if isinstance(trees, int) else None).cast("int").alias("trees"))
+
+
+@query("fit_logistic")
+def fit_logistic(spark, sf):
+    return _model_summary(spark, sf, "Logistic")
+
+
+@query("fit_tree")
+def fit_tree(spark, sf):
+    return _model_summary(spark, sf, "Decision Tree")
+
+
+@query("fit_forest")
+def fit_forest(spark, sf):
+    return _model_summary(spark, sf, "Random Forest")
+
+
+@query("score_all_models")
+def score_all_models(spark, sf):
+    """Test rows scored by all three models, labelled by model."""
+    prepared, parts, models, names = study(spark, sf)
+    return cl.score_all(models, parts["test"])
+
+
+@query("score_validation")
+def score_validation(spark, sf):
+    """Validation rows scored by the forest: the 15 model columns plus
+    ``P_Delayed`` (element 2 of the probability vector), written as CSV and
+    read back (vectors cannot go to CSV)."""
+    prepared, parts, models, names = study(spark, sf)
+    s = separate(models["Random Forest"].transform(parts["validation"]), "probability", {"P_Delayed": 2})
+    out = s.select(*fl.MODEL_COLUMNS, "P_Delayed")
+    path = write_csv(out, scratch_path(spark, "scored-validation"))
+    return spark.read.schema(out.schema).option("header", True).csv(path)
+
+
+@query("metrics_long")
+def metrics_long(spark, sf):
+    """AUC and accuracy (×100) of each model on the test part, long form."""
+    prepared, parts, models, names = study(spark, sf)
+    return cl.performance(models, parts["test"])
+
+
+@query("feature_importance")
+def feature_importance(spark, sf):
+    prepared, parts, models, names = study(spark, sf)
+    return spark.createDataFrame(cl.importances(models, names), "feature string, importance double, Model string")
+
+
+@query("coefficients")
+def coefficients(spark, sf):
+    prepared, parts, models, names = study(spark, sf)
+    return spark.createDataFrame(cl.coefficients(models["Logistic"], names), "term string, estimate double")
+
+
+@query("model_save_load")
+def model_save_load(spark, sf):
+    """Save the forest pipeline, load it, and score the validation part."""
+    prepared, parts, models, names = study(spark, sf)
+    path = save_model(models["Random Forest"], scratch_path(spark, "forest"))
+    return cl.score(load_model(PipelineModel, path), parts["validation"], keep=["FlightNum"]).drop("probability")
+
+
+@query("auc_rank", with_(SCORED) + """,
+s AS (SELECT score, CAST(sum(label) AS BIGINT) AS pos, CAST(sum(1 - label) AS BIGINT) AS neg FROM scored GROUP BY 1),
+c AS (SELECT pos, neg, coalesce(sum(neg) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM s)
+SELECT round(sum(pos * (before + neg / 2.0)) / (sum(pos) * sum(neg)), 12) AS auc,
+       CAST(sum(pos) AS BIGINT) AS n_pos, CAST(sum(neg) AS BIGINT) AS n_neg FROM c""")
+def auc_rank(spark, sf):
+    """AUC of a tied score against the return flag, by ranks."""
+    a = cl.auc(si.scored_lines(spark, sf), "label", "score")
+    return a.select(F.round("auc", 12).alias("auc"), "n_pos", "n_neg")
+
+
+@query("accuracy_cutpoint", with_(SCORED) + """
+SELECT CAST(sum(CASE WHEN (CASE WHEN score > 0.5 THEN 1 ELSE 0 END) = (CASE WHEN label = 1 THEN 1 ELSE 0 END) THEN 1 ELSE 0 END) AS DOUBLE)
+       / count(*) AS accuracy FROM scored""")
+def accuracy_cutpoint(spark, sf):
+    return cl.accuracy(si.scored_lines(spark, sf), "label", "score", 0.5)
+
+
+IMP_SQL = """
+imp AS (SELECT l_linestatus AS Model, p_brand AS feature,
+               round(sum(l_extendedprice) / sum(sum(l_extendedprice)) OVER (PARTITION BY l_linestatus), 12) AS importance
+        FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2)"""
+
+
+def _importance_standin(spark, sf):
+    """(feature, importance, Model): brand shares of revenue per line status."""
+    li, pa = table(spark, sf, "lineitem"), table(spark, sf, "part")
+    s = li.join(pa, li.l_partkey == pa.p_partkey).groupBy(
+        F.col("l_linestatus").alias("Model"), F.col("p_brand").alias("feature")).agg(
+        F.sum("l_extendedprice").alias("_v"))
+    tot = s.groupBy("Model").agg(F.sum("_v").alias("_t"))
+    return s.join(tot, "Model").select("feature", F.round(F.col("_v") / F.col("_t"), 12).alias("importance"),
+                                       "Model")
+
+
+@query("top_features", with_(IMP_SQL) + """,
+top AS (SELECT feature FROM (SELECT *, row_number() OVER (PARTITION BY Model ORDER BY importance DESC, feature) AS rn FROM imp)
+        WHERE rn <= 10)
+SELECT feature, importance, Model FROM imp WHERE feature IN (SELECT feature FROM top)""")
+def top_features(spark, sf):
+    return cl.top_features(_importance_standin(spark, sf), 10)
