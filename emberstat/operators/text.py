@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from ..functions.stem import stem
 from ..functions.text import ENGLISH_STOPWORDS, EXTRA_STOPWORDS, normalize_text
+from .checkpoint import materialize
 from .joins import join_small
 
 STOPWORDS = ENGLISH_STOPWORDS + EXTRA_STOPWORDS
@@ -74,8 +75,8 @@ def term_counts(terms: DataFrame, doc_id: str = "doc_id") -> DataFrame:
     return terms.groupBy(doc_id, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
-def document_term_matrix(corpus: DataFrame, **kw) -> DataFrame:
-    return term_counts(document_terms(corpus, **kw))
+def document_term_matrix(corpus: DataFrame, doc_id: str = "doc_id", **kw) -> DataFrame:
+    return term_counts(document_terms(corpus, doc_id=doc_id, **kw), doc_id)
 
 
 def doc_frequency(dtm: DataFrame) -> DataFrame:
@@ -90,6 +91,15 @@ def remove_sparse(dtm: DataFrame, n_docs: int | Column, sparse: float) -> DataFr
     return dtm.join(keep, on="term", how="left_semi")
 
 
+def sparse_document_term_matrix(corpus: DataFrame, sparse: float, doc_id: str = "doc_id", **kw) -> DataFrame:
+    """DTM with sparse terms removed. The DTM is written once to the shared
+    checkpoint folder: the document frequencies and the filtered matrix
+    both read it, so the corpus is tokenised a single time."""
+    dtm = materialize(document_term_matrix(corpus, doc_id=doc_id, **kw))
+    n_docs = corpus.select(doc_id).count()
+    return remove_sparse(dtm, n_docs, sparse)
+
+
 def doc_lengths(dtm: DataFrame) -> DataFrame:
     """Row sums: tokens per document (documents without terms are absent)."""
     return dtm.groupBy("doc_id").agg(F.sum("tf").cast("long").alias("length"))

@@ -41,9 +41,7 @@ def _dtm(spark, sf, stemming=False):
 
 
 def _sparse_dtm(spark, sf, stemming=False):
-    corpus = si.reviews(spark, sf)
-    dtm = tx.document_term_matrix(corpus, stemming=stemming)
-    return tx.remove_sparse(dtm, corpus.count(), SPARSE)
+    return tx.sparse_document_term_matrix(si.reviews(spark, sf), SPARSE, stemming=stemming)
 
 
 @query("text_normalize", r"""SELECT doc_id, trim(regexp_replace(regexp_replace(regexp_replace(lower(text),
@@ -86,9 +84,7 @@ def document_term_matrix(spark, sf):
 
 @query("sparse_terms", CORPUS_SQL + "SELECT term, df FROM keep")
 def sparse_terms(spark, sf):
-    corpus = si.reviews(spark, sf)
-    dtm = tx.document_term_matrix(corpus, stemming=False)
-    return tx.doc_frequency(tx.remove_sparse(dtm, corpus.count(), SPARSE))
+    return tx.doc_frequency(_sparse_dtm(spark, sf))
 
 
 @query("vocabulary", CORPUS_SQL + "SELECT dense_rank() OVER (ORDER BY term) AS term_id, term FROM keep")

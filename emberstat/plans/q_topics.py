@@ -38,8 +38,7 @@ prop AS (SELECT topic, freq, freq / sum(freq) OVER () AS proportion FROM share)
 def _standin(spark, sf):
     """(phi, theta, doc_len, term_freq) of the fixed stand-in."""
     corpus = spark.read.parquet(f"{sf}/documents.parquet").filter(F.col("lang") == "en")
-    dtm = tx.remove_sparse(tx.document_term_matrix(corpus.select("doc_id", "text"), stemming=False),
-                           corpus.count(), SPARSE)
+    dtm = materialize(tx.sparse_document_term_matrix(corpus.select("doc_id", "text"), SPARSE, stemming=False))
     src = corpus.select("doc_id", F.col("source").alias("topic"))
     c = dtm.join(src, "doc_id").groupBy("topic", "term").agg(F.sum("tf").alias("c"))
     tot = c.groupBy("topic").agg(F.sum("c").alias("_t"))
@@ -102,7 +101,7 @@ def lda_context(spark, sf, k=K, max_iter=ITERS):
     key = (sf, k, max_iter, id(spark))
     if key not in _FITS:
         corpus = si.reviews(spark, sf)
-        dtm = materialize(tx.remove_sparse(tx.document_term_matrix(corpus, stemming=True), corpus.count(), SPARSE))
+        dtm = materialize(tx.sparse_document_term_matrix(corpus, SPARSE, stemming=True))
         vocab = tp.vocabulary(dtm)
         vectors = materialize(tp.count_vectors(dtm, vocab))
         model = tp.fit_lda(vectors, k=k, alpha=ALPHA, beta=BETA, seed=SEED, max_iter=max_iter)
