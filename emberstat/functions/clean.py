@@ -50,6 +50,11 @@ def binary_label(x: ColumnOrName, threshold: float = 0.0) -> Column:
     return if_else(_c(x) > F.lit(threshold), F.lit(1.0), F.lit(0.0))
 
 
+def delay_label(x: ColumnOrName, na_token: str = "NA") -> Column:
+    """``"NA"`` → 0, then 1 if the delay is positive, else 0."""
+    return binary_label(na_to_zero(x, na_token))
+
+
 def yes_label(x: ColumnOrName, yes: str = "YES") -> Column:
     """1 if the text equals ``yes``, otherwise 0 (NULL included)."""
     return if_else(_c(x) == F.lit(yes), F.lit(1.0), F.lit(0.0))

@@ -100,6 +100,33 @@ def sparse_document_term_matrix(corpus: DataFrame, sparse: float, doc_id: str =
     return remove_sparse(dtm, n_docs, sparse)
 
 
+def vocabulary_ids(dtm: DataFrame) -> DataFrame:
+    """(term_id, term): 1-based ids in term order (distributed dense rank)."""
+    from .ranks import rank_keys
+
+    return rank_keys(dtm.select("term").distinct(), ["term"], method="dense", name="term_id").select(
+        "term_id", "term")
+
+
+def drop_empty_docs(dtm: DataFrame) -> DataFrame:
+    """(doc_id, n_terms) of documents that still hold a term; in long form
+    an empty document simply has no rows left."""
+    return dtm.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_terms"))
+
+
+def word_freq(dtm: DataFrame, k: int | None = None) -> DataFrame:
+    """(word, freq, rank) by decreasing corpus frequency (ties by word);
+    ``k`` keeps the first k (a top-k: each partition sends only k rows)."""
+    from .ranks import rank_keys
+
+    f = term_frequency(dtm)
+    if k is not None:
+        f = f.orderBy(F.desc("freq"), "term").limit(k)
+    r = rank_keys(f.select((-F.col("freq")).alias("_nf"), "term"), ["_nf", "term"], method="row_number",
+                  name="rank")
+    return r.select(F.col("term").alias("word"), (-F.col("_nf")).alias("freq"), "rank")
+
+
 def doc_lengths(dtm: DataFrame) -> DataFrame:
     """Row sums: tokens per document (documents without terms are absent)."""
     return dtm.groupBy("doc_id").agg(F.sum("tf").cast("long").alias("length"))

@@ -7,8 +7,7 @@ import math
 from pyspark.sql import functions as F
 
 from ..functions.clean import knuth_hash32, round_r
-from ..operators import charts, reshape
-from ..operators.joins import row_index
+from ..operators import charts, reshape, series
 from ..operators.sampling import sample_n
 from ..sources.tables import table
 from . import standins as si
@@ -244,14 +243,14 @@ def line_series(spark, sf):
 
     a = si.air_quality(spark, sf).filter(F.col("Ozone").isNotNull())
     pts = a.select(make_date_from_parts("Month", "Day", F.lit(2024)).alias("NewDate"), "Ozone")
-    return row_index(pts, ["NewDate", "Ozone"], "pos")
+    return series.stat_line(pts, "NewDate", "Ozone")
 
 
 @query("path_series", with_(MONTHLY) + """
 SELECT month, value, row_number() OVER (ORDER BY month) AS pos FROM monthly""")
 def path_series(spark, sf):
     """Monthly totals in data (time) order (``geom_path``)."""
-    return row_index(si.monthly_totals(spark, sf), ["month"], "pos")
+    return series.stat_path(si.monthly_totals(spark, sf), "month", "month", "value")
 
 
 PAIR_NUM, PAIR_CAT = ["carat", "depth"], ["cut", "color", "clarity"]

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.clean import clean_trace, make_date_from_parts, parse_date_us, round_r, to_num
-from ..operators import joins, prep, reshape
+from ..operators import joins, prep, reshape, series
 from ..operators.ranks import rank_keys
 from ..session import scratch_path
 from ..sources import csv as csvio
@@ -98,12 +98,8 @@ FROM monthly, s""")
 def ts_index(spark, sf):
     """Regular monthly series index: ``time = start + i / 12``, computed from
     the date itself (no window over the whole series)."""
-    m = si.monthly_totals(spark, sf)
-    start = m.agg(F.min("month").alias("m0"))
-    i = F.months_between("month", "m0").cast("long")
-    t = F.year("m0") + (F.month("m0") - 1) / 12.0 + i / 12.0
-    return joins.join_small(m, start, how="cross", on=None, bounded=True).select(
-        "month", "value", i.alias("idx"), F.round(t, 6).alias("time"))
+    s = series.ts_index(si.monthly_totals(spark, sf), "month", 12)
+    return s.select("month", "value", "idx", F.round("time", 6).alias("time"))
 
 
 @query("ordered_head", PREPARED + f"SELECT {PREPARED_COLS} FROM prepared ORDER BY "

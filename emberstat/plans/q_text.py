@@ -89,13 +89,12 @@ def sparse_terms(spark, sf):
 
 @query("vocabulary", CORPUS_SQL + "SELECT dense_rank() OVER (ORDER BY term) AS term_id, term FROM keep")
 def vocabulary(spark, sf):
-    v = _sparse_dtm(spark, sf).select("term").distinct()
-    return rank_keys(v, ["term"], method="dense", name="term_id").select("term_id", "term")
+    return tx.vocabulary_ids(_sparse_dtm(spark, sf))
 
 
 @query("nonempty_docs", CORPUS_SQL + "SELECT doc_id, count(*) AS n_terms FROM sdtm GROUP BY 1")
 def nonempty_docs(spark, sf):
-    return _sparse_dtm(spark, sf).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_terms"))
+    return tx.drop_empty_docs(_sparse_dtm(spark, sf))
 
 
 @query("doc_lengths", CORPUS_SQL + "SELECT doc_id, CAST(sum(tf) AS BIGINT) AS length FROM sdtm GROUP BY 1")
@@ -139,10 +138,7 @@ def freq_table(spark, sf):
 FROM (SELECT term, CAST(sum(tf) AS BIGINT) AS freq FROM sdtm GROUP BY 1) ORDER BY freq DESC, term LIMIT 30""")
 def top_words(spark, sf):
     """The 30 most frequent terms (a top-k over the term totals)."""
-    f = tx.term_frequency(_sparse_dtm(spark, sf))
-    top = f.orderBy(F.desc("freq"), "term").limit(30)
-    return rank_keys(top.select((-F.col("freq")).alias("_nf"), "term"), ["_nf", "term"], method="row_number",
-                     name="rank").select(F.col("term").alias("word"), (-F.col("_nf")).alias("freq"), "rank")
+    return tx.word_freq(_sparse_dtm(spark, sf), 30)
 
 
 @query("stem_tokens")

@@ -56,3 +56,19 @@ def describe_schema(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     rows = [(i + 1, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields)]
     return spark.createDataFrame(rows, "position int, name string, type string")
+
+
+def read_docs(spark: SparkSession, path: str, fmt: str = "text", text_col: str = "text",
+              id_col: str = "doc_id") -> DataFrame:
+    """A document source: one document per file (``fmt="text"``, read whole)
+    or per row of a parquet/json/csv table. Documents without an id get the
+    1-based position of their file path (a distributed rank, reproducible)."""
+    from ..operators.ranks import rank_keys
+
+    if fmt == "text":
+        docs = spark.read.text(path, wholetext=True).select(F.col("value").alias(text_col),
+                                                            F.input_file_name().alias("_path"))
+        ids = rank_keys(docs.select("_path"), ["_path"], method="dense", name=id_col).select("_path", id_col)
+        return docs.join(ids, "_path").select(F.col(id_col).cast("long").alias(id_col), text_col)
+    df = spark.read.format(fmt).load(path)
+    return df.select(id_col, text_col) if id_col in df.columns else df

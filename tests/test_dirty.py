@@ -59,3 +59,18 @@ def test_mixed_type_year_files_union(spark):
     u = read_csv_many(spark, [a, b], schema="Year int, DepDelay string")
     got = sorted((r.Year, r.d) for r in u.select("Year", na_to_zero("DepDelay").alias("d")).collect())
     assert got == [(2007, 0.0), (2007, 3.0), (2008, -1.0), (2008, 4.0)]
+
+
+def test_read_docs_one_per_file(spark):
+    import os
+
+    from emberstat.sources.frames import read_docs
+
+    base = scratch_path(spark, "docs")
+    os.makedirs(base)
+    texts = {"a.txt": "First review.\nTwo lines.", "b.txt": "Second", "c.txt": "Third one"}
+    for name, t in texts.items():
+        with open(os.path.join(base, name), "w") as fh:
+            fh.write(t)
+    got = sorted((r.doc_id, r.text) for r in read_docs(spark, base).collect())
+    assert got == [(1, texts["a.txt"]), (2, "Second"), (3, "Third one")]
