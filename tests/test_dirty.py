@@ -67,10 +67,11 @@ def test_read_docs_one_per_file(spark):
     from emberstat.sources.frames import read_docs
 
     base = scratch_path(spark, "docs")
-    os.makedirs(base)
+    local = base[len("file:"):] if base.startswith("file:") else base
+    os.makedirs(local)
     texts = {"a.txt": "First review.\nTwo lines.", "b.txt": "Second", "c.txt": "Third one"}
     for name, t in texts.items():
-        with open(os.path.join(base, name), "w") as fh:
+        with open(os.path.join(local, name), "w") as fh:
             fh.write(t)
     got = sorted((r.doc_id, r.text) for r in read_docs(spark, base).collect())
     assert got == [(1, texts["a.txt"]), (2, "Second"), (3, "Third one")]
