@@ -6,7 +6,7 @@ from __future__ import annotations
 import re
 from typing import Sequence
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.feature import OneHotEncoder, RFormula, StringIndexer
@@ -14,6 +14,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .checkpoint import materialize
 from .joins import semi_in
 from .ranks import cumulative_counts
 from .reshape import gather, top_n_by
@@ -70,9 +71,15 @@ def classifiers(num_trees: int = 100, seed: int = 10432) -> dict:
 
 def fit_all(train: DataFrame, label: str, features: Sequence[str], num_trees: int = 100,
             seed: int = 10432) -> dict[str, PipelineModel]:
-    """Fit every classifier behind the same formula stage."""
-    rf = feature_pipeline(label, features)
-    return {name: Pipeline(stages=[rf, est]).fit(train) for name, est in classifiers(num_trees, seed).items()}
+    """Fit every classifier behind one shared formula stage.
+
+    The formula (string indexers, encoders, assembler) is fitted once and
+    the assembled training matrix is written once to the checkpoint folder;
+    the three estimators all read that copy. Each result is a two-stage
+    ``PipelineModel`` that scores raw rows."""
+    fm = feature_pipeline(label, features).fit(train)
+    x = materialize(fm.transform(train).select("features", "label"))
+    return {name: PipelineModel(stages=[fm, est.fit(x)]) for name, est in classifiers(num_trees, seed).items()}
 
 
 def score(model: PipelineModel, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
@@ -130,8 +137,9 @@ def accuracy_evaluator(scored: DataFrame, label: str = "label") -> float:
 
 
 def performance(models: dict[str, PipelineModel], data: DataFrame, digits: int = 1) -> DataFrame:
-    """model × {AUC, Accuracy} (×100), long, with a rounded display value."""
-    s = score_all(models, data)
+    """model × {AUC, Accuracy} (×100), long, with a rounded display value.
+    The scores are computed once and written once; both metrics read them."""
+    s = materialize(score_all(models, data))
     a = auc(s, by=["model"]).select("model", (F.col("auc") * 100).alias("AUC"))
     c = accuracy(s, by=["model"]).select("model", (F.col("accuracy") * 100).alias("Accuracy"))
     long = gather(a.join(c, "model"), ["model"], ["AUC", "Accuracy"], "metric", "value")

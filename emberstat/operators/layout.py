@@ -1,0 +1,16 @@
+"""Input layout helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread_if_few(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin ``df`` over the cluster when its scan yields fewer input
+    splits than there are cores, so CPU-heavy row work (regexes, token
+    explosion) is not done by one task. A large input has far more splits
+    than cores and is returned untouched (no extra shuffle)."""
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df

@@ -18,6 +18,7 @@ from ..functions.stem import stem
 from ..functions.text import ENGLISH_STOPWORDS, EXTRA_STOPWORDS, normalize_text
 from .checkpoint import materialize
 from .joins import join_small
+from .layout import spread_if_few
 
 STOPWORDS = ENGLISH_STOPWORDS + EXTRA_STOPWORDS
 
@@ -28,7 +29,7 @@ def tokenize(corpus: DataFrame, text: str = "text", doc_id: str = "doc_id", out:
     c = F.col(text)
     if normalize:
         c = normalize_text(c)
-    return (corpus.select(doc_id, F.explode(F.split(c, r"\s+")).alias(out))
+    return (spread_if_few(corpus).select(doc_id, F.explode(F.split(c, r"\s+")).alias(out))
             .filter(F.col(out) != ""))
 
 
@@ -60,8 +61,8 @@ def apply_stemming(tokens: DataFrame, col: str = "token") -> DataFrame:
 def document_terms(corpus: DataFrame, stemming: bool = True, min_length: int = 3,
                    stopwords: Iterable[str] | None = STOPWORDS, text: str = "text",
                    doc_id: str = "doc_id") -> DataFrame:
-    """Tokens after the control list: split, lower, punctuation, digits,
-    stop words, stemming, minimum length. Columns doc_id, term."""
+    """Token stream after the control list: split, lower, punctuation,
+    digits, stop words, stemming, minimum length. Columns doc_id, term."""
     t = tokenize(corpus, text, doc_id, "token", normalize=True)
     if stopwords is not None:
         t = remove_stopwords(t, "token", stopwords)
@@ -75,8 +76,27 @@ def term_counts(terms: DataFrame, doc_id: str = "doc_id") -> DataFrame:
     return terms.groupBy(doc_id, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
-def document_term_matrix(corpus: DataFrame, doc_id: str = "doc_id", **kw) -> DataFrame:
-    return term_counts(document_terms(corpus, doc_id=doc_id, **kw), doc_id)
+def document_term_matrix(corpus: DataFrame, stemming: bool = True, min_length: int = 3,
+                         stopwords: Iterable[str] | None = STOPWORDS, text: str = "text",
+                         doc_id: str = "doc_id") -> DataFrame:
+    """(doc_id, term, tf) after the control list.
+
+    With stemming the tokens are first counted per (document, token) and
+    that much smaller table is written once; the stemmer then runs on its
+    distinct tokens only, and counts of tokens sharing a stem are added up.
+    The corpus is tokenised a single time and the stem join never sees the
+    raw token stream. The length bound applies to the stem.
+    """
+    if not stemming:
+        return term_counts(document_terms(corpus, False, min_length, stopwords, text, doc_id), doc_id)
+    t = tokenize(corpus, text, doc_id, "token", normalize=True)
+    if stopwords is not None:
+        t = remove_stopwords(t, "token", stopwords)
+    raw = materialize(t.groupBy(doc_id, "token").agg(F.count(F.lit(1)).alias("tf")))
+    stems = stem_terms(raw, "token")
+    j = join_small(raw, stems, on="token")
+    return (j.filter(F.length("stem") >= min_length).groupBy(doc_id, F.col("stem").alias("term"))
+            .agg(F.sum("tf").alias("tf")))
 
 
 def doc_frequency(dtm: DataFrame) -> DataFrame:
