@@ -172,7 +172,7 @@ def stat_density(df: DataFrame, x: str, by: Sequence[str] = (), n: int = 512, me
         F.first("n").alias("n"))
     pw = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
     return k.select(*by, "i", F.col("gx").alias("x"), "density", (F.col("density") * F.col("n")).alias("count"),
-                    (F.col("density") / F.max("density").over(pw)).alias("scaled"), "n")
+                    F.try_divide(F.col("density"), F.max("density").over(pw)).alias("scaled"), "n")
 
 
 def bandwidth_nrd(df: DataFrame, x: str) -> DataFrame:
@@ -237,16 +237,17 @@ def poly_fit(df: DataFrame, x: str, y: str, by: Sequence[str] = ()) -> DataFrame
     n, s1, s2, s3, s4 = (F.col(k) for k in ("n", "s1", "s2", "s3", "s4"))
     t0, t1, t2 = F.col("t0"), F.col("t1"), F.col("t2")
     det = _det3(n, s1, s2, s1, s2, s3, s2, s3, s4)
-    a0 = _det3(t0, s1, s2, t1, s2, s3, t2, s3, s4) / det
-    a1 = _det3(n, t0, s2, s1, t1, s3, s2, t2, s4) / det
-    a2 = _det3(n, s1, t0, s1, s2, t1, s2, s3, t2) / det
+    # try_divide: a degenerate group (fewer than 3 distinct x) gives NULLs, not an ANSI error
+    a0 = F.try_divide(_det3(t0, s1, s2, t1, s2, s3, t2, s3, s4), det)
+    a1 = F.try_divide(_det3(n, t0, s2, s1, t1, s3, s2, t2, s4), det)
+    a2 = F.try_divide(_det3(n, s1, t0, s1, s2, t1, s2, s3, t2), det)
     s = s.withColumns({"a0": a0, "a1": a1, "a2": a2, "s0": n.cast("double")})
     xb = F.col("xbar")
     return s.select(
         *by, "n", "xbar", "a0", "a1", "a2",
         (F.col("a0") - F.col("a1") * xb + F.col("a2") * xb * xb).alias("b0"),
         (F.col("a1") - 2 * F.col("a2") * xb).alias("b1"), F.col("a2").alias("b2"),
-        ((F.col("syy") - F.col("a0") * t0 - F.col("a1") * t1 - F.col("a2") * t2) / (n - 3)).alias("sigma2"),
+        F.try_divide(F.col("syy") - F.col("a0") * t0 - F.col("a1") * t1 - F.col("a2") * t2, n - 3).alias("sigma2"),
         "xmin", "xmax", "s0", "s1", "s2", "s3", "s4")
 
 
@@ -278,7 +279,7 @@ def poly_smooth(df: DataFrame, x: str, y: str, by: Sequence[str] = (), n: int =
     c00, c01, c02 = s2 * s4 - s3 * s3, -(s1 * s4 - s3 * s2), s1 * s3 - s2 * s2
     c11, c12, c22 = s0 * s4 - s2 * s2, -(s0 * s3 - s1 * s2), s0 * s2 - s1 * s1
     u = F.col("u")
-    quad = (c00 + 2 * c01 * u + (2 * c02 + c11) * u * u + 2 * c12 * u * u * u + c22 * u * u * u * u) / det
+    quad = F.try_divide(c00 + 2 * c01 * u + (2 * c02 + c11) * u * u + 2 * c12 * u * u * u + c22 * u * u * u * u, det)
     yhat = F.col("a0") + F.col("a1") * u + F.col("a2") * u * u
     se = F.sqrt(F.col("sigma2") * quad)
     t = t_quantile_975(F.col("n") - 3)

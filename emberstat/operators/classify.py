@@ -112,7 +112,8 @@ def auc(scored: DataFrame, label: str = "label", score_col: str = "p_yes", by: S
     agg = cc.groupBy(*g).agg(
         F.sum(F.col("_pos") * (F.col("_before") + F.col("_w") / 2.0)).alias("_num"),
         F.sum("_pos").alias("n_pos"), F.max("_n").alias("n_neg"))
-    return agg.select(*g, (F.col("_num") / (F.col("n_pos") * F.col("n_neg"))).alias("auc"), "n_pos", "n_neg")
+    auc_v = F.try_divide(F.col("_num"), F.col("n_pos") * F.col("n_neg"))  # NULL when a class is absent
+    return agg.select(*g, auc_v.alias("auc"), "n_pos", "n_neg")
 
 
 def auc_evaluator(scored: DataFrame, label: str = "label", raw: str = "probability") -> float:

@@ -1,4 +1,4 @@
-"""Projection, filtering and mutation verbs (dplyr-style, on DataFrames)."""
+"""Projection, filtering and mutation verbs on DataFrames."""
 
 from __future__ import annotations
 
@@ -53,7 +53,7 @@ def mutate(df: DataFrame, *steps: tuple[str, Column]) -> DataFrame:
 
 def separate(df: DataFrame, col: str, parts: dict[str, int], drop: bool = False) -> DataFrame:
     """Element ``i`` (1-based) of a vector or array column into a named column
-    (``sdf_separate_column``)."""
+    (separate a vector column)."""
     dtype = df.schema[col].dataType
     arr = vector_to_array(F.col(col)) if isinstance(dtype, VectorUDT) else F.col(col)
     out = df.select("*", *[F.element_at(arr, i).alias(name) for name, i in parts.items()])

@@ -11,6 +11,10 @@ buffer. All three break when one group holds a third of the rows.
    aggregation, so heavy duplicates shrink map-side;
 2. range-partition those keys; the partition id becomes a block number.
    Range bounds come from a sample, so a hot group is cut into many blocks;
+   the blocked keys are written once to the shared checkpoint folder.
+   Without a fixed count, adaptive execution merges neighbouring ranges
+   to its advisory size, so a block holds about max(64 MB, total /
+   shuffle partitions) of keys;
 3. total each (group, block) — at most blocks + groups rows — and turn the
    totals into block offsets with a window over that small table;
 4. a running sum inside each (group, block), bounded by the block size;
@@ -29,12 +33,6 @@ from pyspark.sql import functions as F
 from .checkpoint import materialize
 
 
-def _blocks(df: DataFrame, blocks: int | None) -> int:
-    if blocks:
-        return blocks
-    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
-
-
 def cumulative_counts(df: DataFrame, order_cols: Sequence[str], group_cols: Sequence[str] = (),
                       weight_col: str | None = None, blocks: int | None = None,
                       sums: Sequence[str] = ()) -> DataFrame:
@@ -49,10 +47,13 @@ def cumulative_counts(df: DataFrame, order_cols: Sequence[str], group_cols: Sequ
     g, o = list(group_cols), list(order_cols)
     w = F.col(weight_col) if weight_col else F.lit(1)
     keys = df.groupBy(*g, *o).agg(F.sum(w).alias("_w"), *[F.sum(c).alias(c) for c in sums])
-    # Block ids come from a sampled range partitioning; the blocked keys are
-    # written once so both branches below see the very same blocks.
-    ranged = materialize(keys.repartitionByRange(_blocks(df, blocks), *g, *o)
-                         .withColumn("_blk", F.spark_partition_id()))
+    # Block ids come from a sampled range partitioning. Without an explicit
+    # count, adaptive execution merges neighbouring ranges up to its advisory
+    # partition size, so block size follows the data (one block for a tiny
+    # input, many for a hot group). The blocked keys are written once so both
+    # branches below see the very same blocks.
+    rp = keys.repartitionByRange(blocks, *g, *o) if blocks else keys.repartitionByRange(*g, *o)
+    ranged = materialize(rp.withColumn("_blk", F.spark_partition_id()))
 
     per_block = ranged.groupBy(*g, "_blk").agg(F.sum("_w").alias("_bw"))
     gw = Window.partitionBy(*g) if g else Window.partitionBy(F.lit(0))

@@ -40,7 +40,7 @@ def hash_part(key: Column, weights: dict[str, float]) -> Column:
 
 
 def hash_split(df: DataFrame, weights: dict[str, float], key: str) -> dict[str, DataFrame]:
-    """``sdf_partition`` by key hash: reproducible across runs and partitionings."""
+    """Weighted split by key hash: reproducible across runs and partitionings."""
     part = hash_part(F.col(key), weights)
     tagged = df.withColumn("_part", part)
     return {name: tagged.filter(F.col("_part") == name).drop("_part") for name in weights}

@@ -17,7 +17,7 @@ def use_database(spark: SparkSession, name: str) -> None:
 
 
 def register(df: DataFrame, name: str) -> DataFrame:
-    """Name a lazy frame in the session (``sdf_register`` / ``copy_to``)."""
+    """Name a lazy frame in the session (register / copy to the cluster)."""
     df.createOrReplaceTempView(name)
     return df
 

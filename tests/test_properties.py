@@ -113,3 +113,22 @@ def test_binned_density_close_to_exact(spark):
     b = {r.i: r.density for r in stat_density(d, "x", n=64, method="binned", bin_count=4096).collect()}
     peak = max(e.values())
     assert max(abs(e[i] - b[i]) for i in e) < 1e-3 * peak
+
+
+def test_hot_group_split_into_blocks_under_aqe(spark):
+    """With adaptive block sizing (no fixed block count) a hot group spans
+    several blocks and the running counts across blocks stay exact."""
+    from pyspark.sql import Window
+
+    from emberstat.operators.ranks import cumulative_counts
+
+    df = spark.range(2_400_000).select(
+        F.when(F.col("id") % 10 == 0, F.lit("cold")).otherwise(F.lit("hot")).alias("g"),
+        (F.col("id") * 7919 % 1000003).alias("v"))
+    cc = cumulative_counts(df, ["v"], ["g"])
+    assert cc.filter("g = 'hot'").select("_blk").distinct().count() >= 2
+    w = Window.partitionBy("g").orderBy("v")
+    ref = df.groupBy("g", "v").agg(F.count(F.lit(1)).alias("c")).withColumn(
+        "ref", F.coalesce(F.sum("c").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    bad = cc.join(ref, ["g", "v"]).filter(F.col("_before") != F.col("ref")).count()
+    assert bad == 0 and cc.count() == ref.count()
