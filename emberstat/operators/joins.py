@@ -19,17 +19,25 @@ from .checkpoint import materialize
 from .ranks import cumulative_counts
 
 BROADCAST_MAX_ROWS = 2_000_000
+BROADCAST_MAX_BYTES = 64 * 1024 * 1024
+
+
+def _row_bytes(df: DataFrame) -> int:
+    """Estimated bytes per row from the schema (Spark's default sizes)."""
+    return max(sum(f.dataType.defaultSize() for f in df.schema.fields), 8)
 
 
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner", bounded: bool = False,
-               max_rows: int = BROADCAST_MAX_ROWS, unique_on: Sequence[str] | None = None) -> DataFrame:
+               max_rows: int = BROADCAST_MAX_ROWS, unique_on: Sequence[str] | None = None,
+               max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     """Join ``big`` with a side expected to be small.
 
     ``bounded=True``: the caller guarantees the size (parameter-sized table)
     and it is broadcast. Otherwise the small side is checkpointed (written
     once to the shared checkpoint folder, so it is neither recomputed nor
-    lost with an executor), counted, and broadcast only under ``max_rows``;
-    above that the join stays a shuffle join. ``unique_on`` additionally
+    lost with an executor), counted, and broadcast only under ``max_rows``
+    rows and ``max_bytes`` estimated bytes; above that the join stays a
+    shuffle join (with adaptive skew-partition splitting). ``unique_on`` additionally
     checks that the small side has one row per key (no row multiplication).
     """
     if bounded:
@@ -38,7 +46,8 @@ def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner", bounded
     if unique_on:
         if small.groupBy(*unique_on).count().filter("count > 1").limit(1).count():
             raise ValueError(f"lookup side is not unique on {list(unique_on)}")
-    if small.count() <= max_rows:
+    rows = small.count()
+    if rows <= max_rows and rows * _row_bytes(small) <= max_bytes:
         small = F.broadcast(small)
     return big.join(small, on=on, how=how)
 

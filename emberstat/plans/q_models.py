@@ -95,8 +95,11 @@ def _model_summary(spark, sf, name):
     est = m.stages[-1]
     depth = getattr(est, "depth", None) if name == "Decision Tree" else None
     trees = getattr(est, "getNumTrees", None)
-    return parts["training"].agg(F.count(F.lit(1)).alias("train_rows")).select(
+    used = m.stages[0].transform(parts["training"]).agg(F.count(F.lit(1)).alias("used_rows"))
+    rows = parts["training"].agg(F.count(F.lit(1)).alias("train_rows")).crossJoin(used)
+    return rows.select(
         F.lit(name).alias("model"), F.lit(len(names)).alias("n_features"), "train_rows",
+        "used_rows", (F.col("train_rows") - F.col("used_rows")).alias("dropped_rows"),
         F.lit(depth).cast("int").alias("depth"),
         F.lit(trees if isinstance(trees, int) else None).cast("int").alias("trees"))
 

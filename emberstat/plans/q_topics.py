@@ -169,8 +169,12 @@ def topic_map(spark, sf):
 
 @query("ldavis_json")
 def ldavis_json(spark, sf):
+    """The explorer document, written as a JSON text file and read back."""
+    from ..sources.csv import write_json_doc
+
     phi, theta, dl, tf = _explorer_inputs(spark, sf)
-    return tp.explorer_json(phi, theta, dl, tf)
+    path = write_json_doc(tp.explorer_json(phi, theta, dl, tf), scratch_path(spark, "explorer-json"))
+    return spark.read.text(path).withColumnRenamed("value", "json")
 
 
 @query("model_round_trip")
