@@ -22,9 +22,14 @@ BROADCAST_MAX_ROWS = 2_000_000
 BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 
 
+_WIDTH = {"long": 8, "double": 8, "timestamp": 8, "timestamp_ntz": 8, "integer": 4, "float": 4, "date": 4,
+          "short": 2, "byte": 1, "boolean": 1, "string": 20, "decimal": 16}
+
+
 def _row_bytes(df: DataFrame) -> int:
-    """Estimated bytes per row from the schema (Spark's default sizes)."""
-    return max(sum(f.dataType.defaultSize() for f in df.schema.fields), 8)
+    """Estimated bytes per row from the schema (fixed widths; 20 bytes per
+    string, 64 for nested values)."""
+    return max(sum(_WIDTH.get(f.dataType.typeName(), 64) for f in df.schema.fields), 8)
 
 
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner", bounded: bool = False,
