@@ -73,21 +73,32 @@ def stat_bin(df: DataFrame, x: str, bins: int = 30, by: Sequence[str] = ()) -> D
 
 
 # ------------------------------------------------------------------ boxplot
+def weighted_keys(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """Distinct (group, values) with their row count ``_w``, written once to
+    the checkpoint folder: the one scan of the data every later statistic
+    (quantiles, spread, range, kernel sums, whiskers) reads from."""
+    from .checkpoint import materialize
+
+    data = df.select(*by, *cols).dropna()
+    return materialize(data.groupBy(*by, *cols).agg(F.count(F.lit(1)).alias("_w")))
+
+
 def box_stats(df: DataFrame, x: Sequence[str] | str, y: str, coef: float = 1.5) -> DataFrame:
     """Box-plot statistics per x: exact quartiles (type 7), whiskers at the
     most extreme values inside ``coef``·IQR of the hinges, notches
-    ±1.58·IQR/√n, and the outlier count.
+    ±1.58·IQR/√n, and the outlier count. The data are scanned once (into
+    weighted distinct values); everything else reads that reduced table.
     """
     xs = [x] if isinstance(x, str) else list(x)
-    q = quantile_columns(df, y, {"lower": 0.25, "middle": 0.5, "upper": 0.75}, xs)
+    keys = weighted_keys(df, [y], xs)
+    q = quantile_columns(keys, y, {"lower": 0.25, "middle": 0.5, "upper": 0.75}, xs, weight_col="_w")
     q = q.withColumn("_iqr", F.col("upper") - F.col("lower"))
     fences = q.select(*xs, (F.col("lower") - coef * F.col("_iqr")).alias("_lo"),
                       (F.col("upper") + coef * F.col("_iqr")).alias("_hi"))
-    data = df.filter(F.col(y).isNotNull()).select(*xs, y)
     inside = F.col(y).between(F.col("_lo"), F.col("_hi"))
-    w = join_small(data, fences, on=xs).groupBy(*xs).agg(
+    w = join_small(keys, fences, on=xs).groupBy(*xs).agg(
         F.min(F.when(inside, F.col(y))).alias("_wlo"), F.max(F.when(inside, F.col(y))).alias("_whi"),
-        F.count(F.when(~inside, 1)).alias("outliers"))
+        F.sum(F.when(~inside, F.col("_w")).otherwise(0)).cast("long").alias("outliers"))
     out = q.join(w, on=xs)
     notch = 1.58 * F.col("_iqr") / F.sqrt("n")
     return out.select(
@@ -109,29 +120,38 @@ def box_outliers(df: DataFrame, x: Sequence[str] | str, y: str, coef: float = 1.
 
 
 # ------------------------------------------------------------------ density
-def bandwidth_nrd0(df: DataFrame, x: str, by: Sequence[str] = ()) -> DataFrame:
+def _spread(keys: DataFrame, x: str, by: Sequence[str]) -> DataFrame:
+    """Per group: n, sample sd, and the quartiles of ``x`` from weighted keys."""
+    by = list(by)
+    q = quantile_columns(keys, x, {"_q1": 0.25, "_q3": 0.75}, by, weight_col="_w")
+    m = keys.groupBy(*by).agg((F.sum(F.col("_w") * F.col(x)) / F.sum("_w")).alias("_mean"))
+    c = join_small(keys, m, on=by) if by else join_small(keys, m, how="cross", on=None, bounded=True)
+    dev = F.col(x) - F.col("_mean")
+    v = c.groupBy(*by).agg(F.sqrt(F.try_divide(F.sum(F.col("_w") * dev * dev), F.sum("_w") - 1)).alias("_sd"))
+    return q.join(v, on=by) if by else q.crossJoin(v)
+
+
+def bandwidth_nrd0(df: DataFrame, x: str, by: Sequence[str] = (), keys: DataFrame | None = None) -> DataFrame:
     """Silverman's rule per group: 0.9·min(sd, IQR/1.34)·n^(-1/5), falling
     back to sd, then 1, when the spread is 0. Columns by…, n, bw."""
     by = list(by)
-    q = quantile_columns(df, x, {"_q1": 0.25, "_q3": 0.75}, by)
-    sd = df.groupBy(*by).agg(F.stddev_samp(x).alias("_sd")) if by else df.agg(F.stddev_samp(x).alias("_sd"))
-    s = q.join(sd, on=by) if by else q.crossJoin(sd)
+    s = _spread(keys if keys is not None else weighted_keys(df, [x], by), x, by)
     lo = F.least(F.col("_sd"), (F.col("_q3") - F.col("_q1")) / 1.34)
     lo = F.when(lo > 0, lo).when(F.col("_sd") > 0, F.col("_sd")).otherwise(F.lit(1.0))
     return s.select(*by, "n", (0.9 * lo * F.pow(F.col("n").cast("double"), -0.2)).alias("bw"))
 
 
-def _reduce_points(df: DataFrame, cols: Sequence[str], by: Sequence[str], method: str,
+def _reduce_points(keys: DataFrame, cols: Sequence[str], by: Sequence[str], method: str,
                    bin_count: int) -> DataFrame:
-    """Weighted points standing for the data: exact distinct values with
-    their counts, or linear binning onto ``bin_count`` nodes per axis over
-    the full range (each value splits its weight between its two nodes)."""
+    """Weighted points standing for the data (from weighted distinct keys):
+    the exact distinct values with their counts, or linear binning onto
+    ``bin_count`` nodes per axis over the full range (each value splits its
+    weight between its two nodes)."""
     by = list(by)
-    data = df.select(*by, *cols).dropna()
     if method == "exact":
-        return data.groupBy(*by, *cols).agg(F.count(F.lit(1)).cast("double").alias("_w"))
-    rng = data.agg(*[F.min(c).alias(f"_mn_{c}") for c in cols], *[F.max(c).alias(f"_mx_{c}") for c in cols])
-    d = join_small(data, rng, how="cross", on=None, bounded=True)
+        return keys.select(*by, *cols, F.col("_w").cast("double").alias("_w"))
+    rng = keys.agg(*[F.min(c).alias(f"_mn_{c}") for c in cols], *[F.max(c).alias(f"_mx_{c}") for c in cols])
+    d = join_small(keys, rng, how="cross", on=None, bounded=True)
     for c in cols:
         step = (F.col(f"_mx_{c}") - F.col(f"_mn_{c}")) / (bin_count - 1)
         step = F.when(step > 0, step).otherwise(F.lit(1.0))
@@ -141,7 +161,7 @@ def _reduce_points(df: DataFrame, cols: Sequence[str], by: Sequence[str], method
         d = d.withColumn(f"_s_{c}", F.explode(F.array(
             F.struct((F.col(f"_mn_{c}") + i0 * step).alias("v"), (1 - frac).alias("w")),
             F.struct((F.col(f"_mn_{c}") + (i0 + 1) * step).alias("v"), frac.alias("w")))))
-    weight = F.lit(1.0)
+    weight = F.col("_w").cast("double")
     for c in cols:
         weight = weight * F.col(f"_s_{c}.w")
     return d.select(*by, *[F.col(f"_s_{c}.v").alias(c) for c in cols], weight.alias("_w")).groupBy(
@@ -160,9 +180,10 @@ def stat_density(df: DataFrame, x: str, by: Sequence[str] = (), n: int = 512, me
     """
     by = list(by)
     spark = df.sparkSession
-    bw = bandwidth_nrd0(df, x, by)
-    pts = _reduce_points(df, [x], by, method, bin_count)
-    rng = df.agg(F.min(x).alias("_lo"), F.max(x).alias("_hi"))
+    keys = weighted_keys(df, [x], by)
+    bw = bandwidth_nrd0(df, x, by, keys=keys)
+    pts = _reduce_points(keys, [x], by, method, bin_count)
+    rng = keys.agg(F.min(x).alias("_lo"), F.max(x).alias("_hi"))
     grid = join_small(spark.range(n).withColumnRenamed("id", "i"), rng, how="cross", on=None, bounded=True)
     grid = grid.select("i", (F.col("_lo") + F.col("i") * (F.col("_hi") - F.col("_lo")) / (n - 1)).alias("gx"))
     p = pts.join(bw, on=by) if by else pts.crossJoin(bw)
@@ -175,10 +196,9 @@ def stat_density(df: DataFrame, x: str, by: Sequence[str] = (), n: int = 512, me
                     F.try_divide(F.col("density"), F.max("density").over(pw)).alias("scaled"), "n")
 
 
-def bandwidth_nrd(df: DataFrame, x: str) -> DataFrame:
+def bandwidth_nrd(df: DataFrame, x: str, keys: DataFrame | None = None) -> DataFrame:
     """Scott-type rule used by 2-D densities: 4·1.06·min(sd, IQR/1.34)·n^(-1/5)."""
-    q = quantile_columns(df, x, {"_q1": 0.25, "_q3": 0.75})
-    s = q.crossJoin(df.agg(F.stddev_samp(x).alias("_sd")))
+    s = _spread(keys if keys is not None else weighted_keys(df, [x]), x, ())
     return s.select((4 * 1.06 * F.least(F.col("_sd"), (F.col("_q3") - F.col("_q1")) / 1.34)
                      * F.pow(F.col("n").cast("double"), -0.2)).alias(f"h_{x}"))
 
@@ -186,16 +206,17 @@ def bandwidth_nrd(df: DataFrame, x: str) -> DataFrame:
 def stat_density_2d(df: DataFrame, x: str, y: str, n: int = 25, method: str = "exact",
                     bin_count: int = 256) -> DataFrame:
     """2-D Gaussian kernel density on an ``n``×``n`` grid over the data range
-    (bivariate normal kernel, sd = bandwidth/4 per axis). The data are first
-    reduced to weighted points; the grid is never crossed with raw rows.
-    Columns: ix, iy, x, y, density.
+    (bivariate normal kernel, sd = bandwidth/4 per axis). The data are
+    scanned once into weighted distinct (x, y) pairs; the marginal spreads,
+    the range and the kernel sums all read that table, and the grid is
+    never crossed with raw rows. Columns: ix, iy, x, y, density.
     """
     spark = df.sparkSession
-    data = df.select(x, y).dropna()
-    h = bandwidth_nrd(data, x).crossJoin(bandwidth_nrd(data, y))
-    pts = _reduce_points(data, [x, y], (), method, bin_count)
-    rng = data.agg(F.min(x).alias("_x0"), F.max(x).alias("_x1"), F.min(y).alias("_y0"), F.max(y).alias("_y1"),
-                   F.count(F.lit(1)).alias("_n"))
+    keys = weighted_keys(df, [x, y])
+    h = bandwidth_nrd(df, x, keys).crossJoin(bandwidth_nrd(df, y, keys))
+    pts = _reduce_points(keys, [x, y], (), method, bin_count)
+    rng = keys.agg(F.min(x).alias("_x0"), F.max(x).alias("_x1"), F.min(y).alias("_y0"), F.max(y).alias("_y1"),
+                   F.sum("_w").alias("_n"))
     gi = spark.range(n).withColumnRenamed("id", "ix")
     gj = spark.range(n).withColumnRenamed("id", "iy")
     grid = join_small(join_small(gi, gj, how="cross", on=None, bounded=True), rng.crossJoin(h), how="cross",

@@ -106,7 +106,7 @@ def with_rank(df: DataFrame, order_cols: Sequence[str], group_cols: Sequence[str
 
 
 def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float], group_cols: Sequence[str] = (),
-                    blocks: int | None = None) -> DataFrame:
+                    blocks: int | None = None, weight_col: str | None = None) -> DataFrame:
     """Exact quantiles with linear interpolation (R type 7, SQL
     ``percentile_cont``) per group: columns group…, ``p``, ``q``, ``n``.
 
@@ -115,8 +115,9 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float], group
     that hold ranks floor(h) and ceil(h), h = (n-1)p, leave the scan.
     """
     g = list(group_cols)
-    data = df.filter(F.col(value_col).isNotNull()).select(*g, F.col(value_col).alias("_v"))
-    cc = cumulative_counts(data, ["_v"], g, blocks=blocks)
+    w = [F.col(weight_col).alias("_qw")] if weight_col else []
+    data = df.filter(F.col(value_col).isNotNull()).select(*g, F.col(value_col).alias("_v"), *w)
+    cc = cumulative_counts(data, ["_v"], g, weight_col="_qw" if weight_col else None, blocks=blocks)
     targets = F.array(*[F.struct(F.lit(float(p)).alias("p")) for p in probs])
     x = cc.select(*g, "_v", "_w", "_before", "_n", F.explode(targets).alias("_t"))
     h = (F.col("_n") - 1) * F.col("_t.p")
@@ -134,9 +135,10 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float], group
 
 
 def quantile_columns(df: DataFrame, value_col: str, probs: dict[str, float], group_cols: Sequence[str] = (),
-                     blocks: int | None = None) -> DataFrame:
-    """Exact quantiles pivoted to one column per name: group…, n, names…"""
+                     blocks: int | None = None, weight_col: str | None = None) -> DataFrame:
+    """Exact quantiles pivoted to one column per name: group…, n, names…
+    (``weight_col``: each row stands for that many equal values)."""
     g = list(group_cols)
-    q = exact_quantiles(df, value_col, list(probs.values()), g, blocks)
+    q = exact_quantiles(df, value_col, list(probs.values()), g, blocks, weight_col)
     cols = [F.max(F.when(F.col("p") == F.lit(float(p)), F.col("q"))).alias(name) for name, p in probs.items()]
     return q.groupBy(*g).agg(F.max("n").alias("n"), *cols)
