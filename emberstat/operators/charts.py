@@ -59,7 +59,8 @@ def stat_bin(df: DataFrame, x: str, bins: int = 30, by: Sequence[str] = ()) -> D
               .groupBy(*by, k.cast("long").alias("bin")).agg(F.count(F.lit(1)).alias("count")))
     grid = spark.range(1, bins + 1).withColumnRenamed("id", "bin")
     if by:
-        panels = df.select(*by).distinct()
+        # every panel with a value has at least one bin count: no extra scan
+        panels = counts.select(*by).distinct()
         grid = join_small(panels, grid, how="cross", on=None, bounded=True)
     full = join_small(grid, edges, how="cross", on=None, bounded=True).join(counts, on=[*by, "bin"], how="left")
     full = full.withColumn("count", F.coalesce(F.col("count"), F.lit(0)).cast("long"))

@@ -160,7 +160,9 @@ def importances(models: dict[str, PipelineModel], names: list[str]) -> list[tupl
 
 def top_features(imp: DataFrame, n: int = 10, model: str = "Model") -> DataFrame:
     """Top ``n`` features of each model, then every model's row for any
-    feature that made a top list (group → arrange → slice → %in%)."""
+    feature that made a top list (group → arrange → slice → %in%). The
+    importance table is read twice, so it is written once first."""
+    imp = materialize(imp)
     top = top_n_by(imp, [model], [F.desc("importance"), F.asc("feature")], n)
     keep = top.select("feature").distinct()
     return semi_in(imp, keep, "feature")

@@ -47,6 +47,11 @@ def hash_split(df: DataFrame, weights: dict[str, float], key: str) -> dict[str,
 
 
 def random_split(df: DataFrame, weights: dict[str, float], seed: int) -> dict[str, DataFrame]:
-    """Spark's ``randomSplit`` (depends on the partitioning of ``df``)."""
-    parts = df.randomSplit(list(weights.values()), seed=seed)
+    """Spark's ``randomSplit`` (depends on the partitioning of ``df``). The
+    input is written once first: every part re-reads the same rows in the
+    same partitions, so the parts stay disjoint and complete and the input
+    is not recomputed once per part."""
+    from ..operators.checkpoint import materialize
+
+    parts = materialize(df).randomSplit(list(weights.values()), seed=seed)
     return dict(zip(weights, parts))

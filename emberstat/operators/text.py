@@ -40,6 +40,16 @@ def remove_stopwords(tokens: DataFrame, col: str = "token", words: Iterable[str]
     return join_small(tokens, stop, on=col, how="left_anti", bounded=True)
 
 
+def flag_stopwords(tokens: DataFrame, col: str = "token", words: Iterable[str] = STOPWORDS,
+                   flag: str = "is_stop") -> DataFrame:
+    """Tokens with a boolean ``is_stop`` column (broadcast left join on the
+    fixed list), for counting kept and removed tokens in one pass."""
+    spark = tokens.sparkSession
+    stop = spark.createDataFrame([(w, True) for w in sorted(set(words))], f"{col} string, {flag} boolean")
+    j = join_small(tokens, stop, on=col, how="left", bounded=True)
+    return j.withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
+
+
 @F.pandas_udf(T.StringType())
 def _stem_udf(terms: pd.Series) -> pd.Series:
     return terms.map(stem)

@@ -70,11 +70,9 @@ def term_counts(spark, sf):
 FROM (SELECT doc_id, count(*) AS n_tokens FROM toks GROUP BY 1) t
 LEFT JOIN (SELECT doc_id, count(*) AS n_kept FROM kept GROUP BY 1) k USING (doc_id)""")
 def stopword_filter(spark, sf):
-    t = tx.tokenize(si.reviews(spark, sf), normalize=True)
-    k = tx.remove_stopwords(t)
-    a = t.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_tokens"))
-    b = k.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_kept"))
-    return a.join(b, "doc_id", "left").select("doc_id", "n_tokens", F.coalesce("n_kept", F.lit(0)).alias("n_kept"))
+    t = tx.flag_stopwords(tx.tokenize(si.reviews(spark, sf), normalize=True))
+    return t.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_tokens"),
+                                   F.count(F.when(~F.col("is_stop"), 1)).alias("n_kept"))
 
 
 @query("document_term_matrix", CORPUS_SQL + "SELECT * FROM dtm")

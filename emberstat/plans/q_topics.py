@@ -42,7 +42,7 @@ def _standin(spark, sf):
     src = corpus.select("doc_id", F.col("source").alias("topic"))
     c = dtm.join(src, "doc_id").groupBy("topic", "term").agg(F.sum("tf").alias("c"))
     tot = c.groupBy("topic").agg(F.sum("c").alias("_t"))
-    phi = c.join(tot, "topic").select("topic", "term", (F.col("c") / F.col("_t")).alias("phi"))
+    phi = materialize(c.join(tot, "topic").select("topic", "term", (F.col("c") / F.col("_t")).alias("phi")))
     theta = src.select("doc_id", "topic", F.lit(1.0).alias("theta"))
     return phi, theta, tx.doc_lengths(dtm), tx.term_frequency(dtm)
 
