@@ -49,9 +49,13 @@ def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner", bounded
         return big.join(F.broadcast(small), on=on, how=how)
     small = materialize(small)
     if unique_on:
-        if small.groupBy(*unique_on).count().filter("count > 1").limit(1).count():
+        # one job: largest key multiplicity and total rows
+        most, rows = small.groupBy(*unique_on).count().agg(F.max("count"), F.sum("count")).first()
+        if most is not None and most > 1:
             raise ValueError(f"lookup side is not unique on {list(unique_on)}")
-    rows = small.count()
+        rows = rows or 0
+    else:
+        rows = small.count()
     if rows <= max_rows and rows * _row_bytes(small) <= max_bytes:
         small = F.broadcast(small)
     return big.join(small, on=on, how=how)

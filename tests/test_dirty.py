@@ -75,3 +75,16 @@ def test_read_docs_one_per_file(spark):
             fh.write(t)
     got = sorted((r.doc_id, r.text) for r in read_docs(spark, base).collect())
     assert got == [(1, texts["a.txt"]), (2, "Second"), (3, "Third one")]
+
+
+def test_left_join_rejects_duplicate_lookup_keys(spark):
+    import pytest
+
+    from emberstat.operators.joins import left_join
+
+    a = spark.createDataFrame([(1, "x"), (2, "y")], "k int, v string")
+    b = spark.createDataFrame([(1, 1.0), (1, 2.0)], "k int, w double")
+    with pytest.raises(ValueError):
+        left_join(a, b, ["k"])
+    ok = left_join(a, spark.createDataFrame([(1, 1.0)], "k int, w double"), ["k"])
+    assert sorted((r.k, r.w) for r in ok.collect()) == [(1, 1.0), (2, None)]
