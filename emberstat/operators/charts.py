@@ -36,40 +36,47 @@ def stat_stack(counts: DataFrame, x: str, fill: str, y: str = "count") -> DataFr
 
 
 # ---------------------------------------------------------------- histogram
-def bin_edges(df: DataFrame, x: str, bins: int = 30) -> DataFrame:
-    """One row: ``origin``, ``width`` of ``bins`` equal bins whose centres
-    start at the minimum and end at the maximum (width = range / (bins-1))."""
-    r = df.agg(F.min(x).alias("_mn"), F.max(x).alias("_mx"))
-    width = F.when(F.col("_mx") == F.col("_mn"), F.lit(0.1)).otherwise((F.col("_mx") - F.col("_mn")) / (bins - 1))
-    return r.select(width.alias("width"), "_mn").select((F.col("_mn") - F.col("width") / 2).alias("origin"), "width")
+def bin_edges(df: DataFrame, x: str, bins: int = 30) -> tuple[float, float]:
+    """(origin, width) of ``bins`` equal bins whose centres start at the
+    minimum and end at the maximum (width = range / (bins-1)). One pass;
+    two scalars come back."""
+    mn, mx = df.agg(F.min(x), F.max(x)).first()
+    if mn is None:
+        return 0.0, 1.0
+    width = 0.1 if mx == mn else (mx - mn) / (bins - 1)
+    return mn - width / 2, width
 
 
 def stat_bin(df: DataFrame, x: str, bins: int = 30, by: Sequence[str] = ()) -> DataFrame:
     """Histogram: right-closed bins (the first also closed on the left), the
     same edges in every panel ``by``, empty bins kept with count 0.
 
-    Columns: by…, bin, xmin, xmax, x, count, density, ncount.
+    Two passes over the data: the range, then the bin counts (partial
+    aggregation; the counts — panels × bins rows — are written once and
+    also give the panel list). Columns: by…, bin, xmin, xmax, x, count,
+    density, ncount.
     """
+    from .checkpoint import materialize
+
     by = list(by)
     spark = df.sparkSession
-    edges = bin_edges(df, x, bins)
+    origin, width = bin_edges(df, x, bins)
+    o, w = F.lit(origin), F.lit(width)
     data = df.filter(F.col(x).isNotNull()).select(*by, x)
-    k = F.least(F.greatest(F.ceil((F.col(x) - F.col("origin")) / F.col("width")), F.lit(1)), F.lit(bins))
-    counts = (join_small(data, edges, how="cross", on=None, bounded=True)
-              .groupBy(*by, k.cast("long").alias("bin")).agg(F.count(F.lit(1)).alias("count")))
+    k = F.least(F.greatest(F.ceil((F.col(x) - o) / w), F.lit(1)), F.lit(bins))
+    counts = materialize(data.groupBy(*by, k.cast("long").alias("bin")).agg(F.count(F.lit(1)).alias("count")))
     grid = spark.range(1, bins + 1).withColumnRenamed("id", "bin")
     if by:
         # every panel with a value has at least one bin count: no extra scan
         panels = counts.select(*by).distinct()
         grid = join_small(panels, grid, how="cross", on=None, bounded=True)
-    full = join_small(grid, edges, how="cross", on=None, bounded=True).join(counts, on=[*by, "bin"], how="left")
+    full = grid.join(counts, on=[*by, "bin"], how="left")
     full = full.withColumn("count", F.coalesce(F.col("count"), F.lit(0)).cast("long"))
     pw = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
-    xmin = F.col("origin") + (F.col("bin") - 1) * F.col("width")
+    xmin = o + (F.col("bin") - 1) * w
     return full.select(
-        *by, "bin", xmin.alias("xmin"), (xmin + F.col("width")).alias("xmax"),
-        (xmin + F.col("width") / 2).alias("x"), "count",
-        (F.col("count") / F.col("width") / F.sum("count").over(pw)).alias("density"),
+        *by, "bin", xmin.alias("xmin"), (xmin + w).alias("xmax"), (xmin + w / 2).alias("x"), "count",
+        (F.col("count") / w / F.sum("count").over(pw)).alias("density"),
         (F.col("count") / F.max("count").over(pw)).alias("ncount"))
 
 

@@ -10,6 +10,8 @@ def spread_if_few(df: DataFrame, min_partitions: int | None = None) -> DataFrame
     splits than there are cores, so CPU-heavy row work (regexes, token
     explosion) is not done by one task. A large input has far more splits
     than cores and is returned untouched (no extra shuffle)."""
+    if df.isStreaming:
+        return df
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < target:
         return df.repartition(target)
