@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
-from ..functions.clean import knuth_hash32
 from ..operators import classify as cl
 from ..operators.checkpoint import materialize
 from ..operators.prep import separate

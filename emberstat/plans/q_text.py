@@ -11,8 +11,6 @@ from pyspark.sql import functions as F
 
 from ..functions.text import collapse_whitespace, normalize_text
 from ..operators import text as tx
-from ..operators.ranks import rank_keys
-from ..operators.reshape import top_n_by
 from . import standins as si
 from .registry import query
 

@@ -15,7 +15,6 @@ from ..operators import topics as tp
 from ..operators.checkpoint import materialize
 from ..session import scratch_path
 from ..sources.models import load_model, save_model
-from ..sources.tables import table
 from . import standins as si
 from .q_text import CORPUS_SQL, SPARSE
 from .registry import query
