@@ -177,13 +177,15 @@ def _reduce_points(keys: DataFrame, cols: Sequence[str], by: Sequence[str], meth
 
 
 def stat_density(df: DataFrame, x: str, by: Sequence[str] = (), n: int = 512, method: str = "exact",
-                 bin_count: int = 2048) -> DataFrame:
+                 bin_count: int = 2048, common_range: bool = True) -> DataFrame:
     """Gaussian kernel density per group on ``n`` points over the full range.
 
     ``method="exact"`` sums the kernel over distinct values (exact; cheap
     when values repeat). ``method="binned"`` first bins linearly onto
     ``bin_count`` nodes: the error per point is O((range/bin_count)²/bw²)
     relative, the cost no longer grows with the distinct values.
+    ``common_range=False`` gives each group its own evaluation range (e.g.
+    several variables stacked in one frame).
     Columns: by…, i, x, density, count, scaled, n.
     """
     by = list(by)
@@ -191,12 +193,19 @@ def stat_density(df: DataFrame, x: str, by: Sequence[str] = (), n: int = 512, me
     keys = weighted_keys(df, [x], by)
     bw = bandwidth_nrd0(df, x, by, keys=keys)
     pts = _reduce_points(keys, [x], by, method, bin_count)
-    rng = keys.agg(F.min(x).alias("_lo"), F.max(x).alias("_hi"))
-    grid = join_small(spark.range(n).withColumnRenamed("id", "i"), rng, how="cross", on=None, bounded=True)
-    grid = grid.select("i", (F.col("_lo") + F.col("i") * (F.col("_hi") - F.col("_lo")) / (n - 1)).alias("gx"))
+    idx = spark.range(n).withColumnRenamed("id", "i")
+    gx = (F.col("_lo") + F.col("i") * (F.col("_hi") - F.col("_lo")) / (n - 1)).alias("gx")
     p = pts.join(bw, on=by) if by else pts.crossJoin(bw)
+    if common_range or not by:
+        rng = keys.agg(F.min(x).alias("_lo"), F.max(x).alias("_hi"))
+        grid = join_small(idx, rng, how="cross", on=None, bounded=True).select("i", gx)
+        pg = join_small(p, grid, how="cross", on=None, bounded=True)
+    else:
+        rng = keys.groupBy(*by).agg(F.min(x).alias("_lo"), F.max(x).alias("_hi"))
+        grid = join_small(rng, idx, how="cross", on=None, bounded=True).select(*by, "i", gx)
+        pg = p.join(grid, on=by)
     z = (F.col("gx") - F.col(x)) / F.col("bw")
-    k = join_small(p, grid, how="cross", on=None, bounded=True).groupBy(*by, "i", "gx").agg(
+    k = pg.groupBy(*by, "i", "gx").agg(
         (F.sum(F.col("_w") * F.exp(-0.5 * z * z)) / (F.first("n") * F.first("bw") * SQRT_2PI)).alias("density"),
         F.first("n").alias("n"))
     pw = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
@@ -347,3 +356,25 @@ def pairs_crosstab(df: DataFrame, cat_cols: Sequence[str]) -> DataFrame:
              for i, a in enumerate(cat_cols) for b in cat_cols[i + 1:]]
     long = df.select(F.explode(F.array(*pairs)).alias("_p")).select("_p.*")
     return long.groupBy("var_a", "var_b", "level_a", "level_b").agg(F.count(F.lit(1)).alias("n"))
+
+
+def pairs_diag(df: DataFrame, value_cols: Sequence[str], cat_cols: Sequence[str], n: int = 512) -> DataFrame:
+    """Diagonal panels of a pair matrix in one long frame
+    (var, kind, level, i, x, value): a kernel density per continuous column
+    (kind ``density``, ``n`` points over that column's range) and bar
+    counts per categorical column (kind ``count``). All columns of a kind
+    are stacked and done in one pass."""
+    parts = []
+    if value_cols:
+        long = df.select(F.explode(F.array(*[F.struct(F.lit(v).alias("var"), F.col(v).cast("double").alias("_x"))
+                                             for v in value_cols])).alias("_p")).select("_p.*")
+        d = stat_density(long, "_x", by=["var"], n=n, common_range=False)
+        parts.append(d.select("var", F.lit("density").alias("kind"), F.lit(None).cast("string").alias("level"),
+                              "i", "x", F.col("density").alias("value")))
+    if cat_cols:
+        long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("var"), F.col(c).cast("string").alias("level"))
+                                             for c in cat_cols])).alias("_p")).select("_p.*")
+        k = stat_count(long, "var", "level")
+        parts.append(k.select("var", F.lit("count").alias("kind"), "level", F.lit(None).cast("long").alias("i"),
+                              F.lit(None).cast("double").alias("x"), F.col("count").cast("double").alias("value")))
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])

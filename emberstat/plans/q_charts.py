@@ -302,3 +302,31 @@ def sample_fraction(spark, sf):
     from ..operators.sampling import sample_frac
 
     return sample_frac(table(spark, sf, "lineitem"), 0.1, False, 12345)
+
+
+def _diag_density_sql(v: str) -> str:
+    return f"""
+q_{v} AS (SELECT count(*) AS n, stddev_samp({v}) AS sd, quantile_cont({v}, 0.25) AS q1,
+                 quantile_cont({v}, 0.75) AS q3 FROM diamonds),
+b_{v} AS (SELECT n, 0.9 * (CASE WHEN least(sd, (q3 - q1) / 1.34) > 0 THEN least(sd, (q3 - q1) / 1.34)
+                                WHEN sd > 0 THEN sd ELSE 1 END) * pow(CAST(n AS DOUBLE), -0.2) AS bw FROM q_{v}),
+g_{v} AS (SELECT range AS i, lo + range * (hi - lo) / 511 AS gx
+          FROM range(512), (SELECT min({v}) AS lo, max({v}) AS hi FROM diamonds)),
+p_{v} AS (SELECT {v} AS v, CAST(count(*) AS DOUBLE) AS w FROM diamonds GROUP BY 1),
+k_{v} AS (SELECT i, gx, sum(w * exp(-0.5 * ((gx - v) / bw) * ((gx - v) / bw))) / (n * bw * {SQRT_2PI}) AS density
+          FROM p_{v}, b_{v}, g_{v} GROUP BY i, gx, n, bw)"""
+
+
+PAIRS_DIAG_SQL = with_(DIAMONDS) + "," + ",".join(_diag_density_sql(v) for v in PAIR_NUM) + "\n" + " UNION ALL ".join(
+    [f"SELECT '{v}' AS var, 'density' AS kind, CAST(NULL AS VARCHAR) AS level, i, round(gx, 10) AS x, "
+     f"round(density, 10) AS value FROM k_{v}" for v in PAIR_NUM]
+    + [f"SELECT '{c}' AS var, 'count' AS kind, CAST({c} AS VARCHAR) AS level, CAST(NULL AS BIGINT) AS i, "
+       f"CAST(NULL AS DOUBLE) AS x, CAST(count(*) AS DOUBLE) AS value FROM diamonds GROUP BY {c}" for c in PAIR_CAT])
+
+
+@query("pairs_diag", PAIRS_DIAG_SQL)
+def pairs_diag(spark, sf):
+    """Diagonal panels of the pair matrix: densities of carat and depth,
+    bar counts of cut, color and clarity."""
+    d = charts.pairs_diag(si.diamonds(spark, sf), PAIR_NUM, PAIR_CAT, n=512)
+    return d.select("var", "kind", "level", "i", R10("x").alias("x"), R10("value").alias("value"))

@@ -132,3 +132,15 @@ def test_hot_group_split_into_blocks_under_aqe(spark):
         "ref", F.coalesce(F.sum("c").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     bad = cc.join(ref, ["g", "v"]).filter(F.col("_before") != F.col("ref")).count()
     assert bad == 0 and cc.count() == ref.count()
+
+
+def test_pairs_diag_densities_integrate_to_one(spark):
+    rows = Q["pairs_diag"](spark, SMALL).collect()
+    for v in ("carat", "depth"):
+        pts = sorted((r.i, r.x, r.value) for r in rows if r.var == v)
+        assert len(pts) == 512
+        area = sum((b[1] - a[1]) * (a[2] + b[2]) / 2 for a, b in zip(pts, pts[1:]))
+        assert 0.8 < area <= 1.01
+    n = spark.read.parquet(f"{SMALL}/lineitem.parquet").count()
+    for c in ("cut", "color", "clarity"):
+        assert sum(r.value for r in rows if r.var == c) == n
