@@ -23,7 +23,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.driver.memory", os.environ.get("EMBERSTAT_DRIVER_MEMORY", "16g"))
         .config("spark.ui.enabled", "false")
         # checkpoint files of frames that are no longer referenced are deleted
-        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", os.environ.get("EMBERSTAT_CLEAN_CHECKPOINTS", "true"))
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
