@@ -144,3 +144,14 @@ def test_pairs_diag_densities_integrate_to_one(spark):
     n = spark.read.parquet(f"{SMALL}/lineitem.parquet").count()
     for c in ("cut", "color", "clarity"):
         assert sum(r.value for r in rows if r.var == c) == n
+
+
+def test_dtm_summary_arithmetic(spark):
+    """Non-zero plus zero cells fill the docs × terms matrix (the recorded
+    summary's identity), and the sparse cut keeps terms in > 3 % of docs."""
+    s = Q["dtm_summary"](spark, SMALL).first()
+    assert s.non_zero + s.zero == s.docs * s.terms
+    assert 0 <= s.sparsity_pct <= 100 and s.max_term_length >= 3
+    n_docs = spark.read.parquet(f"{SMALL}/documents.parquet").filter("lang = 'en'").count()
+    dfs = Q["sparse_terms"](spark, SMALL).collect()
+    assert dfs and all(r.df > n_docs * 0.03 for r in dfs)
