@@ -12,11 +12,10 @@ from __future__ import annotations
 
 from typing import Iterable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .checkpoint import materialize
-from .ranks import cumulative_counts
 
 BROADCAST_MAX_ROWS = 2_000_000
 BROADCAST_MAX_BYTES = 64 * 1024 * 1024
@@ -91,16 +90,27 @@ def bind_rows_labelled(frames: dict[str, DataFrame], label: str = "Model") -> Da
 
 def row_index(df: DataFrame, order_cols: Sequence[str], name: str = "row_index") -> DataFrame:
     """1-based position of each row under ``order_cols``, ties broken by the
-    remaining columns (so equal positions only ever go to identical rows).
-
-    Computed by distributed block counts (``ranks.cumulative_counts``), never
-    by one global window. Identical rows are one key with a weight and get
-    consecutive positions.
+    remaining columns (equal positions could only go to identical rows,
+    and those get consecutive ones).
+
+    One range shuffle: rows are range-partitioned and sorted inside each
+    partition, each row's place inside its partition is read from
+    ``monotonically_increasing_id`` (partition id in the high bits), and
+    the copy is written once so those ids are fixed. Partition offsets come
+    from a table with one row per partition. No global window and no
+    single task sees more than one partition.
     """
     keys = list(order_cols) + [c for c in df.columns if c not in order_cols]
-    cc = cumulative_counts(df, keys)
-    pos = F.explode(F.sequence(F.col("_before") + 1, F.col("_before") + F.col("_w")))
-    return cc.select(*df.columns, pos.alias(name))
+    ranged = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    tagged = materialize(ranged.withColumn("_mid", F.monotonically_increasing_id()))
+    pid = F.shiftright("_mid", 33)
+    counts = tagged.groupBy(pid.alias("_pid")).agg(F.count(F.lit(1)).alias("_c"))
+    # one row per partition: the ordered window runs over the partition count only
+    offsets = counts.select("_pid", F.coalesce(F.sum("_c").over(
+        Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+    out = join_small(tagged.withColumn("_pid", pid), offsets, on="_pid")
+    local = F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))
+    return out.select(*df.columns, (F.col("_off") + local + 1).alias(name))
 
 
 def bind_cols(a: DataFrame, b: DataFrame, order_a: Sequence[str], order_b: Sequence[str]) -> DataFrame:
