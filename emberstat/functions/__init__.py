@@ -1,0 +1,2 @@
+"""Column functions (cleanup, labels, dates, rounding, hashing, text
+normalisation) and the Snowball English stemmer."""

@@ -1,0 +1,2 @@
+"""Sources and sinks: parquet tables, CSV, SQL text, literal frames,
+sequences, documents, fitted models."""
