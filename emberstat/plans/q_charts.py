@@ -168,7 +168,7 @@ def density_2d(spark, sf):
     return d.select("ix", "iy", R10("x").alias("x"), R10("y").alias("y"), F.round("density", 12).alias("density"))
 
 
-POLY_SQL = with_(DIAMONDS) + """,
+POLY_CTES = with_(DIAMONDS) + """,
 m AS (SELECT clarity, avg(carat) AS xbar FROM diamonds GROUP BY 1),
 s AS (SELECT clarity, count(*) AS n, any_value(xbar) AS xbar, sum(carat - xbar) AS s1, sum((carat - xbar) * (carat - xbar)) AS s2,
              sum((carat - xbar) * (carat - xbar) * (carat - xbar)) AS s3,
@@ -180,6 +180,9 @@ d AS (SELECT *, n * (s2 * s4 - s3 * s3) - s1 * (s1 * s4 - s3 * s2) + s2 * (s1 *
 a AS (SELECT *, (t0 * (s2 * s4 - s3 * s3) - s1 * (t1 * s4 - s3 * t2) + s2 * (t1 * s3 - s2 * t2)) / det AS a0,
                 (n * (t1 * s4 - s3 * t2) - t0 * (s1 * s4 - s3 * s2) + s2 * (s1 * t2 - t1 * s2)) / det AS a1,
                 (n * (s2 * t2 - t1 * s3) - s1 * (s1 * t2 - t1 * s2) + t0 * (s1 * s3 - s2 * s2)) / det AS a2 FROM d)
+"""
+
+POLY_SQL = POLY_CTES + """
 SELECT clarity, n, round(xbar, 9) AS xbar, round(a0, 4) AS a0, round(a1, 4) AS a1, round(a2, 6) AS a2,
        round(a0 - a1 * xbar + a2 * xbar * xbar, 4) AS b0, round(a1 - 2 * a2 * xbar, 4) AS b1, round(a2, 6) AS b2,
        round((syy - a0 * t0 - a1 * t1 - a2 * t2) / (n - 3) / 1000000, 3) AS sigma2_m, xmin, xmax FROM a"""
@@ -195,10 +198,32 @@ def poly_fit(spark, sf):
                     F.round(F.col("sigma2") / 1000000, 3).alias("sigma2_m"), "xmin", "xmax")
 
 
-@query("poly_smooth")
+_Z = 1.959963984540054
+_T = [repr(_Z ** 3 + _Z), repr(5 * _Z ** 5 + 16 * _Z ** 3 + 3 * _Z), repr(3 * _Z ** 7 + 19 * _Z ** 5 + 17 * _Z ** 3 - 15 * _Z),
+      repr(79 * _Z ** 9 + 776 * _Z ** 7 + 1482 * _Z ** 5 - 1920 * _Z ** 3 - 945 * _Z)]
+
+POLY_SMOOTH_SQL = POLY_CTES + f""",
+f AS (SELECT *, CAST(n AS DOUBLE) AS s0, (syy - a0 * t0 - a1 * t1 - a2 * t2) / (n - 3) AS sigma2,
+             CAST(n - 3 AS DOUBLE) AS v FROM a),
+g AS (SELECT f.*, r.range AS i, xmin + r.range * (xmax - xmin) / 79 AS gx FROM f, range(80) r),
+h AS (SELECT *, gx - xbar AS u,
+             s0 * (s2 * s4 - s3 * s3) - s1 * (s1 * s4 - s3 * s2) + s2 * (s1 * s3 - s2 * s2) AS det0,
+             {_Z!r} + {_T[0]} / (4 * v) + {_T[1]} / (96 * v * v) + {_T[2]} / (384 * v * v * v)
+               + {_T[3]} / (92160 * v * v * v * v) AS tq FROM g),
+k AS (SELECT clarity, i, gx, a0 + a1 * u + a2 * u * u AS yhat, tq,
+             sqrt(sigma2 * ((s2 * s4 - s3 * s3) + 2 * (-(s1 * s4 - s3 * s2)) * u
+                            + (2 * (s1 * s3 - s2 * s2) + (s0 * s4 - s2 * s2)) * u * u
+                            + 2 * (-(s0 * s3 - s1 * s2)) * u * u * u + (s0 * s2 - s1 * s1) * u * u * u * u) / det0) AS se
+      FROM h)
+SELECT clarity, i, round(gx, 8) AS x, round(yhat, 2) AS y, round(yhat - tq * se, 2) AS ymin,
+       round(yhat + tq * se, 2) AS ymax, round(se, 2) AS se FROM k"""
+
+
+@query("poly_smooth", POLY_SMOOTH_SQL)
 def poly_smooth(spark, sf):
     """Fitted curve with a 95 % band, 80 points per clarity."""
-    return charts.poly_smooth(si.diamonds(spark, sf), "carat", "price", ["clarity"], n=80)
+    p = charts.poly_smooth(si.diamonds(spark, sf), "carat", "price", ["clarity"], n=80)
+    return p.select("clarity", "i", F.round("x", 8).alias("x"), *[F.round(c, 2).alias(c) for c in ("y", "ymin", "ymax", "se")])
 
 
 @query("scatter_points", with_(DIAMONDS) + """
