@@ -73,7 +73,32 @@ def dummy_encode(spark, sf):
     return cl.dummy_encode(fl.prepared(spark, sf, keep_key=True), "Dest", keep=["FlightNum"])
 
 
-@query("feature_matrix")
+# Oracle side only: levels of each categorical predictor in alphabetical
+# order, last one dropped (the formula's encoding), valid while every level
+# occurs in the training part (true for the test tables); numbers pass
+# through in formula order. The Spark side learns the levels from the data.
+_LEVELS = {
+    "Dest": ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED"],
+    "DayOfWeek": ["1", "2", "3", "4", "5", "6"],
+    "Month": ["1", "10", "11", "12", "2", "3", "4", "5", "6", "7", "8"],
+    "UniqueCarrier": ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD"],
+}
+
+
+def _feature_sql() -> str:
+    parts = []
+    for f in fl.FEATURES:
+        if f in _LEVELS:
+            parts += [f"CASE WHEN {f} = '{lv}' THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END" for lv in _LEVELS[f]]
+        else:
+            parts.append(f"CAST({f} AS DOUBLE)")
+    return "[" + ", ".join(parts) + "]"
+
+
+@query("feature_matrix", PREPARED + f"""
+SELECT FlightNum, IsDepDelayed AS label, {_feature_sql()} AS features
+FROM (SELECT *, {HASH_SQL} AS h FROM prepared)
+WHERE h < {int(0.7 * 2 ** 32)} AND {' AND '.join(c + ' IS NOT NULL' for c in fl.FEATURES)}""")
 def feature_matrix(spark, sf):
     """Assembled training matrix: label and the feature vector as an array,
     NULL-feature rows skipped."""
