@@ -112,7 +112,7 @@ def lda_context(spark, sf, k=K, max_iter=ITERS):
 def lda_fit(spark, sf):
     """One row describing the fit: K, V, documents, log-likelihood bound, perplexity."""
     dtm, vocab, vectors, model = lda_context(spark, sf)
-    ll, lp = float(model.logLikelihood(vectors)), float(model.logPerplexity(vectors))
+    ll, lp = tp.fit_quality(model, vectors)
     return vectors.agg(F.count(F.lit(1)).alias("docs")).select(
         F.lit(model.getK()).alias("k"), F.lit(len(vocab)).alias("vocab_size"), "docs",
         F.lit(ll).alias("log_lik"), F.lit(lp).alias("log_perplexity"))
