@@ -239,10 +239,21 @@ def scatter_points(spark, sf):
         "carat", "price", "clarity")
 
 
-@query("sample_exact")
+LI_COLS = ("l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, "
+           "l_returnflag, l_linestatus, l_shipdate")
+
+
+@query("sample_exact", f"""
+SELECT * FROM lineitem
+ORDER BY ((((l_orderkey * 10 + l_linenumber + 12345) % 4294967296) // 65536 * 2654435761) % 65536 * 65536
+          + ((l_orderkey * 10 + l_linenumber + 12345) % 65536) * 2654435761) % 4294967296, {LI_COLS}
+LIMIT 1000""")
 def sample_exact(spark, sf):
-    """Exactly 1000 lineitems, reproducible for a seed whatever the partitioning."""
-    return sample_n(table(spark, sf, "lineitem"), 1000, seed=12345)
+    """Exactly 1000 lineitems, reproducible for a seed whatever the
+    partitioning: smallest 32-bit hashes of (row key + seed 12345)."""
+    li = table(spark, sf, "lineitem")
+    key = F.col("l_orderkey") * 10 + F.col("l_linenumber") + 12345
+    return sample_n(li, 1000, seed=12345, order=[knuth_hash32(key)])
 
 
 @query("facet_counts", with_(DIAMONDS) + """,
