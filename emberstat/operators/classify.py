@@ -79,7 +79,14 @@ def fit_all(train: DataFrame, label: str, features: Sequence[str], num_trees: in
     ``PipelineModel`` that scores raw rows."""
     fm = feature_pipeline(label, features).fit(train)
     x = materialize(fm.transform(train).select("features", "label"))
-    return {name: PipelineModel(stages=[fm, est.fit(x)]) for name, est in classifiers(num_trees, seed).items()}
+    # independent fits on the same written matrix: submitted together, as
+    # Spark ML's own tuning does with ``parallelism``; seeds fix the results
+    from concurrent.futures import ThreadPoolExecutor
+
+    ests = classifiers(num_trees, seed)
+    with ThreadPoolExecutor(max_workers=len(ests)) as pool:
+        fitted = {name: pool.submit(est.fit, x) for name, est in ests.items()}
+        return {name: PipelineModel(stages=[fm, f.result()]) for name, f in fitted.items()}
 
 
 def score(model: PipelineModel, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
