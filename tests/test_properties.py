@@ -155,3 +155,19 @@ def test_dtm_summary_arithmetic(spark):
     n_docs = spark.read.parquet(f"{SMALL}/documents.parquet").filter("lang = 'en'").count()
     dfs = Q["sparse_terms"](spark, SMALL).collect()
     assert dfs and all(r.df > n_docs * 0.03 for r in dfs)
+
+
+def test_concurrent_fits_equal_sequential_fits(spark):
+    from emberstat.operators.checkpoint import materialize
+    from emberstat.plans import flights as fl
+
+    p = materialize(fl.prepared(spark, SMALL, keep_key=True))
+    train = hash_split(p, {"training": 0.7, "rest": 0.3}, "FlightNum")["training"]
+    together = cl.fit_all(train, "IsDepDelayed", fl.FEATURES, num_trees=10)
+    fm = together["Logistic"].stages[0]
+    x = fm.transform(train).select("features", "label")
+    alone = {name: est.fit(x) for name, est in cl.classifiers(10).items()}
+    assert list(together["Random Forest"].stages[-1].featureImportances.toArray()) == pytest.approx(
+        list(alone["Random Forest"].featureImportances.toArray()), abs=1e-12)
+    assert list(together["Logistic"].stages[-1].coefficients) == pytest.approx(
+        list(alone["Logistic"].coefficients), abs=1e-9)
