@@ -27,3 +27,23 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), keep=["doc_id"])
     return found.select("doc_id", "n_words", n_hit_words().alias("n_hit"), F.size("items").cast("long").alias("n_items"),
                         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), contaminated().alias("contaminated"))
+
+
+@_query
+def op6_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every whole text in a byte-level vocabulary of 50,257 entries."""
+    import public_tokenizers
+
+    from .token_count import count_tokens
+
+    return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), keep=["doc_id"])
+
+
+@_query
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every whole text, learned from the documents that are not held out."""
+    from .language import fit, held_out, identify
+
+    docs = table(spark, sf_dir, "documents")
+    model = fit(docs.filter(~held_out(F.col("doc_id"))))
+    return identify(docs, model, keep=["doc_id"]).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "rejected")
