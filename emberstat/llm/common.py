@@ -143,3 +143,9 @@ def with_results(packed: DataFrame, row: str, results: list[str]) -> DataFrame:
 def fold_ascii(text: Column) -> Column:
     """Lower-case A-Z only; null counts as empty."""
     return F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)
+
+
+def checked_broadcast(small: DataFrame, row_bytes: int, limit: int = 64 << 20) -> DataFrame:
+    """Mark a *staged* side of fixed-width rows for broadcast if its rows, counted, fit ``limit`` bytes; else the join
+    stays a shuffle join."""
+    return F.broadcast(small) if small.count() * row_bytes <= limit else small

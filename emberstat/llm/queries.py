@@ -47,3 +47,12 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = fit(docs.filter(~held_out(F.col("doc_id"))))
     return identify(docs, model, keep=["doc_id"]).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "rejected")
+
+
+@_query
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class of every document: 5-word shingles, similarity 0.8 or more."""
+    from .near_duplicates import classes
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return classes(docs)[1].select(F.col("id").alias("doc_id"), "class_id", "kept", "class_rows")
