@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import pieces, stage, utf8, with_results
+from .common import checked_broadcast, pieces, stage, utf8, with_results
 
 DIMENSIONS = 4096
 _CODES = np.arange(256)
@@ -101,6 +101,7 @@ def training_sample(docs: DataFrame, per_language: int, text_col: str = "text",
     rows = docs.select(F.col(f"`{text_col}`").alias("text"), F.col(f"`{lang_col}`").cast("string").alias("lang")).filter(
         F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     counts = docs.filter(F.col(f"`{lang_col}`").isNotNull()).groupBy(F.col(f"`{lang_col}`").cast("string").alias("lang")).count()
+    counts = checked_broadcast(stage(counts, "languages"), 64)  # a row for each label; keeps texts of a common one apart
     draw = F.pmod(F.xxhash64("text"), F.lit(1 << 32))
     near = rows.withColumn("draw", draw).join(counts, "lang").filter(F.col("draw") * F.col("count") < F.lit(float(1 << 33)) * per_language)
     near = near.dropDuplicates(["lang", "draw"]).drop("count")
