@@ -56,3 +56,58 @@ def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return classes(docs)[1].select(F.col("id").alias("doc_id"), "class_id", "kept", "class_rows")
+
+
+#: The listed rules: fixed values of the query.
+URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"),
+             ("net", "/fr/", "block")]
+
+
+@_query
+def op9_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path and verdict of every page's URL."""
+    from .url_rules import judge_urls
+
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return judge_urls(table(spark, sf_dir, "pages"), rules, keep=["page_id"])
+
+
+@_query
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in one of 8 shards, and in one of 9."""
+    from .sharding import leaves, placed
+
+    docs = table(spark, sf_dir, "documents")
+    return placed(docs, leaves(8), leaves(9)).withColumnRenamed("key", "doc_id")
+
+
+@_query
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of every document."""
+    from .mixing import mix
+
+    return mix(table(spark, sf_dir, "documents")).select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
+@_query
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdict of every document."""
+    from .quality import judge_quality
+
+    return judge_quality(table(spark, sf_dir, "documents"), keep=["doc_id"]).drop("char_distance", "word_distance")
+
+
+@_query
+def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases of every whole text."""
+    from .licenses import scan_licenses
+
+    return scan_licenses(table(spark, sf_dir, "documents"), keep=["doc_id"]).drop("spans")
+
+
+@_query
+def op7_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    from .page_text import extract_text
+
+    return extract_text(table(spark, sf_dir, "pages"), keep=["page_id", "url"])
