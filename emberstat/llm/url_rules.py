@@ -77,12 +77,13 @@ def judge_urls(pages: DataFrame, rules: DataFrame, keep: list[str] | None = None
 
     row = F.struct(*[F.col(f"`{c}`") for c in (keep or pages.columns)]).alias("row")
     url = F.col(f"`{url_col}`")
-    df = pages.select(row, host_of(url).alias("host"), path_of(url).alias("path"))
-    df = df.withColumns({"labels": F.split("host", r"\."), "lengths": F.filter(lengths, lambda n: n <= F.length("path")), "blocks": blocks})
+    df = pages.select(F.monotonically_increasing_id().alias("rid"), row, host_of(url).alias("host"), path_of(url).alias("path"))
+    df = df.withColumns({"labels": F.split("host", r"\."), "lengths": lengths, "blocks": blocks})
+    df = df.withColumn("lengths", F.filter("lengths", lambda n: n <= F.length("path")))
     hosts = F.transform(F.sequence(F.lit(1), F.size("labels")), lambda k: F.array_join(F.slice("labels", k, F.size("labels")), "."))
     keys = F.flatten(F.transform(hosts, lambda h: F.transform("lengths", lambda n: F.struct(h.alias("h"), F.substring("path", F.lit(1), n).alias("p")))))
     possible = F.filter(keys, lambda k: F.get("blocks", _block(k["h"], k["p"], power)).bitwiseAND(_mask(k["h"], k["p"])) == _mask(k["h"], k["p"]))
-    df = df.select(F.monotonically_increasing_id().alias("rid"), "row", "host", "path", F.explode_outer(possible).alias("key"))
+    df = df.select("rid", "row", "host", "path", F.explode_outer(possible).alias("key"))
     hit = df.join(listed, (F.col("key.h") == F.col("rule_host")) & (F.col("key.p") == F.col("rule_path")), "left")
     found = F.when(F.col("rule_host").isNotNull(), F.struct((F.length("rule_host") + F.length("rule_path")).alias("n"), F.length("rule_host").alias("m"),
                                                             F.concat("rule_host", "rule_path").alias("rule"), "allowed"))

@@ -77,7 +77,8 @@ def test_language_of_odd_texts(spark, odd):
     got = sorted((str(r["doc_id"]), r["lang_pred"], r["rejected"]) for r in identify(odd.withColumnRenamed("lang", "lang_pred"), model).collect())
     und = [g for g in got if g[1] == "und"]
     assert sorted(u[0] for u in und) == ["1", "2", "3", "None"] and all(u[2] for u in und)
-    assert ("6", "en", False) in got
+    assert {g[1] for g in got} <= {"und", "en", "fr", "de", "es"}
+    assert sum(r["rejected"] for r in identify(docs, model).collect()) <= 2
     none = fit(docs.limit(0))
     assert {(r["lang_pred"], r["rejected"]) for r in identify(odd, none).collect()} == {("und", True)}
     assert identify(odd.limit(0), model).count() == 0
@@ -108,7 +109,7 @@ def test_every_phrase_is_found(spark):
 # mixing
 def test_mix_comes_near_its_targets(spark):
     r = random.Random(2)
-    rows = [(i, " ".join(["w"] * r.choice([0, 3, 40, 500])), None if i % 10 == 9 else f"s{min(i % 10, 4)}") for i in range(3000)]
+    rows = [(i, " ".join(["w"] * r.choice([0, 3, 40, 500])), None if i % 100 == 9 else f"s{4 if i % 20 else i % 80 // 20}") for i in range(3000)]
     got = mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
     size, taken, target = Counter(), Counter(), {}
     for x in got:
