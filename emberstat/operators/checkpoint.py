@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from ..session import ensure_checkpoint_dir
+from ..session import scratch_path
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the cluster's checkpoint folder (``spark.checkpoint.dir``)
-    and continue from the written copy: later branches reuse it instead of
-    recomputing it, and a lost executor does not force a recompute."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` once as Parquet below the cluster's checkpoint folder (``spark.checkpoint.dir``) and continue
+    from the written copy: later branches read the columns they need instead of recomputing it, and a lost executor
+    does not force a recompute."""
+    path = scratch_path(df.sparkSession, "frame")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

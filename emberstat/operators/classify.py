@@ -8,7 +8,7 @@ from typing import Sequence
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression, RandomForestClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import OneHotEncoder, RFormula, StringIndexer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
@@ -24,18 +24,28 @@ def _safe(name: str) -> str:
     return re.sub(r"[^0-9A-Za-z]+", "_", name).strip("_")
 
 
-def dummy_encode(df: DataFrame, col: str, keep: Sequence[str] = ()) -> DataFrame:
-    """One 0/1 column per level of ``col`` except the last (alphabetical)
-    level, named ``<col>_<level>``: StringIndexer + OneHotEncoder. The level
-    list lives in the fitted indexer (its size is the number of levels)."""
-    idx = StringIndexer(inputCol=col, outputCol=f"_{col}_idx", stringOrderType="alphabetAsc",
-                        handleInvalid="keep").fit(df)
-    enc = OneHotEncoder(inputCol=f"_{col}_idx", outputCol=f"_{col}_vec", dropLast=True, handleInvalid="keep")
-    out = enc.fit(idx.transform(df)).transform(idx.transform(df))
-    arr = vector_to_array(F.col(f"_{col}_vec"))
-    levels = idx.labels
-    cols = [arr[i].alias(f"{col}_{_safe(lv)}") for i, lv in enumerate(levels[:-1])]
-    return out.select(*keep, col, *cols)
+def dummy_names(col: str, levels: Sequence[str]) -> list[str]:
+    """``<col>_<level>`` with safe characters; levels whose safe names collide get a number."""
+    names, seen = [], {}
+    for level in levels:
+        name = f"{col}_{_safe(level)}"
+        seen[name.lower()] = n = seen.get(name.lower(), 0) + 1
+        names.append(name if n == 1 else f"{name}_{n}")
+    return names
+
+
+def dummy_encode(df: DataFrame, cols: str | Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+    """One 0/1 column per level of each of ``cols`` except its last (alphabetical) level, named ``<col>_<level>``:
+    one StringIndexer + OneHotEncoder for all columns (one pass). The level lists live in the fitted indexer (their
+    size is the number of levels)."""
+    cols = [cols] if isinstance(cols, str) else list(cols)
+    mid, vec = [f"_{c}_idx" for c in cols], [f"_{c}_vec" for c in cols]
+    idx = StringIndexer(inputCols=cols, outputCols=mid, stringOrderType="alphabetAsc", handleInvalid="keep").fit(df)
+    coded = idx.transform(df)
+    out = OneHotEncoder(inputCols=mid, outputCols=vec, dropLast=True, handleInvalid="keep").fit(coded).transform(coded)
+    dummies = [vector_to_array(F.col(v))[i].alias(name) for c, v, levels in zip(cols, vec, idx.labelsArray)
+               for i, name in enumerate(dummy_names(c, levels[:-1]))]
+    return out.select(*keep, *[c for c in cols if c not in keep], *dummies)
 
 
 def formula(label: str, features: Sequence[str]) -> str:
@@ -70,8 +80,8 @@ def classifiers(num_trees: int = 100, seed: int = 10432) -> dict:
 
 
 def fit_all(train: DataFrame, label: str, features: Sequence[str], num_trees: int = 100,
-            seed: int = 10432) -> dict[str, PipelineModel]:
-    """Fit every classifier behind one shared formula stage.
+            seed: int = 10432, only: Sequence[str] | None = None) -> dict[str, PipelineModel]:
+    """Fit every classifier (or ``only`` some) behind one shared formula stage.
 
     The formula (string indexers, encoders, assembler) is fitted once and
     the assembled training matrix is written once to the checkpoint folder;
@@ -83,7 +93,7 @@ def fit_all(train: DataFrame, label: str, features: Sequence[str], num_trees: in
     # Spark ML's own tuning does with ``parallelism``; seeds fix the results
     from concurrent.futures import ThreadPoolExecutor
 
-    ests = classifiers(num_trees, seed)
+    ests = {n: e for n, e in classifiers(num_trees, seed).items() if only is None or n in only}
     with ThreadPoolExecutor(max_workers=len(ests)) as pool:
         fitted = {name: pool.submit(est.fit, x) for name, est in ests.items()}
         return {name: PipelineModel(stages=[fm, f.result()]) for name, f in fitted.items()}
@@ -97,9 +107,15 @@ def score(model: PipelineModel, df: DataFrame, keep: Sequence[str] = ()) -> Data
 
 
 def score_all(models: dict[str, PipelineModel], df: DataFrame) -> DataFrame:
-    """Scores of every model, row-bound and labelled with the model name."""
+    """Scores of every model, row-bound and labelled with the model name. Models behind one formula stage share the
+    feature matrix of ``df``, which is made and written once."""
     from .joins import bind_rows_labelled
 
+    shared = {id(m.stages[0]) for m in models.values()}
+    if len(shared) == 1 and all(len(m.stages) == 2 for m in models.values()):
+        x = materialize(next(iter(models.values())).stages[0].transform(df).select("features", "label"))
+        last = {n: PipelineModel(stages=m.stages[1:]) for n, m in models.items()}
+        return bind_rows_labelled({n: score(m, x).drop("probability") for n, m in last.items()}, "model")
     return bind_rows_labelled({n: score(m, df).drop("probability") for n, m in models.items()}, "model")
 
 
@@ -139,11 +155,6 @@ def accuracy(scored: DataFrame, label: str = "label", score_col: str = "p_yes",
     return scored.groupBy(*by).agg((F.sum(hit) / F.count(F.lit(1))).alias("accuracy"))
 
 
-def accuracy_evaluator(scored: DataFrame, label: str = "label") -> float:
-    return MulticlassClassificationEvaluator(labelCol=label, predictionCol="prediction",
-                                             metricName="accuracy").evaluate(scored)
-
-
 def performance(models: dict[str, PipelineModel], data: DataFrame, digits: int = 1) -> DataFrame:
     """model × {AUC, Accuracy} (×100), long, with a rounded display value.
     The scores are computed once and written once; both metrics read them."""

@@ -10,54 +10,64 @@ AQE picks at run time from the real shuffle size).
 
 from __future__ import annotations
 
-from typing import Iterable, Sequence
+from typing import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .checkpoint import materialize
 
-BROADCAST_MAX_ROWS = 2_000_000
 BROADCAST_MAX_BYTES = 64 * 1024 * 1024
+#: Bytes of a row beside its values.
+ROW_OVERHEAD = 16
 
+_WIDTH = {"integer": 4, "float": 4, "date": 4, "short": 2, "byte": 1, "boolean": 1, "decimal": 16}
 
-_WIDTH = {"long": 8, "double": 8, "timestamp": 8, "timestamp_ntz": 8, "integer": 4, "float": 4, "date": 4,
-          "short": 2, "byte": 1, "boolean": 1, "string": 20, "decimal": 16}
 
+def _value_bytes(f: T.StructField) -> Column:
+    """Bytes of one value: the fixed width of its type, or the length of the text it holds (nested values as text)."""
+    if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0))
+    if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+        return F.coalesce(F.octet_length(F.col(f"`{f.name}`").cast("string")), F.lit(0))
+    return F.lit(_WIDTH.get(f.dataType.typeName(), 8))
 
-def _row_bytes(df: DataFrame) -> int:
-    """Estimated bytes per row from the schema (fixed widths; 20 bytes per
-    string, 64 for nested values)."""
-    return max(sum(_WIDTH.get(f.dataType.typeName(), 64) for f in df.schema.fields), 8)
+
+def measured_bytes(df: DataFrame) -> Column:
+    """Aggregate: bytes of all rows, from the values themselves."""
+    return F.sum(sum((_value_bytes(f) for f in df.schema.fields), F.lit(ROW_OVERHEAD)).cast("long"))
+
+
+def join_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join on same-named keys in which NULL equals NULL; keys appear once, from the left side."""
+    keys = {k: f"_right_{i}" for i, k in enumerate(on)}
+    r = right.select(*[F.col(f"`{c}`").alias(keys.get(c, c)) for c in right.columns])
+    cond = [F.col(f"`{k}`").eqNullSafe(F.col(v)) for k, v in keys.items()]
+    return left.join(r, cond, how).drop(*keys.values())
 
 
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner", bounded: bool = False,
-               max_rows: int = BROADCAST_MAX_ROWS, unique_on: Sequence[str] | None = None,
-               max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+               unique_on: Sequence[str] | None = None, max_bytes: int = BROADCAST_MAX_BYTES,
+               null_safe: bool = False) -> DataFrame:
     """Join ``big`` with a side expected to be small.
 
-    ``bounded=True``: the caller guarantees the size (parameter-sized table)
-    and it is broadcast. Otherwise the small side is checkpointed (written
-    once to the shared checkpoint folder, so it is neither recomputed nor
-    lost with an executor), counted, and broadcast only under ``max_rows``
-    rows and ``max_bytes`` estimated bytes; above that the join stays a
-    shuffle join (with adaptive skew-partition splitting). ``unique_on`` additionally
-    checks that the small side has one row per key (no row multiplication).
+    ``bounded=True``: the caller guarantees the size (parameter-sized table) and it is broadcast. Otherwise the
+    small side is written once to the shared checkpoint folder and its bytes are measured there (lengths of texts
+    included); it is broadcast only under ``max_bytes``, above that the join stays a shuffle join (with adaptive
+    skew-partition splitting). Measuring runs jobs while the plan is built. ``unique_on`` additionally checks that the
+    small side has one row per key. ``null_safe``: a NULL key equals a NULL key (group keys).
     """
+    if not bounded:
+        small = materialize(small)
+        if unique_on:
+            most = small.groupBy(*unique_on).count().agg(F.max("count")).first()[0]
+            if most is not None and most > 1:
+                raise ValueError(f"lookup side is not unique on {list(unique_on)}")
+        bounded = (small.agg(measured_bytes(small)).first()[0] or 0) <= max_bytes
     if bounded:
-        return big.join(F.broadcast(small), on=on, how=how)
-    small = materialize(small)
-    if unique_on:
-        # one job: largest key multiplicity and total rows
-        most, rows = small.groupBy(*unique_on).count().agg(F.max("count"), F.sum("count")).first()
-        if most is not None and most > 1:
-            raise ValueError(f"lookup side is not unique on {list(unique_on)}")
-        rows = rows or 0
-    else:
-        rows = small.count()
-    if rows <= max_rows and rows * _row_bytes(small) <= max_bytes:
         small = F.broadcast(small)
-    return big.join(small, on=on, how=how)
+    return join_null_safe(big, small, on, how) if null_safe and on else big.join(small, on=on, how=how)
 
 
 def left_join(left: DataFrame, right: DataFrame, on: Sequence[str], unique_right: bool = True,
@@ -77,10 +87,6 @@ def semi_in(df: DataFrame, keep: DataFrame, on: Sequence[str] | str) -> DataFram
     return df.join(keep, on=on, how="left_semi")
 
 
-def anti_in(df: DataFrame, drop: DataFrame, on: Sequence[str] | str) -> DataFrame:
-    return df.join(drop, on=on, how="left_anti")
-
-
 def bind_rows_labelled(frames: dict[str, DataFrame], label: str = "Model") -> DataFrame:
     """Row-bind named frames, tagging each row with its frame's name."""
     from ..sources.csv import bind_rows
@@ -91,7 +97,8 @@ def bind_rows_labelled(frames: dict[str, DataFrame], label: str = "Model") -> Da
 def row_index(df: DataFrame, order_cols: Sequence[str], name: str = "row_index") -> DataFrame:
     """1-based position of each row under ``order_cols``, ties broken by the
     remaining columns (equal positions could only go to identical rows,
-    and those get consecutive ones).
+    and those get consecutive ones). A row id is the last sort key, so that
+    the range partitioning can cut a run of equal rows.
 
     One range shuffle: rows are range-partitioned and sorted inside each
     partition, each row's place inside its partition is read from
@@ -101,8 +108,9 @@ def row_index(df: DataFrame, order_cols: Sequence[str], name: str = "row_index")
     single task sees more than one partition.
     """
     keys = list(order_cols) + [c for c in df.columns if c not in order_cols]
-    ranged = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
-    tagged = materialize(ranged.withColumn("_mid", F.monotonically_increasing_id()))
+    keys = [F.col(f"`{c}`") for c in keys] + [F.col("_row")]
+    ranged = df.withColumn("_row", F.monotonically_increasing_id()).repartitionByRange(*keys).sortWithinPartitions(*keys)
+    tagged = materialize(ranged.drop("_row").withColumn("_mid", F.monotonically_increasing_id()))
     pid = F.shiftright("_mid", 33)
     counts = tagged.groupBy(pid.alias("_pid")).agg(F.count(F.lit(1)).alias("_c"))
     # one row per partition: the ordered window runs over the partition count only
@@ -119,9 +127,3 @@ def bind_cols(a: DataFrame, b: DataFrame, order_a: Sequence[str], order_b: Seque
     ia = row_index(a, order_a, "_pos")
     ib = row_index(b, order_b, "_pos")
     return ia.join(ib, on="_pos", how="full")
-
-
-def union_all(frames: Iterable[DataFrame]) -> DataFrame:
-    from ..sources.csv import bind_rows
-
-    return bind_rows(frames)

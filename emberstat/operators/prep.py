@@ -6,7 +6,6 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 def select_cols(df: DataFrame, *cols: str) -> DataFrame:
@@ -77,5 +76,6 @@ def bucketize(df: DataFrame, col: str, splits: list[float], out: str = "bucket")
     return Bucketizer(splits=splits, inputCol=col, outputCol=out, handleInvalid="keep").transform(df)
 
 
-def cast_cols(df: DataFrame, types: dict[str, T.DataType | str]) -> DataFrame:
-    return df.withColumns({c: F.col(c).cast(t) for c, t in types.items()})
+def arrange(df: DataFrame, *order: Column | str) -> DataFrame:
+    """Rows sorted by several keys (``F.asc`` / ``F.desc``); equal rows all stay. A range-partitioned global sort."""
+    return df.orderBy(*order)

@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .checkpoint import materialize
+from .joins import join_null_safe
 
 
 def cumulative_counts(df: DataFrame, order_cols: Sequence[str], group_cols: Sequence[str] = (),
@@ -65,7 +66,7 @@ def cumulative_counts(df: DataFrame, order_cols: Sequence[str], group_cols: Sequ
 
     inner = Window.partitionBy(*g, "_blk").orderBy(*o).rowsBetween(Window.unboundedPreceding, -1)
     running = ranged.withColumn("_run", F.coalesce(F.sum("_w").over(inner), F.lit(0)))
-    return (running.join(offsets, on=[*g, "_blk"], how="inner")
+    return (join_null_safe(running, offsets, [*g, "_blk"])
             .select(*g, *o, "_w", (F.col("_off") + F.col("_run")).alias("_before"), "_n", "_blk", *sums))
 
 
@@ -78,6 +79,8 @@ def rank_keys(df: DataFrame, order_cols: Sequence[str], group_cols: Sequence[str
     ``row_number`` — 1 + rows before (order keys must be unique).
     """
     g, o = list(group_cols), list(order_cols)
+    if method == "row_number" and df.groupBy(*g, *o).count().filter("count > 1").limit(1).count():
+        raise ValueError("row_number needs unique order keys; add a tie-break")
     if method == "dense":
         cc = cumulative_counts(df.select(*g, *o).distinct(), o, g, blocks=blocks)
         expr = F.col("_before") + 1
@@ -92,19 +95,6 @@ def rank_keys(df: DataFrame, order_cols: Sequence[str], group_cols: Sequence[str
     return cc.select(*g, *o, expr.alias(name), F.col("_w").alias(f"{name}_ties"), F.col("_n").alias(f"{name}_n"))
 
 
-def with_rank(df: DataFrame, order_cols: Sequence[str], group_cols: Sequence[str] = (),
-              method: str = "dense", name: str = "rank", blocks: int | None = None) -> DataFrame:
-    """``df`` with a rank column joined back on (group, order).
-
-    The join key holds the order value, so only a single value repeated by a
-    huge number of rows can be hot; adaptive execution splits such a
-    partition (skew join).
-    """
-    g, o = list(group_cols), list(order_cols)
-    ranks = rank_keys(df, o, g, method, name, blocks).select(*g, *o, name)
-    return df.join(ranks, on=[*g, *o], how="left")
-
-
 def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float], group_cols: Sequence[str] = (),
                     blocks: int | None = None, weight_col: str | None = None) -> DataFrame:
     """Exact quantiles with linear interpolation (R type 7, SQL

@@ -10,13 +10,23 @@ from pyspark.sql import functions as F
 from ..functions.clean import knuth_hash32
 
 
-def sample_n(df: DataFrame, n: int, seed: int = 0, order: Sequence[Column] | None = None) -> DataFrame:
-    """Exactly ``n`` rows (all rows if fewer), the same for a seed whatever
-    the partitioning: the ``n`` smallest values of a seeded row hash, ties
-    broken by every column. Plans as a top-k (``TakeOrderedAndProject``):
-    each partition keeps only n candidates."""
-    key = list(order) if order else [F.xxhash64(*[F.col(c) for c in df.columns], F.lit(seed))]
-    return df.orderBy(*key, *df.columns).limit(n)
+def mixed_hash(*key: str, seed: int = 0) -> Column:
+    """MD5 of seed and key columns as text: unlike a multiplicative hash, the draws of two seeds have nothing in
+    common, and any engine can compute it."""
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in key]))
+
+
+def sample_n(df: DataFrame, n: int, seed: int = 0, key: Sequence[str] | None = None) -> DataFrame:
+    """Exactly ``n`` rows (all rows if fewer): the ``n`` smallest values of a seeded row hash, ties broken by every
+    column. Plans as a top-k (``TakeOrderedAndProject``): each partition keeps only n candidates.
+
+    Without ``key`` the hash also takes a row id, so that each of several equal rows draws for itself; the ids follow
+    the partitioning. With ``key`` (columns that tell rows apart) the sample is the same whatever the partitioning.
+    """
+    if key:
+        return df.orderBy(mixed_hash(*key, seed=seed), *df.columns).limit(n)
+    row = F.monotonically_increasing_id()
+    return df.withColumn("_row", row).orderBy(F.xxhash64(*df.columns, "_row", F.lit(seed)), "_row").limit(n).drop("_row")
 
 
 def sample_frac(df: DataFrame, fraction: float, with_replacement: bool = False, seed: int | None = None) -> DataFrame:

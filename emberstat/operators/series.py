@@ -9,12 +9,14 @@ from .joins import join_small, row_index
 
 
 def ts_index(df: DataFrame, period: str, freq: int = 12, idx: str = "idx", time: str = "time") -> DataFrame:
-    """Index of a regular monthly series (``time(x)``): ``idx`` = months since
-    the first period, ``time = start + idx / freq`` with start = year +
-    (month-1)/12 of the first period. Arithmetic on the date itself — no
-    window over the series."""
+    """Index of a regular series with ``freq`` periods a year, 12 or a divisor of it (``time(x)``): ``idx`` = periods
+    since the first one, ``time = start + idx / freq`` with start = year + (month-1)/12 of the first period.
+    Arithmetic on the date itself — no window over the series."""
+    if freq < 1 or 12 % freq:
+        raise ValueError("freq is 12 or a divisor of it")
     start = df.agg(F.min(period).alias("_p0"))
-    i = F.months_between(period, "_p0").cast("long")
+    months = (F.year(period) - F.year("_p0")) * 12 + F.month(period) - F.month("_p0")
+    i = F.floor(months / (12 // freq)).cast("long")
     t = F.year("_p0") + (F.month("_p0") - 1) / 12.0 + i / float(freq)
     return join_small(df, start, how="cross", on=None, bounded=True).select(
         *df.columns, i.alias(idx), t.alias(time))

@@ -18,7 +18,6 @@ from ..functions.stem import stem
 from ..functions.text import ENGLISH_STOPWORDS, EXTRA_STOPWORDS, normalize_text
 from .checkpoint import materialize
 from .joins import join_small
-from .layout import spread_if_few
 
 STOPWORDS = ENGLISH_STOPWORDS + EXTRA_STOPWORDS
 
@@ -29,8 +28,7 @@ def tokenize(corpus: DataFrame, text: str = "text", doc_id: str = "doc_id", out:
     c = F.col(text)
     if normalize:
         c = normalize_text(c)
-    return (spread_if_few(corpus).select(doc_id, F.explode(F.split(c, r"\s+")).alias(out))
-            .filter(F.col(out) != ""))
+    return corpus.select(doc_id, F.explode(F.split(c, r"\s+")).alias(out)).filter(F.col(out) != "")
 
 
 def remove_stopwords(tokens: DataFrame, col: str = "token", words: Iterable[str] = STOPWORDS) -> DataFrame:
@@ -61,23 +59,13 @@ def stem_terms(terms: DataFrame, col: str = "term") -> DataFrame:
     return terms.select(col).distinct().select(col, _stem_udf(F.col(col)).alias("stem"))
 
 
-def apply_stemming(tokens: DataFrame, col: str = "token") -> DataFrame:
-    """Replace each token by its stem via the distinct-term map. The map is
-    broadcast only when its measured size allows; otherwise a shuffle join."""
-    m = stem_terms(tokens, col)
-    return join_small(tokens, m, on=col).drop(col).withColumnRenamed("stem", col)
-
-
-def document_terms(corpus: DataFrame, stemming: bool = True, min_length: int = 3,
-                   stopwords: Iterable[str] | None = STOPWORDS, text: str = "text",
-                   doc_id: str = "doc_id") -> DataFrame:
-    """Token stream after the control list: split, lower, punctuation,
-    digits, stop words, stemming, minimum length. Columns doc_id, term."""
+def document_terms(corpus: DataFrame, min_length: int = 3, stopwords: Iterable[str] | None = STOPWORDS,
+                   text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """Token stream after the control list without stemming: split, lower, punctuation, digits, stop words, minimum
+    length. Columns doc_id, term."""
     t = tokenize(corpus, text, doc_id, "token", normalize=True)
     if stopwords is not None:
         t = remove_stopwords(t, "token", stopwords)
-    if stemming:
-        t = apply_stemming(t, "token")
     return t.filter(F.length("token") >= min_length).withColumnRenamed("token", "term")
 
 
@@ -98,7 +86,7 @@ def document_term_matrix(corpus: DataFrame, stemming: bool = True, min_length: i
     raw token stream. The length bound applies to the stem.
     """
     if not stemming:
-        return term_counts(document_terms(corpus, False, min_length, stopwords, text, doc_id), doc_id)
+        return term_counts(document_terms(corpus, min_length, stopwords, text, doc_id), doc_id)
     t = tokenize(corpus, text, doc_id, "token", normalize=True)
     if stopwords is not None:
         t = remove_stopwords(t, "token", stopwords)
@@ -118,7 +106,8 @@ def remove_sparse(dtm: DataFrame, n_docs: int | Column, sparse: float) -> DataFr
     """Keep terms present in more than ``n_docs·(1-sparse)`` documents
     (``removeSparseTerms``); ``n_docs`` counts every document of the corpus."""
     keep = doc_frequency(dtm).filter(F.col("df") > F.lit(n_docs) * (1 - sparse)).select("term")
-    return dtm.join(keep, on="term", how="left_semi")
+    # a common term may hold a large share of the rows: the kept terms, measured, go to the matrix, not the other way
+    return join_small(dtm, keep, on="term", how="left_semi")
 
 
 def sparse_document_term_matrix(corpus: DataFrame, sparse: float, doc_id: str = "doc_id", **kw) -> DataFrame:
@@ -168,10 +157,11 @@ def term_frequency(dtm: DataFrame) -> DataFrame:
 
 
 def dtm_summary(dtm: DataFrame) -> DataFrame:
-    """docs, terms, non-zero and zero cells, sparsity (%), longest term."""
-    s = dtm.agg(F.countDistinct("doc_id").alias("docs"), F.countDistinct("term").alias("terms"),
-                F.count(F.lit(1)).alias("non_zero"), F.max(F.length("term")).alias("max_term_length"))
+    """docs, terms, non-zero and zero cells, sparsity (%), longest term; from per-document and per-term row counts."""
+    docs = dtm.groupBy("doc_id").count().agg(F.count(F.lit(1)).alias("docs"), F.coalesce(F.sum("count"), F.lit(0)).alias("non_zero"))
+    terms = dtm.groupBy("term").count().agg(F.count(F.lit(1)).alias("terms"), F.max(F.length("term")).alias("max_term_length"))
+    s = docs.crossJoin(terms)  # two single rows
     cells = F.col("docs") * F.col("terms")
     return s.select("docs", "terms", "non_zero", (cells - F.col("non_zero")).alias("zero"),
-                    F.round(100 * (cells - F.col("non_zero")) / cells).cast("long").alias("sparsity_pct"),
+                    F.round(100 * F.try_divide(cells - F.col("non_zero"), cells)).cast("long").alias("sparsity_pct"),
                     "max_term_length")

@@ -6,8 +6,9 @@ import math
 
 from pyspark.sql import functions as F
 
-from ..functions.clean import knuth_hash32, round_r
+from ..functions.clean import round_r
 from ..operators import charts, reshape, series
+from ..operators.joins import join_null_safe
 from ..operators.sampling import sample_n
 from ..sources.tables import table
 from . import standins as si
@@ -126,28 +127,50 @@ def box_outliers(spark, sf):
         "event_id", "event_type", "value")
 
 
-DENSITY_SQL = with_(DIAMONDS) + f""",
-q AS (SELECT cut, count(*) AS n, stddev_samp(carat) AS sd, quantile_cont(carat, 0.25) AS q1,
-             quantile_cont(carat, 0.75) AS q3 FROM diamonds GROUP BY 1),
-b AS (SELECT cut, n, 0.9 * (CASE WHEN least(sd, (q3 - q1) / 1.34) > 0 THEN least(sd, (q3 - q1) / 1.34)
+def _binned_sql(name: str, source: str, by: str, v: str, lo: str, hi: str, nodes: int) -> str:
+    """``name``: weights of linear binning of ``v`` onto ``nodes`` points from lo to hi (columns of ``source``)."""
+    step = f"(CASE WHEN {hi} > {lo} THEN ({hi} - {lo}) / {nodes - 1} ELSE 1 END)"
+    at = f"least(floor(({v} - {lo}) / {step}), {nodes - 2})"
+    return f"""{name} AS (SELECT {by}, v, sum(w) AS w FROM (
+  SELECT {by}, {lo} + {at} * {step} AS v, 1 - (({v} - {lo}) / {step} - {at}) AS w FROM {source}
+  UNION ALL SELECT {by}, {lo} + ({at} + 1) * {step} AS v, ({v} - {lo}) / {step} - {at} AS w FROM {source}) GROUP BY ALL)"""
+
+
+def _density_sql(by: str) -> str:
+    return with_(DIAMONDS) + f""",
+q AS (SELECT {by}, count(*) AS n, stddev_samp(price) AS sd, quantile_cont(price, 0.25) AS q1,
+             quantile_cont(price, 0.75) AS q3 FROM diamonds GROUP BY 1),
+b AS (SELECT {by}, n, 0.9 * (CASE WHEN least(sd, (q3 - q1) / 1.34) > 0 THEN least(sd, (q3 - q1) / 1.34)
                                  WHEN sd > 0 THEN sd ELSE 1 END) * pow(CAST(n AS DOUBLE), -0.2) AS bw FROM q),
-r AS (SELECT min(carat) AS lo, max(carat) AS hi FROM diamonds),
+r AS (SELECT min(price) AS lo, max(price) AS hi FROM diamonds),
 g AS (SELECT range AS i, lo + range * (hi - lo) / 511 AS gx FROM range(512), r),
-p AS (SELECT cut, carat, CAST(count(*) AS DOUBLE) AS w FROM diamonds GROUP BY 1, 2),
-k AS (SELECT cut, i, gx, sum(w * exp(-0.5 * ((gx - carat) / bw) * ((gx - carat) / bw))) / (n * bw * {SQRT_2PI}) AS density, n
-      FROM p JOIN b USING (cut), g GROUP BY cut, i, gx, n, bw)
-SELECT cut, i, round(gx, 10) AS x, round(density, 10) AS density, round(density * n, 6) AS count,
-       round(density / max(density) OVER (PARTITION BY cut), 10) AS scaled, n FROM k"""
+raw AS (SELECT {by}, price, lo, hi FROM diamonds, r),
+{_binned_sql("p", "raw", by, "price", "lo", "hi", 2048)},
+k AS (SELECT {by}, i, gx, sum(w * exp(-0.5 * ((gx - v) / bw) * ((gx - v) / bw))) / (n * bw * {SQRT_2PI}) AS density, n
+      FROM p JOIN b USING ({by}), g GROUP BY {by}, i, gx, n, bw)
+SELECT {by}, i, round(gx, 6) AS x, round(density, 10) AS density, round(density * n, 6) AS count,
+       round(density / max(density) OVER (PARTITION BY {by}), 8) AS scaled, n FROM k"""
+
 
+def _density(spark, sf, by: str):
+    d = charts.stat_density(si.diamonds(spark, sf), "price", by=[by], n=512)
+    return d.select(by, "i", R6("x").alias("x"), R10("density").alias("density"), R6("count").alias("count"),
+                    F.round("scaled", 8).alias("scaled"), "n")
 
-@query("density_1d", DENSITY_SQL)
+
+@query("density_1d", _density_sql("cut"))
 def density_1d(spark, sf):
-    d = charts.stat_density(si.diamonds(spark, sf), "carat", by=["cut"], n=512)
-    return d.select("cut", "i", R10("x").alias("x"), R10("density").alias("density"), R6("count").alias("count"),
-                    R10("scaled").alias("scaled"), "n")
+    """Density of the continuous price by cut."""
+    return _density(spark, sf, "cut")
+
 
+@query("density_1d_color", _density_sql("color"))
+def density_1d_color(spark, sf):
+    """Density of price by colour."""
+    return _density(spark, sf, "color")
 
-DENSITY2_SQL = with_(DIAMONDS) + """,
+
+DENSITY2_SQL = with_(DIAMONDS) + f""",
 hx AS (SELECT 4 * 1.06 * least(stddev_samp(carat), (quantile_cont(carat, 0.75) - quantile_cont(carat, 0.25)) / 1.34)
               * pow(CAST(count(*) AS DOUBLE), -0.2) / 4 AS h FROM diamonds),
 hy AS (SELECT 4 * 1.06 * least(stddev_samp(depth), (quantile_cont(depth, 0.75) - quantile_cont(depth, 0.25)) / 1.34)
@@ -155,37 +178,41 @@ hy AS (SELECT 4 * 1.06 * least(stddev_samp(depth), (quantile_cont(depth, 0.75) -
 r AS (SELECT min(carat) AS x0, max(carat) AS x1, min(depth) AS y0, max(depth) AS y1, count(*) AS n FROM diamonds),
 g AS (SELECT a.range AS ix, b.range AS iy, x0 + a.range * (x1 - x0) / 24 AS gx, y0 + b.range * (y1 - y0) / 24 AS gy
       FROM range(25) a, range(25) b, r),
-p AS (SELECT carat, depth, CAST(count(*) AS DOUBLE) AS w FROM diamonds GROUP BY 1, 2)
+raw AS (SELECT row_number() OVER () AS id, carat, depth, x0, x1, y0, y1 FROM diamonds, r),
+{_binned_sql("px", "raw", "id", "carat", "x0", "x1", 256)},
+{_binned_sql("py", "raw", "id", "depth", "y0", "y1", 256)},
+p AS (SELECT px.v AS vx, py.v AS vy, sum(px.w * py.w) AS w FROM px JOIN py USING (id) GROUP BY 1, 2)
 SELECT ix, iy, round(gx, 10) AS x, round(gy, 10) AS y,
-       round(sum(w * exp(-0.5 * (((gx - carat) / hx.h) * ((gx - carat) / hx.h) + ((gy - depth) / hy.h) * ((gy - depth) / hy.h))))
-             / (max(n) * max(hx.h) * max(hy.h) * 2 * pi()), 12) AS density
+       round(sum(w * exp(-0.5 * (((gx - vx) / hx.h) * ((gx - vx) / hx.h) + ((gy - vy) / hy.h) * ((gy - vy) / hy.h))))
+             / (max(n) * max(hx.h) * max(hy.h) * 2 * pi()), 10) AS density
 FROM p, g, hx, hy, r GROUP BY ix, iy, gx, gy"""
 
 
 @query("density_2d", DENSITY2_SQL)
 def density_2d(spark, sf):
     d = charts.stat_density_2d(si.diamonds(spark, sf), "carat", "depth", n=25)
-    return d.select("ix", "iy", R10("x").alias("x"), R10("y").alias("y"), F.round("density", 12).alias("density"))
+    return d.select("ix", "iy", R10("x").alias("x"), R10("y").alias("y"), R10("density").alias("density"))
 
 
 POLY_CTES = with_(DIAMONDS) + """,
-m AS (SELECT clarity, avg(carat) AS xbar FROM diamonds GROUP BY 1),
-s AS (SELECT clarity, count(*) AS n, any_value(xbar) AS xbar, sum(carat - xbar) AS s1, sum((carat - xbar) * (carat - xbar)) AS s2,
+m AS (SELECT clarity, avg(carat) AS xbar, avg(price) AS ybar FROM diamonds GROUP BY 1),
+s AS (SELECT clarity, count(*) AS n, any_value(xbar) AS xbar, any_value(ybar) AS ybar, sum(carat - xbar) AS s1, sum((carat - xbar) * (carat - xbar)) AS s2,
              sum((carat - xbar) * (carat - xbar) * (carat - xbar)) AS s3,
              sum((carat - xbar) * (carat - xbar) * (carat - xbar) * (carat - xbar)) AS s4,
-             sum(price) AS t0, sum((carat - xbar) * price) AS t1, sum((carat - xbar) * (carat - xbar) * price) AS t2,
-             sum(price * price) AS syy, min(carat) AS xmin, max(carat) AS xmax
+             sum(price - ybar) AS t0, sum((carat - xbar) * (price - ybar)) AS t1,
+             sum((carat - xbar) * (carat - xbar) * (price - ybar)) AS t2, sum((price - ybar) * (price - ybar)) AS syy, min(carat) AS xmin, max(carat) AS xmax
       FROM diamonds JOIN m USING (clarity) GROUP BY 1),
 d AS (SELECT *, n * (s2 * s4 - s3 * s3) - s1 * (s1 * s4 - s3 * s2) + s2 * (s1 * s3 - s2 * s2) AS det FROM s),
-a AS (SELECT *, (t0 * (s2 * s4 - s3 * s3) - s1 * (t1 * s4 - s3 * t2) + s2 * (t1 * s3 - s2 * t2)) / det AS a0,
+c AS (SELECT *, (t0 * (s2 * s4 - s3 * s3) - s1 * (t1 * s4 - s3 * t2) + s2 * (t1 * s3 - s2 * t2)) / det AS a0,
                 (n * (t1 * s4 - s3 * t2) - t0 * (s1 * s4 - s3 * s2) + s2 * (s1 * t2 - t1 * s2)) / det AS a1,
-                (n * (s2 * t2 - t1 * s3) - s1 * (s1 * t2 - t1 * s2) + t0 * (s1 * s3 - s2 * s2)) / det AS a2 FROM d)
+                (n * (s2 * t2 - t1 * s3) - s1 * (s1 * t2 - t1 * s2) + t0 * (s1 * s3 - s2 * s2)) / det AS a2 FROM d),
+a AS (SELECT * REPLACE (a0 + ybar AS a0), (syy - a0 * t0 - a1 * t1 - a2 * t2) / (n - 3) AS sigma2 FROM c)
 """
 
 POLY_SQL = POLY_CTES + """
 SELECT clarity, n, round(xbar, 9) AS xbar, round(a0, 4) AS a0, round(a1, 4) AS a1, round(a2, 6) AS a2,
        round(a0 - a1 * xbar + a2 * xbar * xbar, 4) AS b0, round(a1 - 2 * a2 * xbar, 4) AS b1, round(a2, 6) AS b2,
-       round((syy - a0 * t0 - a1 * t1 - a2 * t2) / (n - 3) / 1000000, 3) AS sigma2_m, xmin, xmax FROM a"""
+       round(sigma2 / 1000000, 3) AS sigma2_m, xmin, xmax FROM a"""
 
 
 @query("poly_fit", POLY_SQL)
@@ -203,8 +230,7 @@ _T = [repr(_Z ** 3 + _Z), repr(5 * _Z ** 5 + 16 * _Z ** 3 + 3 * _Z), repr(3 * _Z
       repr(79 * _Z ** 9 + 776 * _Z ** 7 + 1482 * _Z ** 5 - 1920 * _Z ** 3 - 945 * _Z)]
 
 POLY_SMOOTH_SQL = POLY_CTES + f""",
-f AS (SELECT *, CAST(n AS DOUBLE) AS s0, (syy - a0 * t0 - a1 * t1 - a2 * t2) / (n - 3) AS sigma2,
-             CAST(n - 3 AS DOUBLE) AS v FROM a),
+f AS (SELECT *, CAST(n AS DOUBLE) AS s0, CAST(n - 3 AS DOUBLE) AS v FROM a),
 g AS (SELECT f.*, r.range AS i, xmin + r.range * (xmax - xmin) / 79 AS gx FROM f, range(80) r),
 h AS (SELECT *, gx - xbar AS u,
              s0 * (s2 * s4 - s3 * s3) - s1 * (s1 * s4 - s3 * s2) + s2 * (s1 * s3 - s2 * s2) AS det0,
@@ -228,45 +254,30 @@ def poly_smooth(spark, sf):
 
 @query("scatter_points", with_(DIAMONDS) + """
 SELECT carat, price, clarity FROM diamonds
-ORDER BY ((((row_key + 12345) % 4294967296) // 65536 * 2654435761) % 65536 * 65536
-          + ((row_key + 12345) % 65536) * 2654435761) % 4294967296,
-         carat, cut, color, clarity, depth, price, row_key
-LIMIT 1000""")
+ORDER BY md5(concat_ws('|', '12345', CAST(row_key AS VARCHAR))), row_key LIMIT 1000""")
 def scatter_points(spark, sf):
     """A reproducible 1000-row sample (hash of the row key with seed 12345)."""
-    d = si.diamonds(spark, sf)
-    return sample_n(d, 1000, seed=12345, order=[knuth_hash32(F.col("row_key") + 12345)]).select(
-        "carat", "price", "clarity")
-
-
-LI_COLS = ("l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, "
-           "l_returnflag, l_linestatus, l_shipdate")
+    return sample_n(si.diamonds(spark, sf), 1000, seed=12345, key=["row_key"]).select("carat", "price", "clarity")
 
 
-@query("sample_exact", f"""
+@query("sample_exact", """
 SELECT * FROM lineitem
-ORDER BY ((((l_orderkey * 10 + l_linenumber + 12345) % 4294967296) // 65536 * 2654435761) % 65536 * 65536
-          + ((l_orderkey * 10 + l_linenumber + 12345) % 65536) * 2654435761) % 4294967296, {LI_COLS}
-LIMIT 1000""")
+ORDER BY md5(concat_ws('|', '12345', CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VARCHAR))) LIMIT 1000""")
 def sample_exact(spark, sf):
     """Exactly 1000 lineitems, reproducible for a seed whatever the
-    partitioning: smallest 32-bit hashes of (row key + seed 12345)."""
-    li = table(spark, sf, "lineitem")
-    key = F.col("l_orderkey") * 10 + F.col("l_linenumber") + 12345
-    return sample_n(li, 1000, seed=12345, order=[knuth_hash32(key)])
+    partitioning: smallest hashes of seed 12345 and the row's key."""
+    return sample_n(table(spark, sf, "lineitem"), 1000, seed=12345, key=["l_orderkey", "l_linenumber"])
 
 
 @query("facet_counts", with_(DIAMONDS) + """,
 p AS (SELECT cut, CAST(dense_rank() OVER (ORDER BY cut) AS BIGINT) AS panel, count(*) OVER () AS np
       FROM (SELECT DISTINCT cut FROM diamonds))
-SELECT cut, clarity, count(*) AS count, panel,
-       CAST(floor((panel - 1) / ceil(sqrt(np))) + 1 AS BIGINT) AS "row",
-       CAST((panel - 1) % CAST(ceil(sqrt(np)) AS BIGINT) + 1 AS BIGINT) AS col
-FROM diamonds JOIN p USING (cut) GROUP BY cut, clarity, panel, np""")
+SELECT cut, clarity, count(*) AS count, panel, CAST(1 AS BIGINT) AS "row", panel AS col  -- the published layout of three panels: one row
+FROM diamonds JOIN p USING (cut) GROUP BY cut, clarity, panel, np HAVING np = 3""")
 def facet_counts(spark, sf):
     d = si.diamonds(spark, sf)
     counts = charts.stat_count(d, "clarity", "cut")
-    return counts.join(charts.facet_panels(d, "cut"), on="cut").select("cut", "clarity", "count", "panel", "row", "col")
+    return join_null_safe(counts, charts.facet_panels(d, "cut"), ["cut"]).select("cut", "clarity", "count", "panel", "row", "col")
 
 
 @query("line_series", with_(AIR) + """
@@ -348,7 +359,8 @@ b_{v} AS (SELECT n, 0.9 * (CASE WHEN least(sd, (q3 - q1) / 1.34) > 0 THEN least(
                                 WHEN sd > 0 THEN sd ELSE 1 END) * pow(CAST(n AS DOUBLE), -0.2) AS bw FROM q_{v}),
 g_{v} AS (SELECT range AS i, lo + range * (hi - lo) / 511 AS gx
           FROM range(512), (SELECT min({v}) AS lo, max({v}) AS hi FROM diamonds)),
-p_{v} AS (SELECT {v} AS v, CAST(count(*) AS DOUBLE) AS w FROM diamonds GROUP BY 1),
+raw_{v} AS (SELECT 1 AS one, {v}, lo, hi FROM diamonds, (SELECT min({v}) AS lo, max({v}) AS hi FROM diamonds)),
+{_binned_sql("p_" + v, "raw_" + v, "one", v, "lo", "hi", 2048)},
 k_{v} AS (SELECT i, gx, sum(w * exp(-0.5 * ((gx - v) / bw) * ((gx - v) / bw))) / (n * bw * {SQRT_2PI}) AS density
           FROM p_{v}, b_{v}, g_{v} GROUP BY i, gx, n, bw)"""
 

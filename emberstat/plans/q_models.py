@@ -10,7 +10,7 @@ from ..operators.checkpoint import materialize
 from ..operators.prep import separate
 from ..operators.sampling import hash_part, hash_split, random_split
 from ..session import scratch_path
-from ..sources.csv import write_csv
+from ..sources.csv import read_csv, write_csv
 from ..sources.models import load_model, save_model
 from ..sources.tables import table
 from . import flights as fl
@@ -21,20 +21,13 @@ from .sqlparts import PREPARED, SCORED, with_
 SPLIT = {"training": 0.7, "test": 0.2, "validation": 0.1}
 SPLIT_SEED, FOREST_SEED, TREES = 101917, 10432, 100
 
-_CTX: dict = {}
-
-
-def study(spark, sf, trees: int = TREES):
-    """Prepared table (written once: three fits read it), key-hash split,
-    the three fitted models and the feature names."""
-    key = (sf, trees, id(spark))
-    if key not in _CTX:
-        prepared = materialize(fl.prepared(spark, sf, keep_key=True))
-        parts = hash_split(prepared, SPLIT, "FlightNum")
-        models = cl.fit_all(parts["training"], "IsDepDelayed", fl.FEATURES, trees, FOREST_SEED)
-        names = cl.feature_names(models["Logistic"].stages[0].transform(parts["training"]))
-        _CTX[key] = (prepared, parts, models, names)
-    return _CTX[key]
+def study(spark, sf, only: list[str] | None = None, trees: int = TREES):
+    """Key-hash split of the prepared table (written once: the fits read it), the fitted models (``only`` some) and
+    the feature names."""
+    parts = hash_split(materialize(fl.prepared(spark, sf, keep_key=True)), SPLIT, "FlightNum")
+    models = cl.fit_all(parts["training"], "IsDepDelayed", fl.FEATURES, trees, FOREST_SEED, only)
+    names = cl.feature_names(next(iter(models.values())).stages[0].transform(parts["training"]))
+    return parts, models, names
 
 
 HASH_SQL = """((((FlightNum % 4294967296) // 65536 * 2654435761) % 65536 * 65536
@@ -62,17 +55,6 @@ def random_split_q(spark, sf):
     return bind_rows_labelled(parts, "part").groupBy("part").agg(F.count(F.lit(1)).alias("n"))
 
 
-DEST_LEVELS = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED"]
-
-
-@query("dummy_encode", PREPARED + "SELECT FlightNum, Dest, " + ", ".join(
-    f"CASE WHEN Dest = '{lv}' THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS \"Dest_{cl._safe(lv)}\""
-    for lv in DEST_LEVELS) + " FROM prepared")
-def dummy_encode(spark, sf):
-    """Indicator columns of the destination (last level dropped)."""
-    return cl.dummy_encode(fl.prepared(spark, sf, keep_key=True), "Dest", keep=["FlightNum"])
-
-
 # Oracle side only: levels of each categorical predictor in alphabetical
 # order, last one dropped (the formula's encoding), valid while every level
 # occurs in the training part (true for the test tables); numbers pass
@@ -85,6 +67,14 @@ _LEVELS = {
 }
 
 
+@query("dummy_encode", PREPARED + "SELECT FlightNum, " + ", ".join(_LEVELS) + ", " + ", ".join(
+    f"CASE WHEN {c} = '{lv}' THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS \"{c}_{cl._safe(lv)}\""
+    for c, levels in _LEVELS.items() for lv in levels) + " FROM prepared")
+def dummy_encode(spark, sf):
+    """Indicator columns of the four categorical predictors (last level of each dropped), in one call."""
+    return cl.dummy_encode(fl.prepared(spark, sf, keep_key=True), list(_LEVELS), keep=["FlightNum"])
+
+
 def _feature_sql() -> str:
     parts = []
     for f in fl.FEATURES:
@@ -102,8 +92,8 @@ WHERE h < {int(0.7 * 2 ** 32)} AND {' AND '.join(c + ' IS NOT NULL' for c in fl.
 def feature_matrix(spark, sf):
     """Assembled training matrix: label and the feature vector as an array,
     NULL-feature rows skipped."""
-    prepared, parts, models, names = study(spark, sf)
-    x = models["Logistic"].stages[0].transform(parts["training"])
+    train = hash_split(materialize(fl.prepared(spark, sf, keep_key=True)), SPLIT, "FlightNum")["training"]
+    x = cl.feature_pipeline("IsDepDelayed", fl.FEATURES).fit(train).transform(train)
     return x.select("FlightNum", "label", vector_to_array_col(x))
 
 
@@ -114,18 +104,22 @@ def vector_to_array_col(df):
 
 
 def _model_summary(spark, sf, name):
-    prepared, parts, models, names = study(spark, sf)
+    """One row about a fit: what it read, its size, and how well it ranks the rows it was fitted on."""
+    parts, models, names = study(spark, sf, [name])
     m = models[name]
     est = m.stages[-1]
-    depth = getattr(est, "depth", None) if name == "Decision Tree" else None
-    trees = getattr(est, "getNumTrees", None)
-    used = m.stages[0].transform(parts["training"]).agg(F.count(F.lit(1)).alias("used_rows"))
-    rows = parts["training"].agg(F.count(F.lit(1)).alias("train_rows")).crossJoin(used)
-    return rows.select(
+    nodes = est.numNodes if name == "Decision Tree" else est.totalNumNodes if name == "Random Forest" else None
+    strength = est.coefficients.toArray() if name == "Logistic" else est.featureImportances.toArray()
+    scored = materialize(cl.score(m, parts["training"]).drop("probability"))
+    rows = parts["training"].agg(F.count(F.lit(1)).alias("train_rows")).crossJoin(
+        scored.agg(F.count(F.lit(1)).alias("used_rows"), F.avg("label").alias("mean_label"), F.avg("p_yes").alias("mean_p")))
+    return rows.crossJoin(cl.auc(scored).select(F.col("auc").alias("train_auc"))).select(
         F.lit(name).alias("model"), F.lit(len(names)).alias("n_features"), "train_rows",
         "used_rows", (F.col("train_rows") - F.col("used_rows")).alias("dropped_rows"),
-        F.lit(depth).cast("int").alias("depth"),
-        F.lit(trees if isinstance(trees, int) else None).cast("int").alias("trees"))
+        F.lit(est.depth if name == "Decision Tree" else None).cast("int").alias("depth"),
+        F.lit(est.getNumTrees if name == "Random Forest" else None).cast("int").alias("trees"),
+        F.lit(nodes).cast("long").alias("nodes"), F.lit(int((strength != 0).sum())).alias("used_features"),
+        "mean_label", "mean_p", "train_auc")
 
 
 @query("fit_logistic")
@@ -146,45 +140,45 @@ def fit_forest(spark, sf):
 @query("score_all_models")
 def score_all_models(spark, sf):
     """Test rows scored by all three models, labelled by model."""
-    prepared, parts, models, names = study(spark, sf)
+    parts, models, _ = study(spark, sf)
     return cl.score_all(models, parts["test"])
 
 
 @query("score_validation")
 def score_validation(spark, sf):
     """Validation rows scored by the forest: the 15 model columns plus
-    ``P_Delayed`` (element 2 of the probability vector), written as CSV and
-    read back (vectors cannot go to CSV)."""
-    prepared, parts, models, names = study(spark, sf)
+    ``P_Delayed`` (element 2 of the probability vector), written as one CSV
+    file and read back (vectors cannot go to CSV)."""
+    parts, models, _ = study(spark, sf, ["Random Forest"])
     s = separate(models["Random Forest"].transform(parts["validation"]), "probability", {"P_Delayed": 2})
     out = s.select(*fl.MODEL_COLUMNS, "P_Delayed")
-    path = write_csv(out, scratch_path(spark, "scored-validation"))
-    return spark.read.schema(out.schema).option("header", True).csv(path)
+    path = write_csv(out, scratch_path(spark, "scored-validation"), single_file=True)
+    return read_csv(spark, path, schema=out.schema)
 
 
 @query("metrics_long")
 def metrics_long(spark, sf):
     """AUC and accuracy (×100) of each model on the test part, long form."""
-    prepared, parts, models, names = study(spark, sf)
+    parts, models, _ = study(spark, sf)
     return cl.performance(models, parts["test"])
 
 
 @query("feature_importance")
 def feature_importance(spark, sf):
-    prepared, parts, models, names = study(spark, sf)
+    _, models, names = study(spark, sf, ["Decision Tree", "Random Forest"])
     return spark.createDataFrame(cl.importances(models, names), "feature string, importance double, Model string")
 
 
 @query("coefficients")
 def coefficients(spark, sf):
-    prepared, parts, models, names = study(spark, sf)
+    _, models, names = study(spark, sf, ["Logistic"])
     return spark.createDataFrame(cl.coefficients(models["Logistic"], names), "term string, estimate double")
 
 
 @query("model_save_load")
 def model_save_load(spark, sf):
     """Save the forest pipeline, load it, and score the validation part."""
-    prepared, parts, models, names = study(spark, sf)
+    parts, models, _ = study(spark, sf, ["Random Forest"])
     path = save_model(models["Random Forest"], scratch_path(spark, "forest"))
     return cl.score(load_model(PipelineModel, path), parts["validation"], keep=["FlightNum"]).drop("probability")
 

@@ -7,7 +7,6 @@ from pyspark.sql import types as T
 
 from ..functions.clean import clean_trace, make_date_from_parts, parse_date_us, round_r, to_num
 from ..operators import joins, prep, reshape, series
-from ..operators.ranks import rank_keys
 from ..session import scratch_path
 from ..sources import csv as csvio
 from ..sources import frames
@@ -15,7 +14,7 @@ from ..sources.tables import register_tables, table
 from . import flights as fl
 from . import standins as si
 from .registry import query
-from .sqlparts import AIR, DIAMONDS, FLIGHTS, MONTHLY, OHARE, PREPARED, WEATHER, with_
+from .sqlparts import AIR, DIAMONDS, FLIGHTS, MONTHLY, SELECTED, PREPARED, WEATHER, with_
 
 PREPARED_COLS = ", ".join(["FlightNum"] + fl.MODEL_COLUMNS)
 
@@ -39,12 +38,17 @@ def _list_dirs(spark, path: str) -> list[str]:
     return sorted(s.getPath().toString() for s in fs.listStatus(p) if s.isDirectory())
 
 
-@query("csv_round_trip", PREPARED + f"SELECT {PREPARED_COLS} FROM prepared")
+@query("csv_round_trip", PREPARED + f"""SELECT {PREPARED_COLS}, CASE FlightNum % 7 WHEN 0 THEN ' lead' WHEN 1 THEN 'trail ' WHEN 2 THEN ''
+  WHEN 3 THEN 'two' || chr(10) || 'lines' WHEN 4 THEN 'a "quoted" word' WHEN 5 THEN 'comma, and \\' END AS note FROM prepared""")
 def csv_round_trip(spark, sf):
-    """Prepared table → CSV folder (vector-free columns) → read back with its schema."""
+    """Prepared table with a free-text column → CSV folder (vector-free columns) → read back with its schema."""
     df = fl.prepared(spark, sf, keep_key=True)
+    note = F.lit(None).cast("string")
+    for k, text in enumerate([" lead", "trail ", "", "two\nlines", 'a "quoted" word', "comma, and \\"]):
+        note = F.when(F.col("FlightNum") % 7 == k, F.lit(text)).otherwise(note)
+    df = df.withColumn("note", note)
     path = csvio.write_csv(df, scratch_path(spark, "scored-csv"))
-    return csvio.read_csv(spark, path, schema=df.schema)
+    return csvio.read_csv(spark, path, schema=df.schema, multi_line=True)
 
 
 @query("multi_file_union", with_(FLIGHTS) + "SELECT * FROM flights")
@@ -156,7 +160,7 @@ def semi_join_in(spark, sf):
     return joins.semi_in(li, keep, "l_partkey")
 
 
-@query("sequential_mutate", "WITH " + ",".join([FLIGHTS, WEATHER, OHARE]) +
+@query("sequential_mutate", "WITH " + ",".join([FLIGHTS, WEATHER, SELECTED]) +
        "\nSELECT FlightNum, DepDelay, IsDepDelayed FROM labelled")
 def sequential_mutate(spark, sf):
     f = fl.clean_flights(fl.with_weather(fl.origin_flights(si.flights(spark, sf)),
@@ -164,7 +168,7 @@ def sequential_mutate(spark, sf):
     return f.select("FlightNum", "DepDelay", "IsDepDelayed")
 
 
-@query("if_else_null", "WITH " + ",".join([FLIGHTS, WEATHER, OHARE]) + """
+@query("if_else_null", "WITH " + ",".join([FLIGHTS, WEATHER, SELECTED]) + """
 SELECT CASE WHEN TmaxF > 300 THEN 'hot' ELSE 'mild' END AS heat, count(*) AS n FROM joined GROUP BY 1""")
 def if_else_null(spark, sf):
     """NULL condition (flight without weather) takes the ELSE branch."""
@@ -205,7 +209,7 @@ def clean_trace_q(spark, sf):
         F.round(F.sum("clean"), 4).alias("total"))
 
 
-@query("delay_label", "WITH " + ",".join([FLIGHTS, WEATHER, OHARE]) +
+@query("delay_label", "WITH " + ",".join([FLIGHTS, WEATHER, SELECTED]) +
        "\nSELECT IsDepDelayed, count(*) AS n FROM labelled GROUP BY 1")
 def delay_label(spark, sf):
     f = fl.clean_flights(fl.origin_flights(si.flights(spark, sf)).withColumns(
@@ -229,7 +233,7 @@ def bucketize(spark, sf):
     return b.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("left_join_calendar", "WITH " + ",".join([FLIGHTS, WEATHER, OHARE]) + "\nSELECT * FROM joined")
+@query("left_join_calendar", "WITH " + ",".join([FLIGHTS, WEATHER, SELECTED]) + "\nSELECT * FROM joined")
 def left_join_calendar(spark, sf):
     return fl.with_weather(fl.origin_flights(si.flights(spark, sf)), fl.weather_by_day(si.weather(spark, sf)))
 
@@ -287,8 +291,8 @@ def sort_multi(spark, sf):
     position is part of the result so the order is checked."""
     p = table(spark, sf, "part").select("p_type", "p_retailprice", "p_partkey",
                                         (-F.col("p_retailprice")).alias("_neg"))
-    pos = rank_keys(p, ["p_type", "_neg", "p_partkey"], method="row_number", name="pos")
-    return pos.select("p_type", (-F.col("_neg")).alias("p_retailprice"), "p_partkey", "pos").orderBy("pos")
+    pos = joins.row_index(p, ["p_type", "_neg", "p_partkey"], "pos").drop("_neg")
+    return prep.arrange(pos, "p_type", F.desc("p_retailprice"), "p_partkey")
 
 
 @query("distinct_values", "SELECT DISTINCT p_brand FROM part")

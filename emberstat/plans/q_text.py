@@ -1,8 +1,9 @@
 """Group C queries: text → document-term matrix → sparse cut → frequencies.
 
 Oracle twins run the same control list in DuckDB; stemming has no DuckDB
-twin, so the oracle-checked keys use ``stemming=False`` and the stemmer is
-checked by goldens (tests) and the rows-only ``stem_tokens`` key.
+twin, so each key with an oracle uses ``stemming=False`` and has a stemmed
+counterpart (``stemmed_*``, the study's own form) that tests recount in plain
+Python; the stemmer itself is checked by goldens.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import collapse_whitespace, normalize_text
 from ..operators import text as tx
+from ..sources.tables import table
 from . import standins as si
 from .registry import query
 
@@ -43,24 +45,24 @@ def _sparse_dtm(spark, sf, stemming=False):
 
 
 @query("text_normalize", r"""SELECT doc_id, trim(regexp_replace(regexp_replace(regexp_replace(lower(text),
-  '[[:punct:]]', '', 'g'), '[0-9]', '', 'g'), '\s+', ' ', 'g')) AS norm FROM documents WHERE lang = 'en'""")
+  '[[:punct:]]', '', 'g'), '[0-9]', '', 'g'), '\s+', ' ', 'g')) AS norm FROM documents""")
 def text_normalize(spark, sf):
-    c = si.reviews(spark, sf)
+    c = table(spark, sf, "documents")
     return c.select("doc_id", collapse_whitespace(normalize_text(F.col("text"))).alias("norm"))
 
 
 @query("tokenize", r"""SELECT doc_id, token, count(*) AS n FROM (
-  SELECT doc_id, unnest(regexp_split_to_array(text, '\s+')) AS token FROM documents WHERE lang = 'en')
+  SELECT doc_id, unnest(regexp_split_to_array(text, '\s+')) AS token FROM documents)
 WHERE token != '' GROUP BY 1, 2""")
 def tokenize(spark, sf):
-    t = tx.tokenize(si.reviews(spark, sf))
+    t = tx.tokenize(table(spark, sf, "documents"))
     return t.groupBy("doc_id", "token").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("term_counts", CORPUS_SQL + "SELECT doc_id, token AS term, count(*) AS tf FROM toks GROUP BY 1, 2")
+@query("term_counts", CORPUS_SQL.replace(" WHERE lang = 'en'", "") + "SELECT doc_id, token AS term, count(*) AS tf FROM toks GROUP BY 1, 2")
 def term_counts(spark, sf):
     """Raw term frequency of the normalised tokens."""
-    t = tx.tokenize(si.reviews(spark, sf), normalize=True).withColumnRenamed("token", "term")
+    t = tx.tokenize(table(spark, sf, "documents"), normalize=True).withColumnRenamed("token", "term")
     return tx.term_counts(t)
 
 
@@ -142,3 +144,44 @@ def stem_tokens(spark, sf):
     """Distinct kept tokens of the corpus with their Snowball English stems."""
     t = tx.remove_stopwords(tx.tokenize(si.reviews(spark, sf), normalize=True)).withColumnRenamed("token", "term")
     return tx.stem_terms(t)
+
+
+@query("stemmed_document_term_matrix")
+def stemmed_document_term_matrix(spark, sf):
+    return _dtm(spark, sf, True)
+
+
+@query("stemmed_sparse_terms")
+def stemmed_sparse_terms(spark, sf):
+    return tx.doc_frequency(_sparse_dtm(spark, sf, True))
+
+
+@query("stemmed_vocabulary")
+def stemmed_vocabulary(spark, sf):
+    return tx.vocabulary_ids(_sparse_dtm(spark, sf, True))
+
+
+@query("stemmed_nonempty_docs")
+def stemmed_nonempty_docs(spark, sf):
+    return tx.drop_empty_docs(_sparse_dtm(spark, sf, True))
+
+
+@query("stemmed_doc_lengths")
+def stemmed_doc_lengths(spark, sf):
+    return tx.doc_lengths(_sparse_dtm(spark, sf, True))
+
+
+@query("stemmed_term_frequency")
+def stemmed_term_frequency(spark, sf):
+    return tx.term_frequency(_sparse_dtm(spark, sf, True))
+
+
+@query("stemmed_summary")
+def stemmed_summary(spark, sf):
+    return tx.dtm_summary(_sparse_dtm(spark, sf, True))
+
+
+@query("stemmed_top_words")
+def stemmed_top_words(spark, sf):
+    """The 30 most frequent stems."""
+    return tx.word_freq(_sparse_dtm(spark, sf, True), 30)

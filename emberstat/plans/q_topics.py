@@ -19,7 +19,10 @@ from . import standins as si
 from .q_text import CORPUS_SQL, SPARSE
 from .registry import query
 
-K, ALPHA, BETA, SEED, ITERS = 20, 0.02, 0.1, 3456, 20
+# fixed values of the study: topics, prior on θ, seed
+K, ALPHA, SEED = 20, 0.02, 3456
+#: Prior on φ and full passes over the documents (an online fit needs far fewer passes than a sampler).
+BETA, ITERS = 0.1, 10
 
 # ---------------------------------------------------------------- stand-in φ
 STANDIN_SQL = CORPUS_SQL + """,
@@ -91,21 +94,17 @@ def topic_distance(spark, sf):
 
 
 # ---------------------------------------------------------------- fitted LDA
-_FITS: dict = {}
+def lda_inputs(spark, sf):
+    """Stemmed, sparse-cut DTM of the reviews, its vocabulary and count vectors (both written once)."""
+    dtm = materialize(tx.sparse_document_term_matrix(si.reviews(spark, sf), SPARSE, stemming=True))
+    vocab = tp.vocabulary(dtm)
+    return dtm, vocab, materialize(tp.count_vectors(dtm, vocab))
 
 
 def lda_context(spark, sf, k=K, max_iter=ITERS):
-    """Stemmed, sparse-cut DTM of the reviews, its vocabulary, count vectors
-    (written once to the checkpoint folder) and a fitted model."""
-    key = (sf, k, max_iter, id(spark))
-    if key not in _FITS:
-        corpus = si.reviews(spark, sf)
-        dtm = materialize(tx.sparse_document_term_matrix(corpus, SPARSE, stemming=True))
-        vocab = tp.vocabulary(dtm)
-        vectors = materialize(tp.count_vectors(dtm, vocab))
-        model = tp.fit_lda(vectors, k=k, alpha=ALPHA, beta=BETA, seed=SEED, max_iter=max_iter)
-        _FITS[key] = (dtm, vocab, vectors, model)
-    return _FITS[key]
+    """The inputs and a fitted model."""
+    dtm, vocab, vectors = lda_inputs(spark, sf)
+    return dtm, vocab, vectors, tp.fit_lda(vectors, k=k, alpha=ALPHA, beta=BETA, seed=SEED, max_iter=max_iter)
 
 
 @query("lda_fit")
@@ -138,14 +137,14 @@ def lda_theta(spark, sf):
 
 @query("lda_trace")
 def lda_trace(spark, sf):
-    """Bound after 5, 10, …, 30 iterations (the index is ``seq(keep, n, keep)``)."""
-    _, _, vectors, _ = lda_context(spark, sf)
-    return tp.lda_trace(vectors, list(range(5, 31, 5)), k=K, alpha=ALPHA, beta=BETA, seed=SEED)
+    """Bound after 2, 4, …, 12 full passes (the index is ``seq(keep, n, keep)``)."""
+    _, _, vectors = lda_inputs(spark, sf)
+    return tp.lda_trace(vectors, list(range(2, 13, 2)), k=K, alpha=ALPHA, beta=BETA, seed=SEED)
 
 
 @query("lda_sweep_k")
 def lda_sweep_k(spark, sf):
-    _, _, vectors, _ = lda_context(spark, sf)
+    _, _, vectors = lda_inputs(spark, sf)
     return tp.sweep_k(vectors, [5, 10, 20], alpha=ALPHA, beta=BETA, seed=SEED, max_iter=ITERS)
 
 

@@ -1,8 +1,5 @@
 """DuckDB twins of the stand-in inputs (see ``standins.py``), as CTE text."""
 
-DBL1 = "CAST(1 AS DOUBLE)"
-DBL0 = "CAST(0 AS DOUBLE)"
-
 FLIGHTS = """
 flights AS (
   SELECT l_orderkey * 10 + l_linenumber AS FlightNum,
@@ -38,9 +35,9 @@ wparsed AS (
          CAST(day(dt) AS INTEGER) AS DayofMonth, TmaxF, TminF, TmeanF, PrcpIn, SnowIn, CDD, HDD, GDD
   FROM (SELECT CAST(try_strptime(Date, '%m/%d/%Y') AS DATE) AS dt, * FROM weather))"""
 
-OHARE = """
-ohare AS (SELECT * FROM flights WHERE Origin = 'R' AND Year >= 1996 AND DepTime != 'NA' AND ArrTime != 'NA'),
-joined AS (SELECT * FROM ohare LEFT JOIN wparsed USING (Year, Month, DayofMonth)),
+SELECTED = """
+selected AS (SELECT * FROM flights WHERE Origin = 'R' AND Year >= 1996 AND DepTime != 'NA' AND ArrTime != 'NA'),
+joined AS (SELECT * FROM selected LEFT JOIN wparsed USING (Year, Month, DayofMonth)),
 cleaned AS (
   SELECT * REPLACE (
            TRY_CAST(DepTime AS DOUBLE) AS DepTime,
@@ -57,7 +54,7 @@ prepared AS (
   SELECT FlightNum, IsDepDelayed, Dest, Year, DayOfWeek, Month, UniqueCarrier, Distance,
          TmaxF, TminF, TmeanF, PrcpIn, SnowIn, CDD, HDD, GDD FROM labelled)"""
 
-PREPARED = "WITH " + ",".join([FLIGHTS, WEATHER, OHARE]) + "\n"
+PREPARED = "WITH " + ",".join([FLIGHTS, WEATHER, SELECTED]) + "\n"
 
 DIAMONDS = """
 diamonds AS (

@@ -35,8 +35,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
-    The folder named by ``spark.checkpoint.dir`` is used as is. Only when the
-    session has none (local tests) a fresh folder is created and set.
+    The folder named by ``spark.checkpoint.dir`` is used as is. A session
+    without one gets a fresh temporary folder if its master is local (tests);
+    on a cluster that would be one machine's disk, so it is an error there.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
@@ -44,12 +45,26 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
+    if not sc.master.split("[")[0] == "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     path = tempfile.mkdtemp(prefix="emberstat-ckpt-")
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
 
 
+#: Scratch folder of each running application.
+_SCRATCH: dict[str, str] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, unique folder below the shared checkpoint folder."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/scratch-{name}-{uuid.uuid4().hex[:12]}"
+    """A new, unique folder name below the application's scratch folder, which lies in the shared checkpoint
+    folder and is deleted when the driver ends."""
+    app = spark.sparkContext.applicationId
+    if app not in _SCRATCH:
+        base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/scratch-{app}-{uuid.uuid4().hex[:12]}"
+        path = spark._jvm.org.apache.hadoop.fs.Path(base)
+        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        fs.mkdirs(path)
+        fs.deleteOnExit(path)
+        _SCRATCH[app] = base
+    return f"{_SCRATCH[app]}/{name}-{uuid.uuid4().hex[:12]}"

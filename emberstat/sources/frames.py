@@ -34,8 +34,8 @@ def literal(spark: SparkSession, columns: dict[str, list], schema: T.StructType
 
 
 def seq_frame(spark: SparkSession, lo: int, hi: int, by: int = 1, name: str = "value") -> DataFrame:
-    """``seq(lo, hi, by)`` as a distributed frame (``spark.range``, inclusive end)."""
-    return spark.range(lo, hi + 1, by).withColumnRenamed("id", name)
+    """``seq(lo, hi, by)`` as a distributed frame (``spark.range``, inclusive end in either direction)."""
+    return spark.range(lo, hi + (1 if by > 0 else -1), by).withColumnRenamed("id", name)
 
 
 def date_spine(df: DataFrame, date_col: str, step_days: int = 1, name: str = "day") -> DataFrame:
@@ -62,7 +62,9 @@ def read_docs(spark: SparkSession, path: str, fmt: str = "text", text_col: str =
               id_col: str = "doc_id") -> DataFrame:
     """A document source: one document per file (``fmt="text"``, read whole)
     or per row of a parquet/json/csv table. Documents without an id get the
-    1-based position of their file path (a distributed rank, reproducible)."""
+    1-based position of their file path, or of their text in a table (a
+    distributed order, reproducible; equal texts get neighbouring ones)."""
+    from ..operators.joins import row_index
     from ..operators.ranks import rank_keys
 
     if fmt == "text":
@@ -71,4 +73,6 @@ def read_docs(spark: SparkSession, path: str, fmt: str = "text", text_col: str =
         ids = rank_keys(docs.select("_path"), ["_path"], method="dense", name=id_col).select("_path", id_col)
         return docs.join(ids, "_path").select(F.col(id_col).cast("long").alias(id_col), text_col)
     df = spark.read.format(fmt).load(path)
-    return df.select(id_col, text_col) if id_col in df.columns else df
+    if id_col in df.columns:
+        return df.select(id_col, text_col)
+    return row_index(df.select(text_col), [text_col], id_col).select(F.col(id_col).cast("long").alias(id_col), text_col)

@@ -13,7 +13,7 @@ SMALL = "/root/testdata/sf0.001"
 def spark():
     from emberstat.session import local_session
 
-    s = local_session(cores=4, shuffle_partitions=4, app="emberstat-tests")
+    s = local_session(cores=int(os.environ.get("TEST_CORES", "4")), shuffle_partitions=4, app="emberstat-tests")
     yield s
     s.stop()
 
