@@ -9,8 +9,8 @@ from emberstat.sources.frames import literal, seq_frame
 
 
 def test_literal_recycles_and_rejects_uneven(spark):
-    df = literal(spark, {"Company": ["Toyota", "Toyota", "Ford", "Ford"], "Item": ["ROA"], "Value": [4.74, 2.91, 3.06, 3.65]})
-    assert [r.Item for r in df.collect()] == ["ROA"] * 4
+    df = literal(spark, {"Shop": ["north", "north", "south", "south"], "Item": ["sales"], "Value": [1.5, 2.25, 7.0, 0.5]})
+    assert [r.Item for r in df.collect()] == ["sales"] * 4
     with pytest.raises(ValueError):
         literal(spark, {"a": [1, 2, 3], "b": [1, 2]})
 

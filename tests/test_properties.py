@@ -61,8 +61,8 @@ def test_hash_split_disjoint_and_complete(spark):
 
 def test_sample_exact_size_and_reproducible(spark):
     df = spark.read.parquet(f"{SMALL}/lineitem.parquet")
-    a = sample_n(df.repartition(3), 100, seed=5).collect()
-    b = sample_n(df.repartition(11), 100, seed=5).collect()
+    a = sample_n(df.repartition(3), 100, seed=5, key=["l_orderkey", "l_linenumber"]).collect()
+    b = sample_n(df.repartition(11), 100, seed=5, key=["l_orderkey", "l_linenumber"]).collect()
     assert len(a) == 100 and sorted(map(tuple, a)) == sorted(map(tuple, b))
 
 
@@ -79,7 +79,7 @@ def test_lda_tables_are_distributions(spark):
 
 def test_lda_trace_and_json(spark):
     tr = Q["lda_trace"](spark, SMALL).orderBy("iteration").collect()
-    assert [r.iteration for r in tr] == [5, 10, 15, 20, 25, 30]
+    assert [r.iteration for r in tr] == [2, 4, 6, 8, 10, 12]
     assert all(np.isfinite(r.log_lik) for r in tr)
     js = Q["ldavis_json"](spark, SMALL).first().json
     import json
@@ -109,7 +109,7 @@ def test_binned_density_close_to_exact(spark):
     from emberstat.operators.charts import stat_density
 
     d = spark.read.parquet(f"{SMALL}/lineitem.parquet").select(F.col("l_extendedprice").alias("x"))
-    e = {r.i: r.density for r in stat_density(d, "x", n=64).collect()}
+    e = {r.i: r.density for r in stat_density(d, "x", n=64, method="exact").collect()}
     b = {r.i: r.density for r in stat_density(d, "x", n=64, method="binned", bin_count=4096).collect()}
     peak = max(e.values())
     assert max(abs(e[i] - b[i]) for i in e) < 1e-3 * peak
