@@ -31,8 +31,9 @@ CLASSES = ["lower", "upper", "digits", "white", "symbols", "other_scripts", "mar
 WHITE = r"[\x20\x09-\x0D]+"
 #: Fewest words for the rules, and for the comparison of common words.
 LEAST_WORDS, LEAST_FOR_WORDS = 50, 100
-#: Largest Jensen-Shannon distances (square root of the divergence in bits, 0 to 1).
-MOST_CHAR_DISTANCE, MOST_WORD_DISTANCE = 0.45, 0.65
+#: Largest Jensen-Shannon distance (square root of the divergence in bits, 0 to 1) of the character classes, and of the
+#: words as a share of the distance that a text without any common word has.
+MOST_CHAR_DISTANCE, MOST_WORD_SHARE = 0.3, 0.95
 
 
 def _counted(df: DataFrame) -> DataFrame:
@@ -106,8 +107,10 @@ def judge_quality(docs: DataFrame, keep: list[str] | None = None, text_col: str
     total = {p: reduce(lambda s, x: s + x, [F.col(p + c) for c in chars]) for p in ("", "all_")}
     near_chars = distance(shares("", chars, total[""], False), shares("all_", chars, total["all_"], False))
     common = [f"w_{w}" for w in WORDS]
-    near_words = distance(shares("", common, F.col("n_words"), True), shares("all_", common, F.col("all_words"), True))
+    ref = shares("all_", common, F.col("all_words"), True)
+    near_words = distance(shares("", common, F.col("n_words"), True), ref)
+    no_words = distance([F.lit(0.0)] * len(common) + [F.lit(1.0)], ref)
     df = df.withColumn("base_failed", (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
     df = df.withColumns({"char_distance": F.when(F.col("n_words") >= LEAST_WORDS, near_chars), "word_distance": F.when(F.col("n_words") >= LEAST_FOR_WORDS, near_words)})
-    fits = (F.coalesce("char_distance", F.lit(0.0)) <= MOST_CHAR_DISTANCE) & (F.coalesce("word_distance", F.lit(0.0)) <= MOST_WORD_DISTANCE)
+    fits = (F.coalesce("char_distance", F.lit(0.0)) <= MOST_CHAR_DISTANCE) & (F.coalesce("word_distance", F.lit(0.0)) <= MOST_WORD_SHARE * no_words)
     return with_results(df.withColumn("kept", ~F.col("base_failed") & fits), "row", RESULTS)

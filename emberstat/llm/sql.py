@@ -150,7 +150,7 @@ ORACLES["op2_licenses"] = _licenses()
 
 
 def _quality() -> str:
-    from .quality import CLASSES, COMMON_WORDS, LEAST_FOR_WORDS, LEAST_WORDS, MOST_CHAR_DISTANCE, MOST_WORD_DISTANCE, WORDS
+    from .quality import CLASSES, COMMON_WORDS, LEAST_FOR_WORDS, LEAST_WORDS, MOST_CHAR_DISTANCE, MOST_WORD_SHARE, WORDS
 
     sets = {"lower": "[a-z]", "upper": "[A-Z]", "digits": "[0-9]", "white": r"[\x20\x09-\x0D]", "symbols": "[#*$%&|<>]", "other_scripts": r"[^\x00-\x7F]",
             "marks": r"[^a-zA-Z0-9\x20\x09-\x0D#*$%&|<>\x80-\x{10FFFF}]"}
@@ -162,7 +162,9 @@ def _quality() -> str:
     def half(a: str, b: str) -> str:
         return f"CASE WHEN {a} > 0 THEN {a} * log2(2 * {a} / ({a} + {b})) ELSE 0 END"
 
-    jsd = f"sqrt(greatest(sum({half('p', 'q')} + {half('q', 'p')}) / 2, 0))"
+    def jsd(p: str) -> str:
+        return f"sqrt(greatest(sum({half(p, 'q')} + {half('q', p)}) / 2, 0))"
+
     return rf"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text, CASE WHEN lang IN ({langs}) THEN lang ELSE '' END AS ref,
   regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
@@ -174,10 +176,11 @@ wf AS (SELECT wn.r, ref, v.word AS class, coalesce(n, 0) AS n, n_words FROM wn C
 wr AS (SELECT ref, class, sum(n) / sum(n_words) AS q FROM wf GROUP BY ALL),
 ws AS (SELECT r, class, n / n_words AS p, q FROM wf JOIN wr USING (ref, class)),
 wa AS (SELECT r, class, p, q FROM ws UNION ALL SELECT r, NULL, greatest(1 - sum(p), 0), greatest(1 - sum(q), 0) FROM ws GROUP BY r),
-wd AS (SELECT r, {jsd} AS word_distance FROM wa GROUP BY r),
+wd AS (SELECT r, {jsd('p')} AS word_distance, {jsd('o')} AS blank
+  FROM (SELECT *, CASE WHEN class IS NULL THEN 1.0 ELSE 0.0 END AS o FROM wa) GROUP BY r),
 ct AS (SELECT r, sum(n) AS t FROM cc GROUP BY r),
 cr AS (SELECT ref, class, sum(n) / sum(sum(n)) OVER (PARTITION BY ref) AS q FROM cc GROUP BY ref, class),
-cd AS (SELECT r, {jsd} AS char_distance FROM (SELECT r, n / t AS p, q FROM cc JOIN ct USING (r) JOIN cr USING (ref, class) WHERE t > 0) GROUP BY r),
+cd AS (SELECT r, {jsd('p')} AS char_distance FROM (SELECT r, n / t AS p, q FROM cc JOIN ct USING (r) JOIN cr USING (ref, class) WHERE t > 0) GROUP BY r),
 g AS (SELECT r, i, array_to_string(list_slice(w, i, i + 2), ' ') AS g FROM d, unnest(generate_series(1, len(w) - 2)) AS u(i)),
 rep AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(generate_series(i, i + 2)) AS p FROM (SELECT *, count(*) OVER (PARTITION BY r, g) AS c FROM g) WHERE c > 1) GROUP BY r),
 ln AS (SELECT r, count(*) - count(DISTINCT l) AS n FROM (SELECT r, unnest(string_split(text, chr(10))) AS l FROM d) WHERE regexp_matches(l, '[^\x20\x09-\x0D]') GROUP BY r),
@@ -186,7 +189,7 @@ a AS (SELECT r, doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(regexp_re
   CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words FROM d LEFT JOIN rep USING (r) LEFT JOIN ln USING (r)),
 b AS (SELECT *, n_words < {LEAST_WORDS} OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM a)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND coalesce(char_distance, 0) <= {MOST_CHAR_DISTANCE}
-  AND (n_words < {LEAST_FOR_WORDS} OR coalesce(word_distance, 0) <= {MOST_WORD_DISTANCE}) AS kept FROM b LEFT JOIN cd USING (r) LEFT JOIN wd USING (r)
+  AND (n_words < {LEAST_FOR_WORDS} OR coalesce(word_distance, 0) <= {MOST_WORD_SHARE} * coalesce(blank, 1)) AS kept FROM b LEFT JOIN cd USING (r) LEFT JOIN wd USING (r)
 """
 
 
