@@ -394,3 +394,56 @@ def pairs_diag(df: DataFrame, value_cols: Sequence[str], cat_cols: Sequence[str]
         parts.append(k.select("var", F.lit("count").alias("kind"), "level", F.lit(None).cast("long").alias("i"),
                               F.lit(None).cast("double").alias("x"), F.col("count").cast("double").alias("value")))
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
+def pairs_points(df: DataFrame, value_cols: Sequence[str], cat_cols: Sequence[str], colour: str, key: Sequence[str],
+                 n: int = 1000, seed: int = 0) -> DataFrame:
+    """Lower panels of a pair matrix for ``n`` sampled rows: points of each pair of continuous columns (kind
+    ``points``) and dots of each continuous column by each categorical one (kind ``dot``), coloured by ``colour``.
+    Columns: row, col, kind, group, level, x, y."""
+    from .sampling import sample_n
+
+    def panel(row: str, col: str, kind: str, level, x, y) -> Column:
+        return F.struct(F.lit(row).alias("row"), F.lit(col).alias("col"), F.lit(kind).alias("kind"),
+                        F.col(colour).cast("string").alias("group"), level.cast("string").alias("level"),
+                        x.cast("double").alias("x"), y.cast("double").alias("y"))
+
+    none = F.lit(None)
+    points = [panel(b, a, "points", none, F.col(a), F.col(b)) for i, a in enumerate(value_cols) for b in value_cols[i + 1:]]
+    dots = [panel(v, c, "dot", F.col(c), none, F.col(v)) for v in value_cols for c in cat_cols]
+    return sample_n(df, n, seed, key).select(F.explode(F.array(*points, *dots)).alias("_p")).select("_p.*")
+
+
+def pairs_matrix(df: DataFrame, value_cols: Sequence[str], cat_cols: Sequence[str], colour: str, key: Sequence[str],
+                 points: int = 1000, seed: int = 0) -> DataFrame:
+    """All panels of a pair matrix in one long frame (row, col, kind, group, level, x, y, value).
+
+    Above the diagonal: 2-D densities of continuous pairs (kind ``density2d``: x, y, value), box statistics of mixed
+    pairs (kind ``box``: the statistic's name in ``group``), counts of categorical pairs (kind ``count``: levels in
+    ``level`` and ``group``). On it: densities and bar counts (``density``, ``bar``). Below it: ``points`` and ``dot`` of
+    a sample, coloured by ``colour``.
+    """
+    text, num = F.lit(None).cast("string"), F.lit(None).cast("double")
+    parts = []
+    for i, a in enumerate(value_cols):
+        for b in value_cols[i + 1:]:
+            d = stat_density_2d(df, a, b)
+            parts.append(d.select(F.lit(a).alias("row"), F.lit(b).alias("col"), F.lit("density2d").alias("kind"), text.alias("group"),
+                                  text.alias("level"), "x", "y", F.col("density").alias("value")))
+    if value_cols and cat_cols:
+        box = pairs_box(df, value_cols, cat_cols).unpivot(["num_var", "cat_var", "level"], ["ymin", "lower", "middle", "upper", "ymax"], "group", "value")
+        parts.append(box.select(F.col("num_var").alias("row"), F.col("cat_var").alias("col"), F.lit("box").alias("kind"), "group", "level",
+                                num.alias("x"), num.alias("y"), "value"))
+    if len(cat_cols) > 1:
+        c = pairs_crosstab(df, cat_cols)
+        parts.append(c.select(F.col("var_a").alias("row"), F.col("var_b").alias("col"), F.lit("count").alias("kind"), F.col("level_b").alias("group"),
+                              F.col("level_a").alias("level"), num.alias("x"), num.alias("y"), F.col("n").cast("double").alias("value")))
+    d = pairs_diag(df, value_cols, cat_cols)
+    parts.append(d.select(F.col("var").alias("row"), F.col("var").alias("col"), F.when(F.col("kind") == "count", "bar").otherwise(F.col("kind")).alias("kind"),
+                          text.alias("group"), "level", "x", num.alias("y"), "value"))
+    low = pairs_points(df, value_cols, cat_cols, colour, key, points, seed)
+    parts.append(low.select("row", "col", "kind", "group", "level", "x", "y", num.alias("value")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

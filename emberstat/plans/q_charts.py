@@ -378,3 +378,35 @@ def pairs_diag(spark, sf):
     bar counts of cut, color and clarity."""
     d = charts.pairs_diag(si.diamonds(spark, sf), PAIR_NUM, PAIR_CAT, n=512)
     return d.select("var", "kind", "level", "i", R10("x").alias("x"), R10("value").alias("value"))
+
+
+PAIRS_PANELS_SQL = with_(DIAMONDS) + """,
+lv AS (SELECT 'cut' AS var, count(DISTINCT cut) AS n FROM diamonds UNION ALL SELECT 'color', count(DISTINCT color) FROM diamonds
+       UNION ALL SELECT 'clarity', count(DISTINCT clarity) FROM diamonds),
+s AS (SELECT least(1000, count(*)) AS n FROM diamonds), v AS (SELECT unnest(['carat', 'depth']) AS var)
+SELECT 'carat' AS "row", 'depth' AS col, 'density2d' AS kind, CAST(625 AS BIGINT) AS n
+UNION ALL SELECT v.var, lv.var, 'box', 5 * lv.n FROM v, lv
+UNION ALL SELECT 'cut', 'color', 'count', count(*) FROM (SELECT DISTINCT cut, color FROM diamonds)
+UNION ALL SELECT 'cut', 'clarity', 'count', count(*) FROM (SELECT DISTINCT cut, clarity FROM diamonds)
+UNION ALL SELECT 'color', 'clarity', 'count', count(*) FROM (SELECT DISTINCT color, clarity FROM diamonds)
+UNION ALL SELECT var, var, 'density', 512 FROM v
+UNION ALL SELECT var, var, 'bar', n FROM lv
+UNION ALL SELECT 'depth', 'carat', 'points', n FROM s
+UNION ALL SELECT v.var, lv.var, 'dot', s.n FROM v, lv, s"""
+
+
+@query("pairs_panels", PAIRS_PANELS_SQL)
+def pairs_panels(spark, sf):
+    """Panels of the whole pair matrix, coloured by cut, and the marks in each."""
+    m = charts.pairs_matrix(si.diamonds(spark, sf), PAIR_NUM, PAIR_CAT, "cut", ["row_key"], seed=12345)
+    return m.groupBy("row", "col", "kind").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("pairs_points", with_(DIAMONDS) + """,
+s AS (SELECT * FROM diamonds ORDER BY md5(concat_ws('|', '12345', CAST(row_key AS VARCHAR))), row_key LIMIT 1000)
+SELECT 'depth' AS "row", 'carat' AS col, 'points' AS kind, cut AS "group", CAST(NULL AS VARCHAR) AS level,
+       CAST(carat AS DOUBLE) AS x, CAST(depth AS DOUBLE) AS y FROM s""" + "".join(
+    f" UNION ALL SELECT '{v}', '{c}', 'dot', cut, CAST({c} AS VARCHAR), NULL, CAST({v} AS DOUBLE) FROM s" for v in PAIR_NUM for c in PAIR_CAT))
+def pairs_points(spark, sf):
+    """Lower panels of the pair matrix: points and dots of 1000 sampled rows by cut."""
+    return charts.pairs_points(si.diamonds(spark, sf), PAIR_NUM, PAIR_CAT, "cut", ["row_key"], 1000, 12345)
