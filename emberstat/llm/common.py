@@ -134,6 +134,11 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def compact(df: DataFrame, name: str) -> DataFrame:
+    """``stage`` for tables of ids: as many files as the cluster has cores, not one for each shuffle partition."""
+    return stage(df.coalesce(df.sparkSession.sparkContext.defaultParallelism), name)
+
+
 def with_results(packed: DataFrame, row: str, results: list[str]) -> DataFrame:
     """Unpack the input row and put the results beside it; a result replaces an input column of its name."""
     names = [f.name for f in packed.schema[row].dataType.fields if f.name not in results]
@@ -145,7 +150,11 @@ def fold_ascii(text: Column) -> Column:
     return F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)
 
 
-def checked_broadcast(small: DataFrame, row_bytes: int, limit: int = 64 << 20) -> DataFrame:
-    """Mark a *staged* side of fixed-width rows for broadcast if its rows, counted, fit ``limit`` bytes; else the join
-    stays a shuffle join."""
-    return F.broadcast(small) if small.count() * row_bytes <= limit else small
+def checked_broadcast(small: DataFrame, row_bytes: int | Column, limit: int = 64 << 20) -> DataFrame:
+    """Mark a *staged* side for broadcast if its rows, counted (or summed up, where ``row_bytes`` is a column), fit
+    ``limit`` bytes; else the join stays a shuffle join."""
+    if isinstance(row_bytes, Column):
+        size = small.agg(F.sum(row_bytes)).first()[0] or 0
+    else:
+        size = small.count() * row_bytes
+    return F.broadcast(small) if size <= limit else small
