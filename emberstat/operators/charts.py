@@ -135,17 +135,19 @@ def _spread(keys: DataFrame, x: str, by: Sequence[str]) -> DataFrame:
     m = keys.groupBy(*by).agg((F.sum(F.col("_w") * F.col(x)) / F.sum("_w")).alias("_mean"))
     c = join_small(keys, m, on=by, null_safe=True) if by else join_small(keys, m, how="cross", on=None, bounded=True)
     dev = F.col(x) - F.col("_mean")
-    v = c.groupBy(*by).agg(F.sqrt(F.try_divide(F.sum(F.col("_w") * dev * dev), F.sum("_w") - 1)).alias("_sd"))
+    v = c.groupBy(*by).agg(F.sqrt(F.try_divide(F.sum(F.col("_w") * dev * dev), F.sum("_w") - 1)).alias("_sd"),
+                           F.abs(F.min(x)).alias("_abs"))
     return join_null_safe(q, v, by) if by else q.crossJoin(v)
 
 
 def bandwidth_nrd0(df: DataFrame, x: str, by: Sequence[str] = (), keys: DataFrame | None = None) -> DataFrame:
-    """Silverman's rule per group: 0.9·min(sd, IQR/1.34)·n^(-1/5), falling
-    back to sd, then 1, when the spread is 0. Columns by…, n, bw."""
+    """Silverman's rule per group: 0.9·min(sd, IQR/1.34)·n^(-1/5). When the
+    spread is 0 it falls back to the sd, then to the absolute value of the
+    (constant) group, then to 1. Columns by…, n, bw."""
     by = list(by)
     s = _spread(keys if keys is not None else weighted_keys(df, [x], by), x, by)
     lo = F.least(F.col("_sd"), (F.col("_q3") - F.col("_q1")) / 1.34)
-    lo = F.when(lo > 0, lo).when(F.col("_sd") > 0, F.col("_sd")).otherwise(F.lit(1.0))
+    lo = F.when(lo > 0, lo).when(F.col("_sd") > 0, F.col("_sd")).when(F.col("_abs") > 0, F.col("_abs")).otherwise(F.lit(1.0))
     return s.select(*by, "n", (0.9 * lo * F.pow(F.col("n").cast("double"), -0.2)).alias("bw"))
 
 

@@ -156,6 +156,13 @@ def term_frequency(dtm: DataFrame) -> DataFrame:
     return dtm.groupBy("term").agg(F.sum("tf").cast("long").alias("freq"))
 
 
+def freq_table(dtm: DataFrame) -> DataFrame:
+    """``table(i)`` / ``table(j)`` of the (doc, term) pairs: kind, id, pairs and token-weighted total."""
+    aggs = [F.count(F.lit(1)).alias("n_pairs"), F.sum("tf").cast("long").alias("n_tokens")]
+    docs = dtm.groupBy(F.lit("doc").alias("kind"), F.col("doc_id").cast("string").alias("id")).agg(*aggs)
+    return docs.unionByName(dtm.groupBy(F.lit("term").alias("kind"), F.col("term").alias("id")).agg(*aggs))
+
+
 def dtm_summary(dtm: DataFrame) -> DataFrame:
     """docs, terms, non-zero and zero cells, sparsity (%), longest term; from per-document and per-term row counts."""
     docs = dtm.groupBy("doc_id").count().agg(F.count(F.lit(1)).alias("docs"), F.coalesce(F.sum("count"), F.lit(0)).alias("non_zero"))

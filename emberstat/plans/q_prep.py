@@ -340,3 +340,25 @@ WHERE {' AND '.join(c + ' IS NOT NULL' for c in fl.MODEL_COLUMNS)} GROUP BY 1"""
 def flagship(spark, sf):
     """The flagship: prepared model table, incomplete rows dropped, rows per label."""
     return prep.na_omit(fl.prepared(spark, sf)).groupBy("IsDepDelayed").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("sequence_numbers", """
+SELECT value, count(o_orderkey) AS n FROM (SELECT unnest(range((SELECT max(o_custkey) FROM orders), (SELECT min(o_custkey) FROM orders) - 1, -7)) AS value) s
+LEFT JOIN orders ON o_custkey = value GROUP BY value""")
+def sequence_numbers(spark, sf):
+    """Every seventh customer number from the largest down, with its orders."""
+    od = table(spark, sf, "orders")
+    lo, hi = od.agg(F.min("o_custkey"), F.max("o_custkey")).first()
+    n = frames.seq_frame(spark, hi, lo, -7)
+    return n.join(od, n.value == od.o_custkey, "left").groupBy("value").agg(F.count("o_orderkey").alias("n"))
+
+
+@query("registered_view", """
+SELECT o_orderpriority, p.name, count(*) AS n FROM orders JOIN (VALUES ('1-URGENT', 'now'), ('2-HIGH', 'soon'), ('5-LOW', 'later')) AS p(priority, name)
+ON o_orderpriority = priority GROUP BY ALL""")
+def registered_view(spark, sf):
+    """A local frame copied to the cluster under a name (a second copy overwrites the first), joined by SQL."""
+    register_tables(spark, sf, ["orders"])
+    frames.register(frames.literal(spark, {"priority": ["1-URGENT"], "name": ["old"]}), "priorities")
+    frames.register(frames.literal(spark, {"priority": ["1-URGENT", "2-HIGH", "5-LOW"], "name": ["now", "soon", "later"]}), "priorities")
+    return frames.from_sql(spark, "SELECT o_orderpriority, name, count(*) AS n FROM orders JOIN priorities ON o_orderpriority = priority GROUP BY ALL")

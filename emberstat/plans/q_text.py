@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import collapse_whitespace, normalize_text
 from ..operators import text as tx
+from ..operators.checkpoint import materialize
 from ..sources.tables import table
 from . import standins as si
 from .registry import query
@@ -123,13 +124,8 @@ SELECT 'doc' AS kind, CAST(doc_id AS VARCHAR) AS id, count(*) AS n_pairs, CAST(s
 UNION ALL
 SELECT 'term' AS kind, term AS id, count(*) AS n_pairs, CAST(sum(tf) AS BIGINT) AS n_tokens FROM sdtm GROUP BY 1, 2""")
 def freq_table(spark, sf):
-    """``table(i)`` / ``table(j)`` of the (doc, term) pairs, with the
-    token-weighted totals beside the pair counts."""
-    d = _sparse_dtm(spark, sf)
-    a = d.groupBy(F.lit("doc").alias("kind"), F.col("doc_id").cast("string").alias("id"))
-    b = d.groupBy(F.lit("term").alias("kind"), F.col("term").alias("id"))
-    aggs = [F.count(F.lit(1)).alias("n_pairs"), F.sum("tf").cast("long").alias("n_tokens")]
-    return a.agg(*aggs).unionByName(b.agg(*aggs))
+    """Frequency tables of the document and term ids (the matrix is written once and read twice)."""
+    return tx.freq_table(materialize(_sparse_dtm(spark, sf)))
 
 
 @query("top_words", CORPUS_SQL + """SELECT term AS word, freq, CAST(row_number() OVER (ORDER BY freq DESC, term) AS BIGINT) AS rank

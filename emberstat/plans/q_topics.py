@@ -79,6 +79,15 @@ def term_saliency(spark, sf):
                     F.round("saliency", 12).alias("saliency"))
 
 
+@query("term_topics", STANDIN_SQL + """,
+j AS (SELECT term, topic, phi * freq AS t FROM phi JOIN share USING (topic))
+SELECT term, topic, round(t / sum(t) OVER (PARTITION BY term), 10) AS freq FROM j""")
+def term_topics(spark, sf):
+    """How each term's tokens spread over the topics."""
+    phi, theta, dl, _ = _standin(spark, sf)
+    return tp.term_topics(phi, tp.topic_share(theta, dl)).select("term", "topic", F.round("freq", 10).alias("freq"))
+
+
 @query("topic_distance", STANDIN_SQL + """,
 t AS (SELECT topic, sum(phi) AS tot FROM phi GROUP BY 1),
 b AS (SELECT x.topic AS topic_a, y.topic AS topic_b,

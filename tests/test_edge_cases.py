@@ -84,6 +84,32 @@ def test_density_binned_stays_within_its_stated_bound(spark):
     assert max(abs(r.density - exact[r.i].density) for r in charts.stat_density(df, "x", n=64).collect()) <= bound
 
 
+def test_bandwidth_of_constant_groups(spark):
+    df = spark.createDataFrame([("a", 5.0), ("a", 5.0), ("b", 0.0), ("b", 0.0)], "g string, x double")
+    got = {r.g: r.bw for r in charts.bandwidth_nrd0(df, "x", ["g"]).collect()}
+    assert got == {"a": pytest.approx(0.9 * 5 * 2 ** -0.2), "b": pytest.approx(0.9 * 2 ** -0.2)}
+
+
+def test_models_come_back_as_they_were(spark, tmp_path):
+    from pyspark.ml import PipelineModel
+
+    from emberstat.sources.models import load_model, save_model
+
+    df = spark.createDataFrame([(float(i % 3 > 0), float(i % 7), "ab"[i % 2]) for i in range(60)], "y double, x double, c string")
+    model = cl.fit_all(df, "y", ["x", "c"], only=["Logistic"])["Logistic"]
+    back = load_model(PipelineModel, save_model(model, str(tmp_path / "m")))
+    assert cl.score(back, df, ["x"]).drop("probability").collect() == cl.score(model, df, ["x"]).drop("probability").collect()
+
+
+def test_database_and_schema(spark):
+    from emberstat.sources.frames import describe_schema, use_database
+
+    use_database(spark, "default")
+    assert spark.catalog.currentDatabase() == "default"
+    got = describe_schema(spark.createDataFrame([(1, "x")], "a long, b string")).collect()
+    assert [tuple(r) for r in got] == [(1, "a", "bigint"), (2, "b", "string")]
+
+
 def test_quarterly_series_and_sequences(spark):
     df = spark.createDataFrame([(f"200{y}-{m:02d}-01",) for y in (0, 1) for m in (1, 4, 7, 10)], "d string").select(F.to_date("d").alias("d"))
     got = series.ts_index(df, "d", freq=4).orderBy("d").collect()
