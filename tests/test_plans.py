@@ -53,7 +53,7 @@ def test_join_small_falls_back_to_shuffle_join(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     try:
-        guarded = join_small(big, small, "k", max_rows=10)
+        guarded = join_small(big, small, "k", max_bytes=10)
         assert "BroadcastExchange" not in plan(guarded)
         allowed = join_small(big, small, "k")
         assert "BroadcastExchange" in plan(allowed)
