@@ -25,8 +25,10 @@ from .common import pieces, with_results
 _PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: A chunk whose border meets other white space: its neighbours decide where words end.
 _UNSURE = 1 << 48
-#: Distinct short words whose counts a worker keeps.
-CACHE_WORDS = 200_000
+#: Short words (and runs between spaces) whose counts a worker keeps, twice: the latest and the ones before.
+CACHE_WORDS = 700_000
+#: Bits of a symbol's number in a pair, and of a place in a heap entry.
+_SYMBOL, _PLACE = 20, 32
 
 
 def _byte_symbols() -> list[str]:
@@ -45,61 +47,79 @@ def load_vocabulary(path: str) -> dict:
     if model["type"] != "BPE" or before.get("type") != "ByteLevel" or before.get("add_prefix_space") or spec.get("normalizer"):
         raise ValueError(f"{path} is not a plain byte-level BPE vocabulary")
     number = {s: b for b, s in enumerate(_byte_symbols())}
-    ranks: dict[tuple[int, int], tuple[int, int]] = {}
+    rank_of: dict[int, int] = {}
+    merges: list[tuple[int, int, int]] = []
     for rank, pair in enumerate(model["merges"]):
         a, b = pair if isinstance(pair, list) else pair.split(" ")
-        ranks.setdefault((number[a], number[b]), (rank, number.setdefault(a + b, len(number))))
-    return {"ranks": ranks, "special": sorted((x["content"] for x in spec.get("added_tokens") or []), key=len, reverse=True)}
+        rank_of.setdefault(number[a] << _SYMBOL | number[b], rank)
+        merges.append((number[a], number[b], number.setdefault(a + b, len(number))))
+    return {"rank_of": rank_of, "merges": merges, "special": sorted((x["content"] for x in spec.get("added_tokens") or []), key=len, reverse=True)}
 
 
-def count_merged(word: bytes, ranks: dict[tuple[int, int], tuple[int, int]]) -> int:
-    """Symbols left of one word after all merges."""
+def count_merged(word: bytes, vocabulary: dict) -> int:
+    """Symbols left of one word after all merges. A heap entry is a rank and a place; it is stale if the two symbols
+    there are no longer the rank's pair."""
+    rank_of, merges = vocabulary["rank_of"].get, vocabulary["merges"]
     symbol = list(word)
     n = len(symbol)
-    following, previous = list(range(1, n + 1)), list(range(-1, n - 1))
-    heap = [(*ranks[p], i, p) for i, p in enumerate(zip(symbol, symbol[1:])) if p in ranks]
+    heap = [r << _PLACE | i for i, (a, b) in enumerate(zip(word, word[1:])) if (r := rank_of(a << _SYMBOL | b)) is not None]
+    if not heap:
+        return n
     heapify(heap)
-    merges = 0
+    following, previous = list(range(1, n + 1)), list(range(-1, n - 1))
+    symbol.append(-1)  # behind the end
+    left, last = n, (1 << _PLACE) - 1
     while heap:
-        _, joined, i, pair = heappop(heap)
+        entry = heappop(heap)
+        first, second, joined = merges[entry >> _PLACE]
+        i = entry & last
+        if symbol[i] != first:
+            continue
         j = following[i]
-        if j >= n or (symbol[i], symbol[j]) != pair:
-            continue  # one of the two has been joined since
+        if symbol[j] != second:
+            continue
         symbol[i], symbol[j] = joined, -1
-        merges += 1
+        left -= 1
         following[i] = k = following[j]
         if k < n:
             previous[k] = i
-            if (p := (joined, symbol[k])) in ranks:
-                heappush(heap, (*ranks[p], i, p))
-        if (h := previous[i]) >= 0 and (p := (symbol[h], joined)) in ranks:
-            heappush(heap, (*ranks[p], h, p))
-    return n - merges
+            if (r := rank_of(joined << _SYMBOL | symbol[k])) is not None:
+                heappush(heap, r << _PLACE | i)
+        if (h := previous[i]) >= 0 and (r := rank_of(symbol[h] << _SYMBOL | joined)) is not None:
+            heappush(heap, r << _PLACE | h)
+    return left
+
+
+class _Kept(dict):
+    """Results of ``make`` by short key; when full, only those of the last ``CACHE_WORDS`` new keys stay."""
+
+    def __init__(self, make) -> None:
+        super().__init__()
+        self.make, self.before = make, {}
+
+    def __missing__(self, key: str) -> int:
+        if (n := self.before.get(key)) is None:
+            n = self.make(key)
+        if len(key) <= 64:
+            if len(self) >= CACHE_WORDS:
+                self.before = dict(self)
+                self.clear()
+            self[key] = n
+        return n
 
 
 class Counter:
     """Counts of whole texts; counts of short words are kept in a bounded table."""
 
     def __init__(self, vocabulary: dict) -> None:
-        self.ranks = vocabulary["ranks"]
         self.words = regex.compile(_PATTERN)
         special = vocabulary["special"]
         self.special = regex.compile("|".join(map(regex.escape, special))) if special else None
-        outer = self
-
-        class Chunks(dict):
-            def __missing__(self, chunk: str) -> int:
-                n = _UNSURE if not chunk or chunk[0].isspace() or chunk[-1].isspace() else outer.plain(f" {chunk}")
-                if len(chunk) <= 64:
-                    if len(self) >= CACHE_WORDS:
-                        self.clear()
-                    self[chunk] = n
-                return n
-
-        self.chunk = Chunks().__getitem__
+        self.word = _Kept(lambda word: count_merged(word.encode(), vocabulary)).__getitem__
+        self.chunk = _Kept(lambda c: _UNSURE if not c or c[0].isspace() or c[-1].isspace() else self.plain(f" {c}")).__getitem__
 
     def plain(self, text: str) -> int:
-        return sum(count_merged(w.encode(), self.ranks) for w in self.words.findall(text))
+        return sum(map(self.word, self.words.findall(text)))
 
     def segment(self, text: str) -> int:
         """A space between two other characters always begins a word, so chunks between such spaces count alone."""

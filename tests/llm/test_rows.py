@@ -54,10 +54,10 @@ def test_token_counts_of_odd_texts(spark, odd):
 
 
 def test_merging_one_long_word():
-    ranks = load_vocabulary(PATH)["ranks"]
+    vocabulary = load_vocabulary(PATH)
     library = Tokenizer.from_file(PATH)
     for word in ("a" * 5000, "abracadabra" * 300):
-        assert count_merged(word.encode(), ranks) == len(library.encode(word, add_special_tokens=False).ids)
+        assert count_merged(word.encode(), vocabulary) == len(library.encode(word, add_special_tokens=False).ids)
 
 
 # languages
