@@ -7,7 +7,7 @@ from typing import Iterator, NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
@@ -47,7 +47,7 @@ def _pow_tables(n: int) -> list[np.ndarray]:
     if len(_POW[0]) <= n:
         size = 1 << int(n).bit_length()
         tables = [_powers(_BASE, size), _powers(_INVERSE, size)]
-        if size > 1 << 23:  # a single huge text: do not keep its tables
+        if size > 1 << 22:  # a single long text: do not keep its tables
             return tables
         _POW[:] = tables
     return _POW
@@ -109,7 +109,7 @@ def shingles(words: np.ndarray, k: int) -> np.ndarray:
     return out
 
 
-def pieces(batch: pa.RecordBatch, text: int, max_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def pieces(batch: pa.RecordBatch, text: int, max_bytes: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Slices of a batch with at most ``max_bytes`` of text each, or a single row: the memory of a step
     is bounded by this and the longest text, whatever the batch holds."""
     _, offsets = utf8(batch.column(text))
@@ -139,6 +139,14 @@ def compact(df: DataFrame, name: str) -> DataFrame:
     return stage(df.coalesce(df.sparkSession.sparkContext.defaultParallelism), name)
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Whole texts go to Python in Arrow batches of at most ``rows`` rows (Spark's default of 10,000 texts may not fit
+    beside a task). Lowers the session's setting; a lower one stays."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, rows)
+
+
 def with_results(packed: DataFrame, row: str, results: list[str]) -> DataFrame:
     """Unpack the input row and put the results beside it; a result replaces an input column of its name."""
     names = [f.name for f in packed.schema[row].dataType.fields if f.name not in results]
