@@ -22,9 +22,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Words, list_array, pieces, with_results, words_of
+from .common import Words, list_array, pieces, small_batches, with_results, words_of
 
 RESULTS = ["n_words", "hits", "items", "longest_match"]
+#: Text of a shard; a longer document is a shard of its own.
+SHARD_BYTES = 2 << 20
 _HIT = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
 
 
@@ -155,7 +157,7 @@ def _scan(broadcast, window: int, keep_text: bool, first: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = broadcast.value
         for batch in batches:
-            for piece in pieces(batch, 1):
+            for piece in pieces(batch, 1, SHARD_BYTES):
                 words = words_of(piece.column(1))
                 n_docs = piece.num_rows
                 cuts = np.searchsorted(words.doc, np.arange(n_docs + 1))
@@ -204,6 +206,7 @@ def find_matches(docs: DataFrame, benchmark: DataFrame, keep: list[str] | None =
     is hit and with no documents nothing is returned. Words are compared by 64-bit hashes.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     row = F.struct(*[F.col(f"`{c}`") for c in (keep or docs.columns)]).alias("row")
     df = docs.select(row, F.col(f"`{text_col}`").alias("text"))
     parts = [spark.sparkContext.broadcast(b) for b in blocks(benchmark, item_col, item_text_col, window, block_words)]

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import checked_broadcast, pieces, stage, utf8, with_results
+from .common import checked_broadcast, pieces, small_batches, stage, utf8, with_results
 
 DIMENSIONS = 4096
 _CODES = np.arange(256)
@@ -114,6 +114,7 @@ def fit(docs: DataFrame, clusters: int = 4, per_language: int = 1000, reject: fl
     """Fit on at most ``per_language`` labelled texts of each language. A text is rejected below ``reject`` times the
     cosine that all but 1 % of a cluster's sample reach: short texts have few n-grams and stay. The model, ``clusters`` vectors of
     ``DIMENSIONS`` numbers for each label, is what reaches the driver."""
+    small_batches(docs.sparkSession)
     sample = stage(training_sample(docs, per_language, text_col, lang_col).repartition(16, "draw"), "languages")
 
     def document_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -153,6 +154,7 @@ def identify(docs: DataFrame, model: Model, keep: list[str] | None = None, text_
     A null text, a text without letters, and any text when nothing could be learned give ``und``, score 0, rejected.
     Ties go to the first language by name. Repeated rows each give a row; an empty table none.
     """
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     df = docs.select(F.struct(*[F.col(f"`{c}`") for c in (keep or docs.columns)]).alias("row"), F.col(f"`{text_col}`").alias("text"))
 

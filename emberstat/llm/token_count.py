@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import pieces, with_results
+from .common import pieces, small_batches, with_results
 
 # fixed values: the pattern of byte-level vocabularies of this kind
 _PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -146,6 +146,7 @@ def count_tokens(docs: DataFrame, vocabulary: str, keep: list[str] | None = None
     vocabulary). Special strings inside a text count as one token each, as the file's library does by default.
     A null text counts as empty: 0 bytes, 0 tokens. Repeated rows each give a row; an empty table none.
     """
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(load_vocabulary(vocabulary))
     df = docs.select(F.struct(*[F.col(f"`{c}`") for c in (keep or docs.columns)]).alias("row"), F.col(f"`{text_col}`").alias("text"),
                      F.coalesce(F.octet_length(F.col(f"`{text_col}`")), F.lit(0)).cast("long").alias("n_bytes"))
