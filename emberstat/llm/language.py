@@ -4,7 +4,9 @@ A text is a vector of byte 2- and 3-grams of its folded letters, hashed to
 ``DIMENSIONS`` places, weighted by log tf x idf and normalised. Each
 language has several centroids (spherical k-means over its labelled sample);
 a text gets the language of the centroid with the largest cosine, and is
-rejected when it lies too far from it.
+rejected when it lies too far from it. How far is too far depends on how much
+there is to compare: each centroid has a limit for each band of distinct
+n-grams, from what the sample's texts and pieces cut from them reach.
 """
 
 from __future__ import annotations
@@ -13,6 +15,7 @@ from typing import Iterator, NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,6 +23,12 @@ from pyspark.sql import types as T
 from .common import checked_broadcast, pieces, small_batches, stage, utf8, with_results
 
 DIMENSIONS = 4096
+#: Bands of distinct n-grams, two for each doubling.
+BANDS = 2 * DIMENSIONS.bit_length()
+#: Characters of the pieces cut from sample texts.
+PIECES = tuple(8 << k for k in range(10))
+#: Fewest texts of a cluster, as a number and as a share of the sample; fewest texts or pieces that set a limit.
+LEAST_TEXTS, LEAST_SHARE, LEAST_SEEN = 20, 0.02, 20
 _CODES = np.arange(256)
 # letters keep their (folded) byte, everything else is a gap
 _LETTER = np.where((_CODES >= 65) & (_CODES <= 90), _CODES + 32, np.where(((_CODES >= 97) & (_CODES <= 122)) | (_CODES >= 128), _CODES, 32)).astype(np.uint32)
@@ -62,22 +71,66 @@ def has_letters(texts: pa.Array) -> np.ndarray:
     return out
 
 
+def bands(counts: np.ndarray) -> np.ndarray:
+    """Band of each row by its number of distinct n-grams."""
+    return (2 * np.log2(np.maximum((counts > 0).sum(axis=1), 1))).astype(np.int64)
+
+
 def spherical_clusters(x: np.ndarray, k: int, rounds: int = 12) -> tuple[np.ndarray, np.ndarray]:
-    """Centroids of unit vectors by cosine, and each vector's cluster. Starts are far from each other, so runs agree."""
+    """At most ``k`` centroids of unit vectors by cosine, and each vector's cluster. Starts are far from each other, so
+    runs agree, and in dense places; clusters of a few vectors are dropped, and theirs go to the others."""
+    few = max(LEAST_TEXTS, LEAST_SHARE * len(x))
+    k = max(1, min(k, int(len(x) / few)))
+    near = min(LEAST_TEXTS, len(x))
+    dense = np.concatenate([np.partition(x[at : at + 256] @ x.T, -near, axis=1)[:, -near:].mean(axis=1) for at in range(0, len(x), 256)])
+    dense = dense >= np.quantile(dense, 0.1)
     start = [int(np.argmax(x @ x.mean(axis=0)))]
     best = x @ x[start[0]]
-    for _ in range(1, min(k, len(x))):
-        start.append(int(np.argmin(best)))
+    for _ in range(1, k):
+        start.append(int(np.argmin(np.where(dense, best, 2))))
         best = np.maximum(best, x @ x[start[-1]])
     centre = x[start].copy()
-    own = np.zeros(len(x), np.int64)
-    for _ in range(rounds):
+    while True:
+        for _ in range(rounds):
+            own = np.argmax(x @ centre.T, axis=1)
+            for j in range(len(centre)):
+                if (own == j).any():
+                    mean = x[own == j].mean(axis=0)
+                    centre[j] = mean / max(float(np.linalg.norm(mean)), 1e-12)
         own = np.argmax(x @ centre.T, axis=1)
-        for j in range(len(centre)):
-            if (own == j).any():
-                mean = x[own == j].mean(axis=0)
-                centre[j] = mean / max(float(np.linalg.norm(mean)), 1e-12)
-    return centre, np.argmax(x @ centre.T, axis=1)
+        size = np.bincount(own, minlength=len(centre))
+        if len(centre) == 1 or size.min() >= few:
+            return centre, own
+        centre = np.delete(centre, int(size.argmin()), axis=0)
+
+
+def limits(texts: pa.Array, x: np.ndarray, idf: np.ndarray, centre: np.ndarray, own: np.ndarray, reject: float) -> np.ndarray:
+    """Least cosine for each centroid and band: ``reject`` times what all but 1 % of the sample's texts, and of pieces
+    cut from them, reach without their own text's part in its centroid; it doesn't fall with the band. Bands without
+    enough of them lie on the line between their neighbours; beyond the last the limit stays, before the first it is 0.
+    All 0 if no band has enough."""
+    sums = np.stack([x[own == j].sum(axis=0) for j in range(len(centre))])
+    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    for size in (None, *PIECES):
+        which = np.arange(len(texts)) if size is None else np.flatnonzero(pc.utf8_length(texts).to_numpy(zero_copy_only=False) > size)
+        for at in range(0, len(which), 256):
+            of = which[at : at + 256]
+            cut = texts.take(pa.array(of))
+            counts = ngram_counts(cut if size is None else pc.utf8_slice_codeunits(cut, 0, size))
+            v = vectors(counts, idf)
+            cosine = v @ centre.T
+            rest = sums[own[of]] - x[of]
+            cosine[np.arange(len(of)), own[of]] = (v * rest).sum(axis=1) / np.maximum(np.linalg.norm(rest, axis=1), 1e-6)
+            found.append((cosine.argmax(axis=1), bands(counts), cosine.max(axis=1)))
+    nearest, band, close = (np.concatenate(f) for f in zip(*found))
+    out = np.zeros((len(centre), BANDS))
+    for j in range(len(centre)):
+        mine = nearest == j
+        seen = np.flatnonzero(np.bincount(band[mine], minlength=BANDS) >= LEAST_SEEN)
+        if len(seen):
+            low = [float(np.quantile(close[mine & (band == b)], 0.01)) for b in seen]
+            out[j] = reject * np.interp(np.arange(BANDS), seen, np.maximum.accumulate(low), left=0)
+    return out
 
 
 class Model(NamedTuple):
@@ -109,11 +162,12 @@ def training_sample(docs: DataFrame, per_language: int, text_col: str = "text",
     return near.withColumn("rank", rank).filter(F.col("rank") <= per_language)
 
 
-def fit(docs: DataFrame, clusters: int = 4, per_language: int = 1000, reject: float = 0.2, text_col: str = "text",
+def fit(docs: DataFrame, clusters: int = 4, per_language: int = 1000, reject: float = 0.6, text_col: str = "text",
         lang_col: str = "lang") -> Model:
     """Fit on at most ``per_language`` labelled texts of each language. A text is rejected below ``reject`` times the
-    cosine that all but 1 % of a cluster's sample reach: short texts have few n-grams and stay. The model, ``clusters`` vectors of
-    ``DIMENSIONS`` numbers for each label, is what reaches the driver."""
+    cosine that all but 1 % of a cluster's sample reach with about as many distinct n-grams (``limits``); a cluster of too
+    few texts to tell takes the smallest limits of the others. The model, ``clusters`` vectors of ``DIMENSIONS`` numbers
+    and ``BANDS`` limits for each label, is what reaches the driver."""
     small_batches(docs.sparkSession)
     sample = stage(training_sample(docs, per_language, text_col, lang_col).repartition(16, "draw"), "languages")
 
@@ -135,16 +189,19 @@ def fit(docs: DataFrame, clusters: int = 4, per_language: int = 1000, reject: fl
         group = group.sort_by("draw")
         x = np.concatenate([vectors(ngram_counts(t), idf) for c in group["text"].chunks for t in [c.slice(at, 256) for at in range(0, len(c), 256)]])
         centre, own = spherical_clusters(x, clusters)
-        close = (x * centre[own]).sum(axis=1)
-        used = [j for j in range(len(centre)) if (own == j).any()]
-        return pa.table({"lang": [group["lang"][0].as_py()] * len(used), "cluster": pa.array(used, pa.int32()),
-                         "centroid": pa.array([centre[j].astype(np.float32) for j in used], pa.list_(pa.float32())),
-                         "least": pa.array([float(reject * np.quantile(close[own == j], 0.01)) for j in used], pa.float64())})
+        least = limits(group["text"].combine_chunks(), x, idf, centre, own, reject)
+        return pa.table({"lang": [group["lang"][0].as_py()] * len(centre), "cluster": pa.array(range(len(centre)), pa.int32()),
+                         "centroid": pa.array([c.astype(np.float32) for c in centre], pa.list_(pa.float32())),
+                         "least": pa.array(list(least), pa.list_(pa.float64()))})
 
-    rows = sample.groupBy("lang").applyInArrow(one_language, "lang string, cluster int, centroid array<float>, least double")
+    rows = sample.groupBy("lang").applyInArrow(one_language, "lang string, cluster int, centroid array<float>, least array<double>")
     found = sorted(rows.collect(), key=lambda r: (r["lang"], r["cluster"]))
+    least = np.array([r["least"] for r in found], np.float64).reshape(-1, BANDS)
+    told = least.any(axis=1)
+    if told.any():
+        least[~told] = least[told].min(axis=0)
     return Model(idf, np.array([r["centroid"] for r in found], np.float32).reshape(-1, DIMENSIONS), [r["lang"] for r in found],
-                 np.array([r["least"] for r in found]))
+                 least)
 
 
 def identify(docs: DataFrame, model: Model, keep: list[str] | None = None, text_col: str = "text") -> DataFrame:
@@ -168,10 +225,12 @@ def identify(docs: DataFrame, model: Model, keep: list[str] | None = None, text_
                     texts = part.column(1)
                     known = has_letters(texts)
                     if len(m.langs):
-                        cosine = vectors(ngram_counts(texts), m.idf) @ m.centroids.T
-                        best = np.where(known, cosine.argmax(axis=1), len(m.langs))
+                        counts = ngram_counts(texts)
+                        cosine = vectors(counts, m.idf) @ m.centroids.T
+                        nearest = cosine.argmax(axis=1)
+                        best = np.where(known, nearest, len(m.langs))
                         score = np.where(known, np.clip(cosine.max(axis=1), 0, 1), 0.0).astype(np.float64)
-                        out = ~known | (score < np.append(m.least, 2)[best])
+                        out = ~known | (score < m.least[nearest, bands(counts)])
                     else:
                         best, score, out = np.zeros(len(texts), int), np.zeros(len(texts)), np.ones(len(texts), bool)
                     yield pa.RecordBatch.from_arrays([part.column(0), pa.array(names[best], pa.string()), pa.array(score), pa.array(out)], ["row", *RESULTS])

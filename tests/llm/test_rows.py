@@ -1,6 +1,8 @@
 """Operators that judge rows one by one: odd values, clashing names, empty tables."""
 
+import base64
 import random
+import string
 import zlib
 from collections import Counter
 
@@ -84,6 +86,28 @@ def test_language_of_odd_texts(spark, odd):
     assert identify(odd.limit(0), model).count() == 0
 
 
+UNLEARNED = {
+    "fi": "kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan heille on annettu järki ja omatunto ja heidän on toimittava toisiaan kohtaan veljeyden hengessä",
+    "sw": "watu wote wamezaliwa huru hadhi na haki zao ni sawa wote wamejaliwa akili na dhamiri hivyo yapasa watendeane kindugu kila mtu anastahili kuwa na haki zote na uhuru wote",
+    "pl": "wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw są oni obdarzeni rozumem i sumieniem i powinni postępować wobec innych w duchu braterstwa"}
+
+
+def test_junk_and_unlearned_languages_are_rejected(spark):
+    r = random.Random(3)
+    rows = []
+    for n in (50, 100, 300, 1000):
+        rows.append((f"letters {n}", " ".join("".join(r.choice(string.ascii_lowercase) for _ in range(r.randint(2, 9))) for _ in range(n))))
+        rows += [(f"hex {n}", r.randbytes(3 * n).hex()), (f"base64 {n}", base64.b64encode(r.randbytes(5 * n)).decode())]
+        rows += [(f"{lang} {n}", " ".join(r.choice(words.split()) for _ in range(n))) for lang, words in UNLEARNED.items()]
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = fit(docs.filter(~held_out(docs["doc_id"])))
+    junk = identify(spark.createDataFrame(rows, "id string, text string"), model)
+    assert not [x["id"] for x in junk.collect() if not x["rejected"]]
+    quality = spark.read.parquet("/root/testdata/sf0.01/labels.parquet").filter("quality = 1")
+    clean = identify(docs.join(quality, "doc_id"), model, keep=["doc_id"]).collect()
+    assert len(clean) > 200 and sum(x["rejected"] for x in clean) <= 0.005 * len(clean)
+
+
 # licences
 def test_licences_of_odd_and_edited_texts(spark, odd):
     gpl = "This work is licensed under the GNU General Public License, version 3."
