@@ -2,9 +2,10 @@
 
 Each document has two histograms: character classes, and common words of
 several languages with a place for all other words. A language's reference is
-the histogram of all its documents together. A document of enough words is
-kept if the Jensen-Shannon distances of both histograms to its language's
-reference are small; basic rules on length and repetition come first.
+the histogram of all its documents together; a label without a word list, and
+null, has a reference of character classes for each of its scripts. A document of enough words is
+kept if the Jensen-Shannon distances of its histograms to its reference
+are small; basic rules on length and repetition come first.
 DataFrame functions only: a document's counts are made in its own row, and
 only the histograms are summed.
 """
@@ -16,7 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stage, with_results
+from .common import checked_broadcast, stage, with_results
 
 RESULTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "char_distance", "word_distance", "kept"]
 #: Frequent words of each language (fixed lists).
@@ -28,6 +29,12 @@ COMMON_WORDS = {
 }
 WORDS = sorted({w for own in COMMON_WORDS.values() for w in own})
 CLASSES = ["lower", "upper", "digits", "white", "symbols", "other_scripts", "marks"]
+#: Scripts that a label without a word list is told apart by; a text of none of them has the script "rest".
+SCRIPTS = {s.lower(): rf"\p{{Is{s}}}+" for s in ["Latin", "Cyrillic", "Greek", "Arabic", "Hebrew", "Devanagari", "Bengali", "Tamil", "Telugu", "Thai",
+                                                "Georgian", "Armenian", "Ethiopic", "Hangul"]} | {"han": r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}]+"}
+WHOLE = "whole"
+#: Least share of a label's rows for a script to have a reference of its own.
+LEAST_SCRIPT = 0.05
 WHITE = r"[\x20\x09-\x0D]+"
 #: Fewest words for the rules, and for the comparison of common words.
 LEAST_WORDS, LEAST_FOR_WORDS = 50, 100
@@ -69,6 +76,13 @@ def _counted(df: DataFrame) -> DataFrame:
     return n.withColumn("n_repeat_words", F.coalesce(covered, F.lit(0).cast("long")))
 
 
+def _script(text: Column) -> Column:
+    """The script of most letters (ties: the last by name), ``WHOLE`` for a text without letters."""
+    count = [F.struct((F.length(text) - F.length(F.regexp_replace(text, pattern, ""))).alias("n"), F.lit(name).alias("script")) for name, pattern in SCRIPTS.items()]
+    most = F.greatest(*count)
+    return F.when(~text.rlike(r"\p{L}"), F.lit(WHOLE)).when(most["n"] == 0, F.lit("rest")).otherwise(most["script"])
+
+
 def distance(p: list[Column], q: list[Column]) -> Column:
     """Jensen-Shannon distance of two histograms that sum to 1; terms of an empty place are 0."""
 
@@ -85,19 +99,30 @@ def judge_quality(docs: DataFrame, keep: list[str] | None = None, text_col: str
     Words are runs of anything but white space. ``n_dup_lines``: lines with a word that equal an earlier line.
     ``n_repeat_words``: words in 3-word windows that stand twice or more in the text (windows are compared by 64-bit
     hashes). ``base_failed``: under 50 words, or more than half of the words repeated. Others are compared with the
-    reference of their ``lang`` (languages without a word list, and null, share one); ``word_distance`` counts from
-    100 words on and is null below. A null text has no words and fails. Repeated rows each give a row and all count
+    reference of their ``lang``. A value without a word list, and null, has one of the character classes for each
+    dominant script and no test of words. Texts without letters, and those of a script that a value has in less than
+    ``LEAST_SCRIPT`` of its rows, are compared with all texts of the value (under null every script stands for itself).
+    ``word_distance`` counts from 100 words on and is null below and without a word list. A null text has no words and fails. Repeated rows each give a row and all count
     in the references; an empty table stays empty.
     """
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
-    lang = F.when(F.col(f"`{lang_col}`").isin(list(COMMON_WORDS)), F.col(f"`{lang_col}`")).otherwise(F.lit(""))
+    lang = F.col(f"`{lang_col}`").cast("string")
+    listed = F.coalesce(lang.isin(list(COMMON_WORDS)), F.lit(False))
+    ref = F.coalesce(F.concat(F.lit("="), lang), F.lit(""))
     row = F.struct(*[F.col(f"`{c}`") for c in (keep or docs.columns)]).alias("row")
     columns = [f"c_{c}" for c in CLASSES] + [f"w_{w}" for w in WORDS]
-    counted = _counted(docs.select(row, text.alias("text"), lang.alias("ref")))
-    counted = stage(counted.select("row", "ref", *RESULTS[:5], *columns), "counts")
-    # a row for each language with a word list and one for the rest
-    sums = counted.groupBy("ref").agg(F.sum("n_words").alias("all_words"), *[F.sum(c).alias(f"all_{c}") for c in columns])
-    df = counted.join(F.broadcast(sums), "ref")
+    counted = _counted(docs.select(row, text.alias("text"), ref.alias("ref"), listed.alias("listed")))
+    script = F.when(F.col("listed"), F.lit(WHOLE)).otherwise(_script(F.col("text")))
+    counted = stage(counted.select("row", "ref", "listed", script.alias("script"), *RESULTS[:5], *columns), "counts")
+    # a row for each label and script: of its own texts, or of the whole label
+    sums = counted.groupBy("ref", "script").agg(F.count("*").alias("all_rows"), F.sum("n_words").alias("all_words"), *[F.sum(c).alias(f"all_{c}") for c in columns])
+    sums = stage(sums, "references")
+    totals = sums.columns[2:]
+    whole = sums.groupBy("ref").agg(*[F.sum(c).alias(f"whole_{c}") for c in totals])
+    apart = (F.col("script") != WHOLE) & ((F.col("ref") == "") | (F.col("all_rows") >= LEAST_SCRIPT * F.col("whole_all_rows")))
+    sums = sums.join(whole, "ref").select("ref", "script", *[F.when(apart, F.col(c)).otherwise(F.col(f"whole_{c}")).alias(c) for c in totals])
+    sums = stage(sums, "references")
+    df = counted.join(checked_broadcast(sums, F.octet_length("ref") + 8 * len(sums.columns) + 32), ["ref", "script"])
 
     def shares(prefix: str, names: list[str], total: Column, rest: bool) -> list[Column]:
         out = [F.try_divide(F.col(prefix + n), total) for n in names]
@@ -111,6 +136,6 @@ def judge_quality(docs: DataFrame, keep: list[str] | None = None, text_col: str
     near_words = distance(shares("", common, F.col("n_words"), True), ref)
     no_words = distance([F.lit(0.0)] * len(common) + [F.lit(1.0)], ref)
     df = df.withColumn("base_failed", (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
-    df = df.withColumns({"char_distance": F.when(F.col("n_words") >= LEAST_WORDS, near_chars), "word_distance": F.when(F.col("n_words") >= LEAST_FOR_WORDS, near_words)})
+    df = df.withColumns({"char_distance": F.when(F.col("n_words") >= LEAST_WORDS, near_chars), "word_distance": F.when(F.col("listed") & (F.col("n_words") >= LEAST_FOR_WORDS), near_words)})
     fits = (F.coalesce("char_distance", F.lit(0.0)) <= MOST_CHAR_DISTANCE) & (F.coalesce("word_distance", F.lit(0.0)) <= MOST_WORD_SHARE * no_words)
     return with_results(df.withColumn("kept", ~F.col("base_failed") & fits), "row", RESULTS)
