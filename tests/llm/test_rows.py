@@ -253,6 +253,21 @@ def test_boilerplate_of_unmarked_pages(spark):
     assert unique_runs(["same text that is on every page of it"] * 4) == ["same text that is on every page of it"] * 4
 
 
+def test_runs_are_counted_over_the_whole_host(spark):
+    r = random.Random(8)
+    prose = lambda: " ".join(f"w{r.randrange(10**6)}" for _ in range(12))
+    notice, quote = "please read this notice about our new opening hours today", "to be or not to be that is the question"
+    own = [prose() for _ in range(5000)]
+    noted, quoted = set(r.sample(range(5000), 60)), set(r.sample(range(5000), 12))
+    html = [f"<p>{own[k]}</p>" + f"<div>{notice}</div>" * (k in noted) + f"<p>{quote}</p>" * (k in quoted) for k in range(5000)]
+    # copies of a page are one page
+    pages = [(k, "http://big.com/", h) for k, h in enumerate(html)] + [(5000 + k, "http://copies.com/", f"<p>{own[k % 2]}</p>") for k in range(6)]
+    got = {x["page_id"]: x["text"] for x in extract_text(spark.createDataFrame(pages, "page_id long, url string, html string").repartition(8)).collect()}
+    assert len(got) == 5006 and not [k for k in noted if "notice" in got[k]]
+    assert not [k for k in quoted if quote not in got[k]] and not [k for k in range(5000) if own[k] not in got[k]]
+    assert [got[5000 + k] for k in range(6)] == [own[k % 2] for k in range(6)]
+
+
 def test_pages_have_no_menu_or_footer(spark):
     rows = QUERIES["op7_page_text"](spark, SMALL).collect()
     html = dict(zip(*pq.read_table(f"{SMALL}/pages.parquet", columns=["page_id", "html"]).to_pydict().values()))
