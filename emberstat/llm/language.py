@@ -148,17 +148,19 @@ def held_out(doc_id: Column) -> Column:
 def training_sample(docs: DataFrame, per_language: int, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """At most ``per_language`` distinct labelled texts of each language, chosen by a hash of the text.
 
-    The languages' row counts give each a share of the hash range, so that only about as many texts as
-    are wanted are sorted.
+    The languages' counts of distinct texts (by 64-bit hash) give each a share of the hash range, so that only about
+    as many texts as are wanted are sorted, however many copies there are.
     """
     rows = docs.select(F.col(f"`{text_col}`").alias("text"), F.col(f"`{lang_col}`").cast("string").alias("lang")).filter(
         F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    counts = docs.filter(F.col(f"`{lang_col}`").isNotNull()).groupBy(F.col(f"`{lang_col}`").cast("string").alias("lang")).count()
+    rows = rows.withColumn("hash", F.xxhash64("text"))
+    counts = rows.select("lang", "hash").distinct().groupBy("lang").count()
     counts = checked_broadcast(stage(counts, "languages"), 64)  # a row for each label; keeps texts of a common one apart
-    draw = F.pmod(F.xxhash64("text"), F.lit(1 << 32))
-    near = rows.withColumn("draw", draw).join(counts, "lang").filter(F.col("draw") * F.col("count") < F.lit(float(1 << 33)) * per_language)
-    near = near.dropDuplicates(["lang", "draw"]).drop("count")
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("draw"))
+    # 100 more, so that few wanted texts are reached too
+    wanted = float(1 << 32) * (2 * per_language + 100)
+    near = rows.withColumn("draw", F.pmod("hash", F.lit(1 << 32))).join(counts, "lang").filter(F.col("draw") * F.col("count") < F.lit(wanted))
+    near = near.dropDuplicates(["lang", "hash"]).drop("count")
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "hash"))
     return near.withColumn("rank", rank).filter(F.col("rank") <= per_language)
 
 
@@ -186,7 +188,7 @@ def fit(docs: DataFrame, clusters: int = 4, per_language: int = 1000, reject: fl
     idf = np.array([np.log((1 + total) / (1 + seen.get(k, 0))) + 0.1 for k in range(DIMENSIONS)], np.float32)
 
     def one_language(group: pa.Table) -> pa.Table:
-        group = group.sort_by("draw")
+        group = group.sort_by([("draw", "ascending"), ("hash", "ascending")])
         x = np.concatenate([vectors(ngram_counts(t), idf) for c in group["text"].chunks for t in [c.slice(at, 256) for at in range(0, len(c), 256)]])
         centre, own = spherical_clusters(x, clusters)
         least = limits(group["text"].combine_chunks(), x, idf, centre, own, reject)

@@ -11,7 +11,7 @@ import pyarrow.parquet as pq
 import pytest
 from tokenizers import Tokenizer
 
-from emberstat.llm.language import fit, held_out, identify
+from emberstat.llm.language import fit, held_out, identify, training_sample
 from emberstat.llm.licenses import PHRASES, scan_licenses
 from emberstat.llm.mixing import mix, mixed
 from emberstat.llm.page_text import article_of, extract_text, unique_runs
@@ -108,6 +108,15 @@ def test_junk_and_unlearned_languages_are_rejected(spark):
     assert len(clean) > 200 and sum(x["rejected"] for x in clean) <= 0.005 * len(clean)
 
 
+def test_copies_do_not_starve_the_sample(spark):
+    few = spark.range(40_000).selectExpr("concat('text of few ', char(97 + id % 5)) AS text", "'few' AS lang")
+    hot = spark.range(63_000).selectExpr("concat('text of many ', greatest(id - 60000, 0)) AS text", "'hot' AS lang")
+    no_letters = spark.range(5000).selectExpr("cast(id AS string) AS text", "'few' AS lang")
+    docs = few.unionByName(hot).unionByName(no_letters)
+    assert Counter(r["lang"] for r in training_sample(docs, 1000).collect()) == {"few": 5, "hot": 1000}
+    assert Counter(r["lang"] for r in training_sample(docs, 1).collect()) == {"few": 1, "hot": 1}
+
+
 # licences
 def test_licences_of_odd_and_edited_texts(spark, odd):
     gpl = "This work is licensed under the GNU General Public License, version 3."
