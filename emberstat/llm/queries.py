@@ -111,3 +111,11 @@ def op7_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .page_text import extract_text
 
     return extract_text(table(spark, sf_dir, "pages"), keep=["page_id", "url"])
+
+
+@_query
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 documents that rank highest for every benchmark item."""
+    from .lexical_search import search
+
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=50)

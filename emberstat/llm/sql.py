@@ -194,3 +194,16 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 
 
 ORACLES["op5_quality"] = _quality()
+
+ORACLES["op11_lexical_search"] = rf"""
+WITH d AS (SELECT r, doc_id, unnest(w) AS t FROM (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents)),
+tf AS (SELECT r, doc_id, t, count(*) AS tf FROM d GROUP BY ALL),
+n AS (SELECT r, count(*) AS n FROM d GROUP BY r),
+s AS (SELECT CAST(count(*) AS BIGINT) AS docs, CAST(sum(n) AS BIGINT) AS words FROM n),
+w AS (SELECT t, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, s GROUP BY t, docs),
+q AS (SELECT DISTINCT i, item_id, unnest(w) AS t FROM (SELECT row_number() OVER () AS i, item_id, {_WORDS} AS w FROM benchmark)),
+scored AS (SELECT i, item_id, r, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + ((50 * n * docs) // words))))) AS score
+           FROM q JOIN w USING (t) JOIN tf USING (t) JOIN n USING (r), s GROUP BY ALL),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scored WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, CAST(score AS BIGINT) AS score FROM ranked WHERE rank <= 50
+"""
