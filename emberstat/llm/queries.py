@@ -119,3 +119,27 @@ def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .lexical_search import search
 
     return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=50)
+
+
+def planted(docs: DataFrame) -> DataFrame:
+    """``documents`` as the run contract reads them: one in ten, by the checksum of its id, goes on periodically from some
+    word on (as words joined by one space). Other texts, and those without id, stay."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"), 1)
+    g, n = F.floor(h / 10).cast("long"), F.size("words").cast("long")
+    hit = docs.select("doc_id", "text", h.alias("h"), F.when(h % 10 == 0, words).alias("words")).select(
+        "*", F.when(n > 0, g % n).alias("a"), n.alias("n"), (3 + g % 8).alias("more"))
+    hit = hit.withColumn("p", 1 + F.floor((F.col("n") - F.col("a")) / F.col("more")).cast("long"))
+    periodic = F.expr("array_join(transform(sequence(0L, n - 1), i -> words[cast(if(i < a, i, a + (i - a) % p) as int)]), ' ')")
+    return hit.select("doc_id", F.when(F.col("n") > 0, periodic).otherwise(F.col("text")).alias("text"))
+
+
+@_query
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of every whole text."""
+    from .periodic_runs import best_run, periodic_runs, runs_digest
+
+    found = periodic_runs(planted(table(spark, sf_dir, "documents")), keep=["doc_id"], keep_text=False)
+    found = found.select("*", best_run().alias("best"))
+    return found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+                        F.expr("1000 * best.length div best.period").alias("exponent_milli"), runs_digest().alias("runs_sha256"), "collapsed_sha256")
