@@ -166,3 +166,19 @@ def checked_broadcast(small: DataFrame, row_bytes: int | Column, limit: int = 64
     else:
         size = small.count() * row_bytes
     return F.broadcast(small) if size <= limit else small
+
+
+#: A key with more than one in so many rows is hot, so there are fewer hot keys than this.
+HOT_KEYS = 1000
+
+
+def join_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, row_bytes: int, limit: int = 64 << 20) -> DataFrame:
+    """Inner join of ``rows`` with one row for each ``key``, which holds in ``size`` how many rows have it (both staged). Groups
+    within ``limit`` bytes are broadcast. Beyond, fewer than ``HOT_KEYS`` hot groups are, and the others meet their rows in a
+    shuffle join, where no key has more than a small share of all rows."""
+    n, total = groups.agg(F.count("*"), F.sum(size)).first()
+    if n * row_bytes <= limit:
+        return rows.join(F.broadcast(groups), key)
+    hot = F.broadcast(groups.filter(F.col(size) * HOT_KEYS > total))
+    cold = rows.join(hot.select(key), key, "left_anti").join(groups.filter(F.col(size) * HOT_KEYS <= total), key)
+    return rows.join(hot, key).unionByName(cold)

@@ -143,3 +143,17 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = found.select("*", best_run().alias("best"))
     return found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
                         F.expr("1000 * best.length div best.period").alias("exponent_milli"), runs_digest().alias("runs_sha256"), "collapsed_sha256")
+
+
+@_query
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to WARC archives with revisit records, as read back."""
+    from ..session import scratch_path
+    from .warc import read_archives, resolve_revisits, write_archives
+
+    pages, path = table(spark, sf_dir, "pages"), scratch_path(spark, "archives")
+    write_archives(pages, path)
+    kind = pages.schema["page_id"].dataType
+    found = resolve_revisits(read_archives(spark, path))
+    return found.select(F.col("page_id").cast(kind).alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+                        F.col("refers_to").cast(kind).alias("refers_to"))

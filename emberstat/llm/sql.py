@@ -207,3 +207,12 @@ scored AS (SELECT i, item_id, r, doc_id, sum(w * ((1000000000 * tf) // (1000 * t
 ranked AS (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scored WHERE score > 0)
 SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, CAST(score AS BIGINT) AS score FROM ranked WHERE rank <= 50
 """
+
+ORACLES["op13_warc"] = r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
+d AS (SELECT *, octet_length(encode(html)) AS n, array_to_string(list_transform(generate_series(0, 31), lambda i:
+  substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((('0x' || substr(h, 1 + (i // 8) * 10, 10))::BIGINT >> (35 - 5 * (i % 8))) & 31)::INT, 1)), '') AS digest FROM p),
+w AS (SELECT *, max(page_id) OVER (PARTITION BY html) AS first FROM d)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to FROM w
+"""

@@ -10,7 +10,7 @@ from tools.check_oracle import digest
 
 def test_queries_are_registered():
     assert set(QUERIES) <= set(entry.queries()) and "pipeline" in entry.queries()
-    assert sorted(k.split("_")[0] for k in QUERIES) == sorted(f"op{n}" for n in range(1, 11))
+    assert sorted(k.split("_")[0] for k in QUERIES) == sorted(f"op{n}" for n in range(1, 14))
     assert set(ORACLES) <= set(QUERIES)
 
 
