@@ -1,8 +1,8 @@
 """Snowball English ("Porter2") stemmer, written from the published
 algorithm description (snowballstem.org, English stemmer).
 
-Plain Python on one word; the Spark side (``operators.text.stem_terms``)
-calls it once per *distinct* term inside a pandas UDF.
+Plain Python on one word, with the published word lists and suffix tables.
+Spark plans use the same tables as column expressions (``functions.porter2``).
 """
 
 from __future__ import annotations

@@ -9,12 +9,10 @@ from __future__ import annotations
 
 from typing import Iterable
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ..functions.stem import stem
+from ..functions.porter2 import with_stem
 from ..functions.text import ENGLISH_STOPWORDS, EXTRA_STOPWORDS, normalize_text
 from .checkpoint import materialize
 from .joins import join_small
@@ -48,15 +46,10 @@ def flag_stopwords(tokens: DataFrame, col: str = "token", words: Iterable[str] =
     return j.withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
 
 
-@F.pandas_udf(T.StringType())
-def _stem_udf(terms: pd.Series) -> pd.Series:
-    return terms.map(stem)
-
-
 def stem_terms(terms: DataFrame, col: str = "term") -> DataFrame:
-    """(term, stem) for the distinct terms of ``terms``: the Python stemmer
-    runs once per distinct word, in Arrow batches."""
-    return terms.select(col).distinct().select(col, _stem_udf(F.col(col)).alias("stem"))
+    """(term, stem) for the distinct terms of ``terms``: the stemmer's rules as built-in string functions, once per
+    distinct word."""
+    return with_stem(terms.select(col).distinct(), col)
 
 
 def document_terms(corpus: DataFrame, min_length: int = 3, stopwords: Iterable[str] | None = STOPWORDS,

@@ -1,15 +1,16 @@
 """Group C queries: text → document-term matrix → sparse cut → frequencies.
 
-Oracle twins run the same control list in DuckDB; stemming has no DuckDB
-twin, so each key with an oracle uses ``stemming=False`` and has a stemmed
-counterpart (``stemmed_*``, the study's own form) that tests recount in plain
-Python; the stemmer itself is checked by goldens.
+Oracle twins run the same control list in DuckDB. Each key has a stemmed
+counterpart (``stemmed_*``, the study's own form), whose oracle stems the
+distinct words by the stemmer's steps as SQL; tests hold these steps against
+the plain Python stemmer.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.porter2 import stem_sql
 from ..functions.text import collapse_whitespace, normalize_text
 from ..operators import text as tx
 from ..operators.checkpoint import materialize
@@ -36,6 +37,27 @@ keep AS (SELECT term, df FROM dfs, ndocs WHERE df > n * (1 - {SPARSE})),
 sdtm AS (SELECT * FROM dtm WHERE term IN (SELECT term FROM keep))
 """
 
+# the same matrix of stems: tokens are stemmed before the length bound
+STEMMED_SQL = CORPUS_SQL.replace("dtm AS (SELECT doc_id, token AS term, count(*) AS tf FROM kept WHERE length(token) >= 3 GROUP BY 1, 2)", f"""raw AS (SELECT doc_id, token, count(*) AS tf FROM kept GROUP BY 1, 2),
+stems AS MATERIALIZED ({stem_sql("(SELECT DISTINCT token FROM raw)", "token")}),
+dtm AS (SELECT doc_id, stem AS term, CAST(sum(tf) AS BIGINT) AS tf FROM raw JOIN stems USING (token) WHERE length(stem) >= 3 GROUP BY 1, 2)""")
+
+#: What the keys read of the matrix, plain or stemmed.
+BODY = {
+    "document_term_matrix": "SELECT * FROM dtm",
+    "sparse_terms": "SELECT term, df FROM keep",
+    "vocabulary": "SELECT dense_rank() OVER (ORDER BY term) AS term_id, term FROM keep",
+    "nonempty_docs": "SELECT doc_id, count(*) AS n_terms FROM sdtm GROUP BY 1",
+    "doc_lengths": "SELECT doc_id, CAST(sum(tf) AS BIGINT) AS length FROM sdtm GROUP BY 1",
+    "term_frequency": "SELECT term, CAST(sum(tf) AS BIGINT) AS freq FROM sdtm GROUP BY 1",
+    "dtm_summary": """SELECT docs, terms, non_zero, docs * terms - non_zero AS zero,
+  CAST(round(100 * (docs * terms - non_zero) / (docs * terms)) AS BIGINT) AS sparsity_pct, max_term_length
+FROM (SELECT count(DISTINCT doc_id) AS docs, count(DISTINCT term) AS terms, count(*) AS non_zero,
+             CAST(max(length(term)) AS INTEGER) AS max_term_length FROM sdtm)""",
+    "top_words": """SELECT term AS word, freq, CAST(row_number() OVER (ORDER BY freq DESC, term) AS BIGINT) AS rank
+FROM (SELECT term, CAST(sum(tf) AS BIGINT) AS freq FROM sdtm GROUP BY 1) ORDER BY freq DESC, term LIMIT 30""",
+}
+
 
 def _dtm(spark, sf, stemming=False):
     return tx.document_term_matrix(si.reviews(spark, sf), stemming=stemming)
@@ -76,32 +98,32 @@ def stopword_filter(spark, sf):
                                    F.count(F.when(~F.col("is_stop"), 1)).alias("n_kept"))
 
 
-@query("document_term_matrix", CORPUS_SQL + "SELECT * FROM dtm")
+@query("document_term_matrix", CORPUS_SQL + BODY["document_term_matrix"])
 def document_term_matrix(spark, sf):
     return _dtm(spark, sf)
 
 
-@query("sparse_terms", CORPUS_SQL + "SELECT term, df FROM keep")
+@query("sparse_terms", CORPUS_SQL + BODY["sparse_terms"])
 def sparse_terms(spark, sf):
     return tx.doc_frequency(_sparse_dtm(spark, sf))
 
 
-@query("vocabulary", CORPUS_SQL + "SELECT dense_rank() OVER (ORDER BY term) AS term_id, term FROM keep")
+@query("vocabulary", CORPUS_SQL + BODY["vocabulary"])
 def vocabulary(spark, sf):
     return tx.vocabulary_ids(_sparse_dtm(spark, sf))
 
 
-@query("nonempty_docs", CORPUS_SQL + "SELECT doc_id, count(*) AS n_terms FROM sdtm GROUP BY 1")
+@query("nonempty_docs", CORPUS_SQL + BODY["nonempty_docs"])
 def nonempty_docs(spark, sf):
     return tx.drop_empty_docs(_sparse_dtm(spark, sf))
 
 
-@query("doc_lengths", CORPUS_SQL + "SELECT doc_id, CAST(sum(tf) AS BIGINT) AS length FROM sdtm GROUP BY 1")
+@query("doc_lengths", CORPUS_SQL + BODY["doc_lengths"])
 def doc_lengths(spark, sf):
     return tx.doc_lengths(_sparse_dtm(spark, sf))
 
 
-@query("term_frequency", CORPUS_SQL + "SELECT term, CAST(sum(tf) AS BIGINT) AS freq FROM sdtm GROUP BY 1")
+@query("term_frequency", CORPUS_SQL + BODY["term_frequency"])
 def term_frequency(spark, sf):
     return tx.term_frequency(_sparse_dtm(spark, sf))
 
@@ -111,10 +133,7 @@ def token_total(spark, sf):
     return _sparse_dtm(spark, sf).agg(F.sum("tf").cast("long").alias("total"))
 
 
-@query("dtm_summary", CORPUS_SQL + """SELECT docs, terms, non_zero, docs * terms - non_zero AS zero,
-  CAST(round(100 * (docs * terms - non_zero) / (docs * terms)) AS BIGINT) AS sparsity_pct, max_term_length
-FROM (SELECT count(DISTINCT doc_id) AS docs, count(DISTINCT term) AS terms, count(*) AS non_zero,
-             CAST(max(length(term)) AS INTEGER) AS max_term_length FROM sdtm)""")
+@query("dtm_summary", CORPUS_SQL + BODY["dtm_summary"])
 def dtm_summary(spark, sf):
     return tx.dtm_summary(_sparse_dtm(spark, sf))
 
@@ -128,56 +147,55 @@ def freq_table(spark, sf):
     return tx.freq_table(materialize(_sparse_dtm(spark, sf)))
 
 
-@query("top_words", CORPUS_SQL + """SELECT term AS word, freq, CAST(row_number() OVER (ORDER BY freq DESC, term) AS BIGINT) AS rank
-FROM (SELECT term, CAST(sum(tf) AS BIGINT) AS freq FROM sdtm GROUP BY 1) ORDER BY freq DESC, term LIMIT 30""")
+@query("top_words", CORPUS_SQL + BODY["top_words"])
 def top_words(spark, sf):
     """The 30 most frequent terms (a top-k over the term totals)."""
     return tx.word_freq(_sparse_dtm(spark, sf), 30)
 
 
-@query("stem_tokens")
+@query("stem_tokens", STEMMED_SQL + "SELECT token AS term, stem FROM stems")
 def stem_tokens(spark, sf):
     """Distinct kept tokens of the corpus with their Snowball English stems."""
     t = tx.remove_stopwords(tx.tokenize(si.reviews(spark, sf), normalize=True)).withColumnRenamed("token", "term")
     return tx.stem_terms(t)
 
 
-@query("stemmed_document_term_matrix")
+@query("stemmed_document_term_matrix", STEMMED_SQL + BODY["document_term_matrix"])
 def stemmed_document_term_matrix(spark, sf):
     return _dtm(spark, sf, True)
 
 
-@query("stemmed_sparse_terms")
+@query("stemmed_sparse_terms", STEMMED_SQL + BODY["sparse_terms"])
 def stemmed_sparse_terms(spark, sf):
     return tx.doc_frequency(_sparse_dtm(spark, sf, True))
 
 
-@query("stemmed_vocabulary")
+@query("stemmed_vocabulary", STEMMED_SQL + BODY["vocabulary"])
 def stemmed_vocabulary(spark, sf):
     return tx.vocabulary_ids(_sparse_dtm(spark, sf, True))
 
 
-@query("stemmed_nonempty_docs")
+@query("stemmed_nonempty_docs", STEMMED_SQL + BODY["nonempty_docs"])
 def stemmed_nonempty_docs(spark, sf):
     return tx.drop_empty_docs(_sparse_dtm(spark, sf, True))
 
 
-@query("stemmed_doc_lengths")
+@query("stemmed_doc_lengths", STEMMED_SQL + BODY["doc_lengths"])
 def stemmed_doc_lengths(spark, sf):
     return tx.doc_lengths(_sparse_dtm(spark, sf, True))
 
 
-@query("stemmed_term_frequency")
+@query("stemmed_term_frequency", STEMMED_SQL + BODY["term_frequency"])
 def stemmed_term_frequency(spark, sf):
     return tx.term_frequency(_sparse_dtm(spark, sf, True))
 
 
-@query("stemmed_summary")
+@query("stemmed_summary", STEMMED_SQL + BODY["dtm_summary"])
 def stemmed_summary(spark, sf):
     return tx.dtm_summary(_sparse_dtm(spark, sf, True))
 
 
-@query("stemmed_top_words")
+@query("stemmed_top_words", STEMMED_SQL + BODY["top_words"])
 def stemmed_top_words(spark, sf):
     """The 30 most frequent stems."""
     return tx.word_freq(_sparse_dtm(spark, sf, True), 30)
