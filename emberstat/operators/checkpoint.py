@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 
 from ..session import scratch_path
 
@@ -14,3 +14,18 @@ def materialize(df: DataFrame) -> DataFrame:
     path = scratch_path(df.sparkSession, "frame")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def materialize_measured(df: DataFrame, measure: Column) -> tuple[DataFrame, int]:
+    """``materialize`` and an aggregate of the rows, taken while they are written."""
+    seen = Observation()
+    out = materialize(df.observe(seen, measure.alias("measure")))
+    return out, seen.get["measure"] or 0
+
+
+def is_written(df: DataFrame) -> bool:
+    """Whether ``df`` is only columns of files or of literal rows: reading it again costs no more than a copy would."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    while plan.nodeName() == "Project":
+        plan = plan.children().head()
+    return plan.nodeName().split(" ")[0] in ("Relation", "LogicalRelation", "LocalRelation")

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .checkpoint import materialize
+from .checkpoint import is_written, materialize, materialize_measured
 
 BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 #: Bytes of a row beside its values.
@@ -53,18 +53,21 @@ def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner", bounded
     """Join ``big`` with a side expected to be small.
 
     ``bounded=True``: the caller guarantees the size (parameter-sized table) and it is broadcast. Otherwise the
-    small side is written once to the shared checkpoint folder and its bytes are measured there (lengths of texts
-    included); it is broadcast only under ``max_bytes``, above that the join stays a shuffle join (with adaptive
-    skew-partition splitting). Measuring runs jobs while the plan is built. ``unique_on`` additionally checks that the
+    small side is written once to the shared checkpoint folder (unless it is only read from files) and its bytes are
+    measured on the way (lengths of texts included); it is broadcast only under ``max_bytes``, above that the join stays a
+    shuffle join (with adaptive skew-partition splitting). This runs a job while the plan is built. ``unique_on`` additionally checks that the
     small side has one row per key. ``null_safe``: a NULL key equals a NULL key (group keys).
     """
     if not bounded:
-        small = materialize(small)
+        if is_written(small):
+            size = small.agg(measured_bytes(small)).first()[0] or 0
+        else:
+            small, size = materialize_measured(small, measured_bytes(small))
         if unique_on:
             most = small.groupBy(*unique_on).count().agg(F.max("count")).first()[0]
             if most is not None and most > 1:
                 raise ValueError(f"lookup side is not unique on {list(unique_on)}")
-        bounded = (small.agg(measured_bytes(small)).first()[0] or 0) <= max_bytes
+        bounded = size <= max_bytes
     if bounded:
         small = F.broadcast(small)
     return join_null_safe(big, small, on, how) if null_safe and on else big.join(small, on=on, how=how)
@@ -116,7 +119,7 @@ def row_index(df: DataFrame, order_cols: Sequence[str], name: str = "row_index")
     # one row per partition: the ordered window runs over the partition count only
     offsets = counts.select("_pid", F.coalesce(F.sum("_c").over(
         Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
-    out = join_small(tagged.withColumn("_pid", pid), offsets, on="_pid")
+    out = join_small(tagged.withColumn("_pid", pid), offsets, on="_pid", bounded=True)  # a row for each shuffle partition
     local = F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))
     return out.select(*df.columns, (F.col("_off") + local + 1).alias(name))
 

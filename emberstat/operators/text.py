@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from typing import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.porter2 import with_stem
@@ -132,8 +132,10 @@ def word_freq(dtm: DataFrame, k: int | None = None) -> DataFrame:
     from .ranks import rank_keys
 
     f = term_frequency(dtm)
-    if k is not None:
-        f = f.orderBy(F.desc("freq"), "term").limit(k)
+    if k is not None:  # k rows are numbered in one task
+        r = f.orderBy(F.desc("freq"), "term").limit(k).withColumn(
+            "rank", F.row_number().over(Window.orderBy(F.desc("freq"), "term")).cast("long"))
+        return r.select(F.col("term").alias("word"), "freq", "rank")
     r = rank_keys(f.select((-F.col("freq")).alias("_nf"), "term"), ["_nf", "term"], method="row_number",
                   name="rank")
     return r.select(F.col("term").alias("word"), (-F.col("_nf")).alias("freq"), "rank")

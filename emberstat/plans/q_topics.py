@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.ml.clustering import LocalLDAModel
 from pyspark.sql import functions as F
 
+from ..operators import lda as ld
 from ..operators import text as tx
 from ..operators import topics as tp
 from ..operators.checkpoint import materialize
@@ -23,6 +24,9 @@ from .registry import query
 K, ALPHA, SEED = 20, 0.02, 3456
 #: Prior on φ and full passes over the documents (an online fit needs far fewer passes than a sampler).
 BETA, ITERS = 0.1, 10
+#: Passes of the trace at most, and the relative gain of the bound under which it stops; sweeps of the sampler and every
+#: how many its likelihood is noted (the study ran thousands of sweeps on one machine; ``fit_gibbs`` takes any number).
+TRACE, GAIN, SWEEPS, KEEP = 12, 1e-4, 20, 2
 
 # ---------------------------------------------------------------- stand-in φ
 STANDIN_SQL = CORPUS_SQL + """,
@@ -104,38 +108,38 @@ def topic_distance(spark, sf):
 
 # ---------------------------------------------------------------- fitted LDA
 def lda_inputs(spark, sf):
-    """Stemmed, sparse-cut DTM of the reviews, its vocabulary and count vectors (both written once)."""
+    """Stemmed, sparse-cut DTM of the reviews and its bags (both written once)."""
     dtm = materialize(tx.sparse_document_term_matrix(si.reviews(spark, sf), SPARSE, stemming=True))
-    vocab = tp.vocabulary(dtm)
-    return dtm, vocab, materialize(tp.count_vectors(dtm, vocab))
+    return dtm, ld.bags(dtm)
 
 
 def lda_context(spark, sf, k=K, max_iter=ITERS):
-    """The inputs and a fitted model."""
-    dtm, vocab, vectors = lda_inputs(spark, sf)
-    return dtm, vocab, vectors, tp.fit_lda(vectors, k=k, alpha=ALPHA, beta=BETA, seed=SEED, max_iter=max_iter)
+    """The inputs, count vectors and a fitted model."""
+    dtm, data = lda_inputs(spark, sf)
+    vectors = materialize(tp.count_vectors(data))
+    return dtm, data, vectors, tp.fit_lda(vectors, k=k, alpha=ALPHA, beta=BETA, seed=SEED, max_iter=max_iter)
 
 
 @query("lda_fit")
 def lda_fit(spark, sf):
     """One row describing the fit: K, V, documents, log-likelihood bound, perplexity."""
-    dtm, vocab, vectors, model = lda_context(spark, sf)
-    ll, lp = tp.fit_quality(model, vectors)
+    _, data, vectors, model = lda_context(spark, sf)
+    ll, lp = tp.fit_quality(model, vectors, float(data.n_tokens))
     return vectors.agg(F.count(F.lit(1)).alias("docs")).select(
-        F.lit(model.getK()).alias("k"), F.lit(len(vocab)).alias("vocab_size"), "docs",
+        F.lit(model.getK()).alias("k"), F.lit(data.n_terms).alias("vocab_size"), "docs",
         F.lit(ll).alias("log_lik"), F.lit(lp).alias("log_perplexity"))
 
 
 @query("lda_top_terms")
 def lda_top_terms(spark, sf):
-    _, vocab, _, model = lda_context(spark, sf)
-    return tp.top_terms(model, vocab, 5)
+    _, data, _, model = lda_context(spark, sf)
+    return tp.top_terms(model, data.terms, 5)
 
 
 @query("lda_phi")
 def lda_phi(spark, sf):
-    _, vocab, _, model = lda_context(spark, sf)
-    return tp.phi_table(model, vocab)
+    _, data, _, model = lda_context(spark, sf)
+    return tp.phi_table(model, data.terms)
 
 
 @query("lda_theta")
@@ -146,15 +150,35 @@ def lda_theta(spark, sf):
 
 @query("lda_trace")
 def lda_trace(spark, sf):
-    """Bound after 2, 4, …, 12 full passes (the index is ``seq(keep, n, keep)``)."""
-    _, _, vectors = lda_inputs(spark, sf)
-    return tp.lda_trace(vectors, list(range(2, 13, 2)), k=K, alpha=ALPHA, beta=BETA, seed=SEED)
+    """The bound of each of up to ``TRACE`` passes of one fit (fewer when it gains less than ``GAIN``)."""
+    _, data = lda_inputs(spark, sf)
+    fit = ld.fit_em(data, K, ALPHA, BETA, SEED, passes=TRACE, tolerance=GAIN)
+    return ld.trace_table(spark, fit)
 
 
 @query("lda_sweep_k")
 def lda_sweep_k(spark, sf):
-    _, _, vectors = lda_inputs(spark, sf)
-    return tp.sweep_k(vectors, [5, 10, 20], alpha=ALPHA, beta=BETA, seed=SEED, max_iter=ITERS)
+    """In-sample bound and held-out perplexity (document completion) for several numbers of topics."""
+    _, data = lda_inputs(spark, sf)
+    return ld.sweep_k(data, [5, 10, 20], ALPHA, BETA, SEED, passes=ITERS)
+
+
+def gibbs(spark, sf):
+    _, data = lda_inputs(spark, sf)
+    return data, ld.fit_gibbs(data, K, ALPHA, BETA, SEED, sweeps=SWEEPS, keep=KEEP)
+
+
+@query("gibbs_trace")
+def gibbs_trace(spark, sf):
+    """Log-likelihood of the sampler after every ``KEEP``-th sweep."""
+    return ld.trace_table(spark, gibbs(spark, sf)[1], "sweep")
+
+
+@query("word_assignments")
+def word_assignments(spark, sf):
+    """Tokens of each document and term by the sampler's topic."""
+    data, fit = gibbs(spark, sf)
+    return ld.assignments(fit, data.terms)
 
 
 @query("docs_for_topic")
@@ -164,8 +188,8 @@ def docs_for_topic(spark, sf):
 
 
 def _explorer_inputs(spark, sf):
-    dtm, vocab, vectors, model = lda_context(spark, sf)
-    return tp.phi_table(model, vocab), tp.theta_table(model, vectors), tx.doc_lengths(dtm), tx.term_frequency(dtm)
+    dtm, data, vectors, model = lda_context(spark, sf)
+    return tp.phi_table(model, data.terms), tp.theta_table(model, vectors), tx.doc_lengths(dtm), tx.term_frequency(dtm)
 
 
 @query("topic_map")
@@ -187,6 +211,6 @@ def ldavis_json(spark, sf):
 @query("model_round_trip")
 def model_round_trip(spark, sf):
     """Save the fitted model, load it back, and describe its topics."""
-    _, vocab, _, model = lda_context(spark, sf)
+    _, data, _, model = lda_context(spark, sf)
     path = save_model(model, scratch_path(spark, "lda-model"))
-    return tp.top_terms(load_model(LocalLDAModel, path), vocab, 5)
+    return tp.top_terms(load_model(LocalLDAModel, path), data.terms, 5)
