@@ -150,10 +150,10 @@ def lda_theta(spark, sf):
 
 @query("lda_trace")
 def lda_trace(spark, sf):
-    """The bound of each of up to ``TRACE`` passes of one fit (fewer when it gains less than ``GAIN``)."""
+    """The bound of every ``KEEP``-th of up to ``TRACE`` passes of one fit (fewer when it gains less than ``GAIN``)."""
     _, data = lda_inputs(spark, sf)
     fit = ld.fit_em(data, K, ALPHA, BETA, SEED, passes=TRACE, tolerance=GAIN)
-    return ld.trace_table(spark, fit)
+    return ld.trace_table(spark, fit, keep=KEEP)
 
 
 @query("lda_sweep_k")
