@@ -111,10 +111,13 @@ def mix(docs: DataFrame, seed: str = "mix", id_col: str = "doc_id", text_col: st
     cells = stage(cells.select("number", "shard", "blocks", F.floor(F.col("quota") / F.col("blocks")).cast("long").alias("base"),
                                F.pmod("quota", "blocks").alias("extra"), F.pmod(start, F.col("blocks")).alias("start")), "shard-quotas")
     line = Window.partitionBy("number", "shard").orderBy("draw").rowsBetween(*_ALL_BEFORE)
-    df = df.withColumn("before", F.coalesce(F.sum("size").over(line), F.lit(0).cast("long")))
-    df = df.join(checked_broadcast(cells, 64), ["number", "shard"], "left")
-    taken = F.when(F.col("size") > 0, _taken_before(F.col("before") + F.col("size")) - _taken_before(F.col("before"))).otherwise(F.lit(0))
-    return df.select(*(extra or []), "id", "source", "size", "source_size", "target", taken.cast("long").alias("taken"), "draw")
+    # rows without words take no place on the line: however many, they are not put in order
+    on_line = df.filter("size > 0").withColumn("before", F.coalesce(F.sum("size").over(line), F.lit(0).cast("long")))
+    on_line = on_line.join(checked_broadcast(cells, 64), ["number", "shard"])
+    taken = (_taken_before(F.col("before") + F.col("size")) - _taken_before(F.col("before"))).cast("long")
+    columns = [*(extra or []), "id", "source", "size", "source_size", "target"]
+    blank = df.filter("size = 0").select(*columns, F.lit(0).cast("long").alias("taken"), "draw")
+    return on_line.select(*columns, taken.alias("taken"), "draw").unionByName(blank)
 
 
 def mixed(docs: DataFrame, seed: str = "mix", **columns) -> DataFrame:
@@ -125,6 +128,6 @@ def mixed(docs: DataFrame, seed: str = "mix", **columns) -> DataFrame:
     flat = rows.select(F.col("rid").alias("_rid"), *[F.col("row")[c].alias(c) for c in names.values()])
     plan = mix(flat, seed, extra=["_rid"], **names)
     odds = F.conv(F.substring("draw", 9, 8), 16, 10).cast("double") / float(1 << 32)
-    copies = F.floor(F.col("taken") / F.col("size") + odds).cast("int")
+    copies = F.floor(F.try_divide(F.col("taken"), F.col("size")) + odds).cast("int")
     plan = stage(plan.filter("taken > 0").select(F.col("_rid").alias("rid"), copies.alias("copies")).filter("copies > 0"), "plan")
     return rows.join(checked_broadcast(plan, 24), "rid").select("row", F.explode(F.sequence(F.lit(1), "copies"))).select("row.*")

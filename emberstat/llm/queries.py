@@ -75,10 +75,10 @@ def op9_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document in one of 8 shards, and in one of 9."""
-    from .sharding import leaves, placed
+    from .sharding import grown, leaves, placed
 
     docs = table(spark, sf_dir, "documents")
-    return placed(docs, leaves(8), leaves(9)).withColumnRenamed("key", "doc_id")
+    return placed(docs, leaves(8), grown(leaves(8))).withColumnRenamed("key", "doc_id")
 
 
 @_query

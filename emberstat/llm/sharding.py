@@ -4,9 +4,9 @@ Shards are the leaves of regions and racks. A document descends from the top:
 at each node every child draws an exponential number from the hash of the
 document's key and the child's name, divided by the child's weight, and the
 smallest draw wins. So a child gets its share by weight, and a changed weight
-moves documents only into or out of the subtree that holds it. A shard that is
-added as a region of its own takes rows only into itself. DataFrame functions
-only.
+moves documents only into or out of the subtree that holds it. Shards are added
+as regions of their own (``grown``), which take rows only into themselves.
+DataFrame functions only.
 """
 
 from __future__ import annotations
@@ -24,12 +24,19 @@ BUCKET_ROWS = 100_000
 
 
 def leaves(shards: int) -> list[Leaf]:
-    """Equal shards, two to a rack and two racks to a region; what is over is a region of its own each, so that
-    one more shard changes no other subtree's weight."""
+    """The tree that a table of ``shards`` equal shards starts with: two to a rack and two racks to a region; what is over is
+    a region of its own each. Trees of different counts are laid out anew; ``grown`` adds shards to one that is in use."""
     whole = shards // 4 * 4
     return [(f"r{k // 4}", f"r{k // 4}/k{k // 2}", k, 1.0) if k < whole else (f"x{k}", f"x{k}/k", k, 1.0) for k in range(shards)]
 
 
+def grown(shards: list[Leaf], more: int = 1, weight: float = 1.0) -> list[Leaf]:
+    """The tree with ``more`` shards, numbered on. Each opens a region of its own and no shard ever changes its region, so no
+    other subtree's weight changes and rows move only into the new shards."""
+    first = max((s for _, _, s, _ in shards), default=-1) + 1
+    return shards + [(f"x{k}", f"x{k}/k", k, weight) for k in range(first, first + more)]
+
+
 def tree(shards: list[Leaf]) -> dict[str, list[tuple[str, float]]]:
     """Children with their weights (the sum of their leaves) of each node; leaves without weight hold nothing."""
     weight: dict[str, dict[str, float]] = {}
@@ -69,9 +76,9 @@ def assign(docs: DataFrame, shards: list[Leaf], key_col: str = "doc_id", name: s
     return docs.withColumn(name, shard_of(F.col(f"`{key_col}`"), shards))
 
 
-def placed(docs: DataFrame, shards: list[Leaf], grown: list[Leaf], key_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def placed(docs: DataFrame, shards: list[Leaf], larger: list[Leaf], key_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Where each document goes: ``key``, ``size`` (UTF-8 bytes of the text, null: none, plus 1), ``text_crc32`` (null
-    text: null), ``law``, ``shard``, ``slot`` (gapless from 0 in each shard) and ``grown_shard`` under ``grown``.
+    text: null), ``law``, ``shard``, ``slot`` (gapless from 0 in each shard) and ``grown_shard`` under ``larger``.
 
     Slots follow a hash of key, size and checksum. Each shard is cut into buckets of that hash, as many as its rows
     need; a window numbers a bucket and the buckets' row counts give its first slot. Rows that are equal in all
@@ -81,7 +88,7 @@ def placed(docs: DataFrame, shards: list[Leaf], grown: list[Leaf], key_col: str
     df = docs.select(key.alias("key"), (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("long").alias("size"),
                      F.crc32(text.cast("binary")).alias("text_crc32"))
     order = F.md5(F.concat_ws(":", F.lit("slot"), F.col("key").cast("string"), "size", "text_crc32"))
-    df = stage(df.select("*", shard_of(F.col("key"), shards).alias("shard"), shard_of(F.col("key"), grown).alias("grown_shard"), order.alias("place")), "placed")
+    df = stage(df.select("*", shard_of(F.col("key"), shards).alias("shard"), shard_of(F.col("key"), larger).alias("grown_shard"), order.alias("place")), "placed")
     parts = df.count() // BUCKET_ROWS // max(1, len(shards)) + 1
     df = df.withColumn("bucket", F.floor(F.conv(F.substring("place", 1, 8), 16, 10).cast("double") / float(1 << 32) * parts).cast("long"))
     counts = stage(df.groupBy("shard", "bucket").agg(F.count("*").alias("n")), "bucket-counts")

@@ -17,7 +17,7 @@ from emberstat.llm.mixing import mix, mixed
 from emberstat.llm.page_text import article_of, extract_text, unique_runs
 from emberstat.llm.quality import judge_quality
 from emberstat.llm.queries import QUERIES
-from emberstat.llm.sharding import assign, leaves, placed
+from emberstat.llm.sharding import assign, grown, leaves, placed, shard_of
 from emberstat.llm.token_count import count_merged, count_tokens, load_vocabulary
 from emberstat.llm.url_rules import judge_urls
 from tests.conftest import SMALL
@@ -167,6 +167,15 @@ def test_mix_comes_near_its_targets(spark):
     assert sorted(map(str, again)) == sorted(map(str, got))
 
 
+def test_rows_without_words_stay_off_the_line(spark):
+    rows = [(i, "w " * (i % 7), "a") for i in range(500)] + [(None, " ", "a")] * 300 + [(None, None, "b")] * 300
+    got = mix(spark.createDataFrame(rows, "doc_id long, text string, source string"))
+    assert got.count() == 1100 and got.filter("size = 0 AND taken != 0").count() == 0
+    worded = mix(spark.createDataFrame(rows[:500], "doc_id long, text string, source string")).filter("size > 0")
+    key = lambda df: sorted((r["id"], r["taken"]) for r in df.collect())
+    assert key(got.filter("size > 0")) == key(worded)
+
+
 def test_mix_of_odd_tables(spark, odd):
     got = mix(odd).collect()
     assert len(got) == len(ODD) and sum(x["taken"] for x in got) > 0
@@ -202,6 +211,18 @@ def test_shards(spark, odd):
     assert set(count) == {0, 2} and 2.5 < count[2] / count[0] < 3.6
 
 
+def test_one_more_shard_takes_rows_only_into_itself(spark):
+    trees = [leaves(n) for n in range(1, 21)] + [grown(leaves(3)), grown(leaves(8), 4), grown(grown(leaves(4)))]
+    keys = spark.range(2000)
+    columns = [c for k, t in enumerate(trees) for c in (shard_of(keys["id"], t).alias(f"a{k}"), shard_of(keys["id"], grown(t)).alias(f"b{k}"))]
+    rows = keys.select(*columns).toPandas()
+    for k, t in enumerate(trees):
+        moved = rows[rows[f"a{k}"] != rows[f"b{k}"]]
+        new = len(t)
+        assert set(moved[f"b{k}"]) == {new} and [s for _, _, s, _ in grown(t)] == list(range(new + 1))
+        assert 0.4 * len(rows) / (new + 1) < len(moved) < 1.8 * len(rows) / (new + 1)
+
+
 def test_a_changed_weight_moves_only_its_subtree(spark):
     before, after = leaves(8), [(r, k, s, 2.0 if s == 5 else w) for r, k, s, w in leaves(8)]
     rows = assign(assign(spark.range(4000), before, "id"), after, "id", "then").filter("shard != then").collect()
