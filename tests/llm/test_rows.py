@@ -270,6 +270,57 @@ def test_articles():
     assert article_of(None) == article_of("") == (False, "")
 
 
+def test_names_do_not_remove_articles():
+    assert article_of('<div class="content has-sidebar"><p>main text here</p></div>')[1] == "main text here"
+    assert article_of('<main><div class="post no-comments"><p>para</p></div></main>') == (True, "para")
+    assert article_of('<article><div id="reply-effect"><p>one</p><p>two</p></div></article>') == (True, "one two")
+    for name in ("related-work", "notice-text", "menu-item-analysis", "adsorption", "navigationTheory", "comments-in-law", "share-of-market"):
+        assert article_of(f'<article><p>a</p><p class="{name}">b c</p></article>') == (True, "a b c"), name
+    assert article_of("<article><p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn></math> be</p></article>") == (True, "Let x=1 be")
+    # most of the words under a noisy name stay, unless they are comments, a menu or links
+    most = "<p>" + "word " * 40 + "</p>"
+    for name, kept in (("widget", True), ("promo-box", True), ("comments", False), ("comment-list", False), ("nav-menu", False)):
+        assert ("word" in article_of(f'<article><p>a b</p><div class="{name}">{most}</div></article>')[1]) is kept, name
+    links = "<p>" + '<a href="/x">word word</a> ' * 20 + "</p>"
+    assert article_of(f'<article><p>a b</p><div class="related-posts">{links}</div></article>') == (True, "a b")
+    assert article_of(f'<article><p>{"a " * 30}</p><div class="related-posts">{links}</div><section class="comments"><article><p>nice</p></article></section></article>')[1].split() == ["a"] * 30
+
+
+def test_articles_under_many_names_equal_what_was_written():
+    """Generated pages: the article's blocks under plain names, noise under names of noise, in any order and depth."""
+    r = random.Random(6)
+    plain = ["", "content", "post-body", "has-sidebar", "no-comments", "entry with-menu", "related-work", "text", "reply-study", "headline-news-x", "advance", "menuette"]
+    noise = ["ad", "ad-slot-3", "cookie-notice", "cookieBanner", "sidebar", "site-footer", "share-buttons", "related-posts", "comments", "comment_list", "newsletter-signup", "nav", "breadcrumb"]
+
+    def words(n, tag):
+        return " ".join(f"{tag}{r.randrange(1000)}" for _ in range(n))
+
+    for _ in range(400):
+        said, inner = [], []
+        for _ in range(r.randint(2, 8)):
+            text = words(r.randint(8, 30), "w")
+            said.append(text)
+            tag = r.choice(["p", "h2", "li", "blockquote", "section"])
+            block = f"<{tag}>{text}</{tag}>"
+            for _ in range(r.randint(0, 2)):
+                block = f'<div class="{r.choice(plain)}">{block}</div>'
+            inner.append(block)
+            if r.random() < 0.5:
+                inner.append(f'<div {r.choice(["class", "id"])}="{r.choice(noise)}"><p>{words(r.randint(1, 3), "n")}</p></div>')
+        shell = r.choice(["<article>%s</article>", "<main>%s</main>", "<div class='x'><article class='post'>%s</article></div>", "<main><article>%s</article></main>"])
+        around = [f'<div class="{r.choice(noise)}">{words(3, "n")}</div>', "<nav><ul><li>n1</li></ul></nav>", "<footer>n2</footer>", "<aside>n3</aside>", "<form><label>n4</label></form>"]
+        r.shuffle(around)
+        page = f"<html><body>{''.join(around[:2])}{shell % ''.join(inner)}{''.join(around[2:])}</body></html>"
+        assert article_of(page) == (True, " ".join(said))
+
+
+def test_long_and_repeated_pages(spark):
+    page = "<article>" + "<p>some words of a long page</p>" * 60_000 + "</article>"
+    df = spark.createDataFrame([(1, None, page), (2, "http://h/", "<p>x y</p>"), (2, "http://h/", "<p>x y</p>")], "page_id long, url string, html string")
+    got = extract_text(df).collect()
+    assert sorted(len(x["text"].split()) for x in got) == [2, 2, 360_000]
+
+
 def test_boilerplate_of_unmarked_pages(spark):
     top, end = " ".join(f"menu{i}" for i in range(12)), " ".join(f"legal{i}" for i in range(9))
     own = [" ".join(f"own{p}x{i}" for i in range(20 + p)) for p in range(6)]
