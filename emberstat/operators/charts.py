@@ -17,6 +17,8 @@ from .joins import join_null_safe, join_small
 from .ranks import quantile_columns, rank_keys
 
 SQRT_2PI = math.sqrt(2 * math.pi)
+#: Standard deviations beyond which a normal kernel adds nothing to a double (its value is 3e-18 there).
+REACH = 9.0
 
 
 # --------------------------------------------------------------------- bars
@@ -199,18 +201,23 @@ def stat_density(df: DataFrame, x: str, by: Sequence[str] = (), n: int = 512, me
     keys = weighted_keys(df, [x], by)
     bw = bandwidth_nrd0(df, x, by, keys=keys)
     pts = _reduce_points(keys, [x], by, method, bin_count, common_range)
-    idx = spark.range(n).withColumnRenamed("id", "i")
-    gx = (F.col("_lo") + F.col("i") * (F.col("_hi") - F.col("_lo")) / (n - 1)).alias("gx")
     p = join_null_safe(pts, bw, by) if by else pts.crossJoin(bw)
+    ends = [F.min(x).alias("_lo"), F.max(x).alias("_hi")]
     if common_range or not by:
-        rng = keys.agg(F.min(x).alias("_lo"), F.max(x).alias("_hi"))
-        grid = join_small(idx, rng, how="cross", on=None, bounded=True).select("i", gx)
-        pg = join_small(p, grid, how="cross", on=None, bounded=True)
+        rng = keys.agg(*ends)
+        p = join_small(p, rng, how="cross", on=None, bounded=True)
+        every = join_small(bw, rng, how="cross", on=None, bounded=True)
     else:
-        rng = keys.groupBy(*by).agg(F.min(x).alias("_lo"), F.max(x).alias("_hi"))
-        grid = join_small(rng, idx, how="cross", on=None, bounded=True).select(*by, "i", gx)
-        pg = join_null_safe(p, grid, by)
-    z = (F.col("gx") - F.col(x)) / F.col("bw")
+        rng = keys.groupBy(*by).agg(*ends)
+        p, every = join_null_safe(p, rng, by), join_null_safe(bw, rng, by)
+    # a point meets the part of the grid that its kernel reaches; the grid itself stands beside them without weight
+    step = F.when(F.col("_hi") > F.col("_lo"), (F.col("_hi") - F.col("_lo")) / (n - 1)).otherwise(F.lit(1.0))
+    near = [F.least(F.greatest(F.col(x) + side * REACH * F.col("bw") - F.col("_lo"), F.lit(0.0)) / step, F.lit(float(n - 1))) for side in (-1, 1)]
+    p = p.select(*by, "_lo", "_hi", "n", "bw", F.col(x).alias("_at"), "_w", F.explode(F.sequence(F.floor(near[0]), F.ceil(near[1]))).alias("i"))
+    every = join_small(every, spark.range(n).withColumnRenamed("id", "i"), how="cross", on=None, bounded=True)
+    pg = p.unionByName(every.select(*by, "_lo", "_hi", "n", "bw", F.col("_lo").alias("_at"), F.lit(0.0).alias("_w"), "i"))
+    pg = pg.withColumn("gx", F.col("_lo") + F.col("i") * (F.col("_hi") - F.col("_lo")) / (n - 1))
+    z = (F.col("gx") - F.col("_at")) / F.col("bw")
     k = pg.groupBy(*by, "i", "gx").agg(
         (F.sum(F.col("_w") * F.exp(-0.5 * z * z)) / (F.first("n") * F.first("bw") * SQRT_2PI)).alias("density"),
         F.first("n").alias("n"))
@@ -231,8 +238,9 @@ def stat_density_2d(df: DataFrame, x: str, y: str, n: int = 25, method: str = "b
     """2-D Gaussian kernel density on an ``n``×``n`` grid over the data range
     (bivariate normal kernel, sd = bandwidth/4 per axis). The data are
     scanned once into weighted distinct (x, y) pairs; the marginal spreads,
-    the range and the kernel sums all read that table, and the grid is
-    never crossed with raw rows. Columns: ix, iy, x, y, density.
+    the range and the kernel sums all read that table. The axes are summed up
+    one after the other, so a node meets 2 ``n`` grid values at most, those
+    its kernel reaches. Columns: ix, iy, x, y, density.
     """
     spark = df.sparkSession
     keys = weighted_keys(df, [x, y])
@@ -240,19 +248,22 @@ def stat_density_2d(df: DataFrame, x: str, y: str, n: int = 25, method: str = "b
     pts = _reduce_points(keys, [x, y], (), method, bin_count)
     rng = keys.agg(F.min(x).alias("_x0"), F.max(x).alias("_x1"), F.min(y).alias("_y0"), F.max(y).alias("_y1"),
                    F.sum("_w").alias("_n"))
-    gi = spark.range(n).withColumnRenamed("id", "ix")
-    gj = spark.range(n).withColumnRenamed("id", "iy")
-    grid = join_small(join_small(gi, gj, how="cross", on=None, bounded=True), rng.crossJoin(h), how="cross",
-                      on=None, bounded=True)
-    grid = grid.select("ix", "iy", "_n", f"h_{x}", f"h_{y}",
-                       (F.col("_x0") + F.col("ix") * (F.col("_x1") - F.col("_x0")) / (n - 1)).alias("gx"),
-                       (F.col("_y0") + F.col("iy") * (F.col("_y1") - F.col("_y0")) / (n - 1)).alias("gy"))
-    hx, hy = F.col(f"h_{x}") / 4, F.col(f"h_{y}") / 4
-    zx, zy = (F.col("gx") - F.col(x)) / hx, (F.col("gy") - F.col(y)) / hy
-    k = join_small(pts, grid, how="cross", on=None, bounded=True).groupBy("ix", "iy", "gx", "gy").agg(
-        (F.sum(F.col("_w") * F.exp(-0.5 * (zx * zx + zy * zy)))
-         / (F.first("_n") * F.first(hx) * F.first(hy) * 2 * math.pi)).alias("density"))
-    return k.select("ix", "iy", F.col("gx").alias("x"), F.col("gy").alias("y"), "density")
+    scale = rng.crossJoin(h)
+    # the kernel is a product, so one axis is summed up after the other: a node meets n points, not n x n
+    out = pts.withColumnRenamed("_w", "_mass")
+    for axis, i, g, lo, hi, rest in ((x, "ix", "gx", "_x0", "_x1", [y]), (y, "iy", "gy", "_y0", "_y1", ["ix"])):
+        line = join_small(spark.range(n).withColumnRenamed("id", i), scale, how="cross", on=None, bounded=True)
+        line = line.select(i, (F.col(lo) + F.col(i) * (F.col(hi) - F.col(lo)) / (n - 1)).alias(g), (F.col(f"h_{axis}") / 4).alias("_sd"))
+        z = (F.col(g) - F.col(axis)) / F.col("_sd")
+        met = join_small(out, line, how="cross", on=None, bounded=True).filter(F.abs(z) <= REACH)
+        out = met.groupBy(*rest, i).agg(F.sum(F.col("_mass") * F.exp(-0.5 * z * z)).alias("_mass"))
+    grid = join_small(join_small(spark.range(n).withColumnRenamed("id", "ix"), spark.range(n).withColumnRenamed("id", "iy"), how="cross", on=None, bounded=True),
+                      scale, how="cross", on=None, bounded=True)
+    k = grid.join(out, ["ix", "iy"], "left")
+    norm = F.col("_n") * (F.col(f"h_{x}") / 4) * (F.col(f"h_{y}") / 4) * 2 * math.pi
+    return k.select("ix", "iy", (F.col("_x0") + F.col("ix") * (F.col("_x1") - F.col("_x0")) / (n - 1)).alias("x"),
+                    (F.col("_y0") + F.col("iy") * (F.col("_y1") - F.col("_y0")) / (n - 1)).alias("y"),
+                    (F.coalesce("_mass", F.lit(0.0)) / norm).alias("density"))
 
 
 # ------------------------------------------------------------- regression
