@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions.clean import round_r
 from ..operators import charts, reshape, series
+from ..operators import polynomials as poly
 from ..operators.joins import join_null_safe
 from ..operators.sampling import sample_n
 from ..sources.tables import table
@@ -252,6 +253,40 @@ def poly_smooth(spark, sf):
     return p.select("clarity", "i", F.round("x", 8).alias("x"), *[F.round(c, 2).alias(c) for c in ("y", "ymin", "ymax", "se")])
 
 
+def _basis_sql(degree: int) -> str:
+    """Gram-Schmidt on the rows themselves: each power loses its projections on the columns before it."""
+    out = with_(DIAMONDS) + """, x AS (SELECT row_key, clarity, price, carat - avg(carat) OVER (PARTITION BY clarity) AS u FROM diamonds),
+b0 AS (SELECT *, 1 / sqrt(count(*) OVER (PARTITION BY clarity)) AS q0 FROM x)"""
+    for k in range(1, degree + 1):
+        before = [f"q{j}" for j in range(k)]
+        for again, (power, to) in enumerate(((f"q{k - 1} * u", "v"), ("v", "w"))):  # twice, so that rounding does not add up
+            lost = " - ".join(f"{q} * sum(({power}) * {q}) OVER (PARTITION BY clarity)" for q in before)
+            out += f",\ng{k}{again} AS (SELECT *, {power} - {lost} AS {to} FROM {f'b{k - 1}' if not again else f'g{k}0'})"
+        out += f",\nb{k} AS (SELECT * EXCLUDE (v, w), w / sqrt(sum(w * w) OVER (PARTITION BY clarity)) AS q{k} FROM g{k}1)"
+    return out
+
+
+BASIS_DEGREE = 4
+
+
+@query("poly_basis", _basis_sql(BASIS_DEGREE) + "\nSELECT row_key, clarity, " + ", ".join(
+    f"round(q{k}, 9) + 0.0 AS poly{k}" for k in range(1, BASIS_DEGREE + 1)) + f" FROM b{BASIS_DEGREE}")
+def poly_basis(spark, sf):
+    """The orthogonal basis of carat up to degree 4 in each clarity."""
+    d = si.diamonds(spark, sf).select("row_key", "clarity", "carat")
+    out = poly.poly_basis(d, "carat", BASIS_DEGREE, ["clarity"])
+    return out.select("row_key", "clarity", *[(F.round(f"poly{k}", 9) + 0.0).alias(f"poly{k}") for k in range(1, BASIS_DEGREE + 1)])
+
+
+@query("poly_cubic", _basis_sql(3) + """,
+c AS (SELECT clarity, count(*) AS n, avg(price) AS b0, sum(price * q1) AS b1, sum(price * q2) AS b2, sum(price * q3) AS b3 FROM b3 GROUP BY 1)
+SELECT clarity, n, round(b0, 4) AS b0, round(b1, 3) AS b1, round(b2, 3) AS b2, round(b3, 3) AS b3 FROM c""")
+def poly_cubic(spark, sf):
+    """price ~ poly(carat, 3) per clarity, on the orthonormal basis."""
+    c = poly.poly_coefficients(si.diamonds(spark, sf), "carat", 3, ["clarity"], "price")
+    return c.select("clarity", "n", F.round("ybar", 4).alias("b0"), *[F.round(f"beta{k}", 3).alias(f"b{k}") for k in (1, 2, 3)])
+
+
 @query("scatter_points", with_(DIAMONDS) + """
 SELECT carat, price, clarity FROM diamonds
 ORDER BY md5(concat_ws('|', '12345', CAST(row_key AS VARCHAR))), row_key LIMIT 1000""")

@@ -6,6 +6,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from ..operators import classify as cl
+from ..operators import inference as inf
 from ..operators.checkpoint import materialize
 from ..operators.prep import separate
 from ..operators.sampling import hash_part, hash_split, random_split
@@ -16,7 +17,7 @@ from ..sources.tables import table
 from . import flights as fl
 from . import standins as si
 from .registry import query
-from .sqlparts import PREPARED, SCORED, with_
+from .sqlparts import DIAMONDS, PREPARED, SCORED, with_
 
 SPLIT = {"training": 0.7, "test": 0.2, "validation": 0.1}
 SPLIT_SEED, FOREST_SEED, TREES = 101917, 10432, 100
@@ -175,6 +176,63 @@ def coefficients(spark, sf):
     return spark.createDataFrame(cl.coefficients(models["Logistic"], names), "term string, estimate double")
 
 
+_LINE = with_(DIAMONDS) + """, r AS (SELECT count(*) AS n, regr_slope(price, carat) AS b, regr_intercept(price, carat) AS a, regr_r2(price, carat) AS r2,
+  regr_sxx(price, carat) AS sxx, regr_syy(price, carat) AS syy, avg(carat) AS xbar FROM diamonds),
+s AS (SELECT *, syy * (1 - r2) / (n - 2) AS sigma2 FROM r)
+"""
+
+
+def line(spark, sf):
+    return inf.linear_model(si.diamonds(spark, sf), "price", ["carat"])
+
+
+@query("linear_tidy", _LINE + """, t AS (SELECT '(Intercept)' AS term, a AS estimate, sqrt(sigma2 * (1 / n + xbar * xbar / sxx)) AS se FROM s
+UNION ALL SELECT 'carat' AS term, b AS estimate, sqrt(sigma2 / sxx) AS se FROM s)
+SELECT term, round(estimate, 5) AS estimate, round(se, 7) AS std_error, round(estimate / se, 5) AS statistic FROM t""")
+def linear_tidy(spark, sf):
+    """Coefficients of price ~ carat with standard errors and t values."""
+    t = inf.tidy(spark, line(spark, sf))
+    return t.select("term", F.round("estimate", 5).alias("estimate"), F.round("std_error", 7).alias("std_error"), F.round("statistic", 5).alias("statistic"))
+
+
+@query("linear_glance", _LINE + """SELECT n AS n, n - 2 AS df_residual, round(r2, 10) AS r_squared, round(1 - (1 - r2) * (n - 1) / (n - 2), 10) AS adj_r_squared,
+  round(sqrt(sigma2), 5) AS sigma, round(b * b * sxx / sigma2, 3) AS statistic, round(-n / 2 * (ln(2 * pi() * sigma2 * (n - 2) / n) + 1), 3) AS log_lik FROM s""")
+def linear_glance(spark, sf):
+    """One row about price ~ carat."""
+    g = inf.glance(spark, line(spark, sf))
+    return g.select("n", "df_residual", F.round("r_squared", 10).alias("r_squared"), F.round("adj_r_squared", 10).alias("adj_r_squared"),
+                    F.round("sigma", 5).alias("sigma"), F.round("statistic", 3).alias("statistic"), F.round("log_lik", 3).alias("log_lik"))
+
+
+@query("linear_augment", _LINE + """SELECT row_key, round(a + b * carat, 4) AS fitted, round(price - a - b * carat, 4) AS resid,
+  round(1 / n + (carat - xbar) * (carat - xbar) / sxx, 12) AS hat,
+  round((price - a - b * carat) / (sqrt(sigma2) * sqrt(1 - (1 / n + (carat - xbar) * (carat - xbar) / sxx))), 8) AS std_resid FROM diamonds, s""")
+def linear_augment(spark, sf):
+    """Every row with its fitted value, residual, leverage and standardised residual."""
+    out = inf.augment(si.diamonds(spark, sf), "price", line(spark, sf))
+    return out.select("row_key", F.round("fitted", 4).alias("fitted"), F.round("resid", 4).alias("resid"), F.round("hat", 12).alias("hat"),
+                      F.round("std_resid", 8).alias("std_resid"))
+
+
+def logistic(spark, sf):
+    parts, models, names = study(spark, sf, ["Logistic"])
+    m = models["Logistic"]
+    lr = m.stages[-1]
+    return inf.logistic_model(lr.coefficients, lr.intercept, names, inf.training_matrix(m, parts["training"]))
+
+
+@query("logistic_tidy")
+def logistic_tidy(spark, sf):
+    """Coefficients of the delay model with standard errors, z and p values."""
+    return inf.tidy(spark, logistic(spark, sf))
+
+
+@query("logistic_glance")
+def logistic_glance(spark, sf):
+    """One row about the delay model: log-likelihood, AIC, BIC, deviances."""
+    return inf.glance(spark, logistic(spark, sf))
+
+
 @query("model_save_load")
 def model_save_load(spark, sf):
     """Save the forest pipeline, load it, and score the validation part."""

@@ -106,6 +106,45 @@ def topic_distance(spark, sf):
     return tp.topic_distance(phi).select("topic_a", "topic_b", F.round("jsd", 10).alias("jsd"))
 
 
+DISTANCE_SQL = STANDIN_SQL + """,
+t AS (SELECT topic, sum(phi) AS tot FROM phi GROUP BY 1),
+b AS (SELECT x.topic AS topic_a, y.topic AS topic_b,
+             sum(x.phi * ln(x.phi / ((x.phi + y.phi) / 2)) + y.phi * ln(y.phi / ((x.phi + y.phi) / 2))) AS shared,
+             sum(x.phi) AS ma, sum(y.phi) AS mb
+      FROM phi x JOIN phi y ON x.term = y.term AND x.topic < y.topic GROUP BY 1, 2),
+jsd AS (SELECT ta.topic AS a, tb.topic AS b,
+       0.5 * coalesce(shared, 0) + 0.5 * ln(2) * ((ta.tot - coalesce(ma, 0)) + (tb.tot - coalesce(mb, 0))) AS d
+FROM t ta JOIN t tb ON ta.topic < tb.topic LEFT JOIN b ON b.topic_a = ta.topic AND b.topic_b = tb.topic)"""
+
+
+def _axis_sql(name: str, matrix: str, squarings: int = 14) -> str:
+    """CTE text: the leading axis ``<name>(a, x, root)`` of a matrix by repeated squaring alone."""
+    out = f"""{name}_0 AS (SELECT a, b, v + CASE WHEN a = b THEN (SELECT max(s) FROM (SELECT sum(abs(v)) AS s FROM {matrix} GROUP BY a)) ELSE 0 END AS v FROM {matrix})"""
+    for k in range(squarings):
+        out += f""",
+{name}_{k + 1} AS MATERIALIZED (SELECT l.a, r.b, sum(l.v * r.v) / (SELECT max(abs(v)) * max(abs(v)) FROM {name}_{k}) AS v FROM {name}_{k} l JOIN {name}_{k} r ON l.b = r.a GROUP BY l.a, r.b)"""
+    last = f"{name}_{squarings}"
+    return out + f""",
+{name}_u AS (SELECT a, v / sqrt(sum(v * v) OVER ()) AS x FROM {last} WHERE b = (SELECT a FROM {last} WHERE a = b ORDER BY v DESC LIMIT 1)),
+{name} AS (SELECT a, x * (SELECT CASE WHEN x < 0 THEN -1 ELSE 1 END FROM {name}_u ORDER BY round(abs(x), 9) DESC, a LIMIT 1) AS x,
+  (SELECT sum(l.x * m.v * r.x) FROM {matrix} m JOIN {name}_u l ON l.a = m.a JOIN {name}_u r ON r.a = m.b) AS root FROM {name}_u)"""
+
+
+@query("topic_map_fixed", DISTANCE_SQL + f""",
+cells AS (SELECT a, b, d * d AS d FROM jsd UNION ALL SELECT b, a, d * d FROM jsd UNION ALL SELECT topic, topic, 0 FROM t),
+m AS MATERIALIZED (SELECT a, b, -0.5 * (d - avg(d) OVER (PARTITION BY a) - avg(d) OVER (PARTITION BY b) + avg(d) OVER ()) AS v FROM cells),
+{_axis_sql("one", "m")},
+rest AS MATERIALIZED (SELECT m.a, m.b, m.v - l.root * l.x * r.x AS v FROM m JOIN one l ON l.a = m.a JOIN one r ON r.a = m.b),
+{_axis_sql("two", "rest")}
+SELECT one.a AS topic, round(one.x * sqrt(greatest(one.root, 0)), 7) + 0.0 AS x, round(two.x * sqrt(greatest(two.root, 0)), 7) + 0.0 AS y,
+  round(proportion, 12) AS proportion FROM one JOIN two USING (a) JOIN prop ON topic = one.a""")
+def topic_map_fixed(spark, sf):
+    """The topic map of the fixed stand-in."""
+    phi, theta, dl, _ = _standin(spark, sf)
+    m = tp.topic_map(tp.topic_distance(phi), tp.topic_share(theta, dl))
+    return m.select("topic", (F.round("x", 7) + 0.0).alias("x"), (F.round("y", 7) + 0.0).alias("y"), F.round("proportion", 12).alias("proportion"))
+
+
 # ---------------------------------------------------------------- fitted LDA
 def lda_inputs(spark, sf):
     """Stemmed, sparse-cut DTM of the reviews and its bags (both written once)."""
