@@ -11,10 +11,10 @@ from ..operators.joins import left_join
 from ..operators.prep import drop_cols, filter_rows, mutate, select_cols
 from . import standins
 
+# fixed values of the study: the label and its predictors, in their order
 MODEL_COLUMNS = ["IsDepDelayed", "Dest", "Year", "DayOfWeek", "Month", "UniqueCarrier", "Distance",
                  "TmaxF", "TminF", "TmeanF", "PrcpIn", "SnowIn", "CDD", "HDD", "GDD"]
-FEATURES = ["Dest", "Year", "DayOfWeek", "Month", "UniqueCarrier", "Distance",
-            "TmaxF", "TminF", "TmeanF", "PrcpIn", "SnowIn", "CDD", "HDD", "GDD"]
+FEATURES = MODEL_COLUMNS[1:]
 CATEGORICAL = ["Dest", "UniqueCarrier", "DayOfWeek", "Month"]
 ORIGIN = "R"
 FIRST_YEAR = 1996

@@ -1,4 +1,4 @@
-"""DuckDB twins of the stand-in inputs (see ``standins.py``), as CTE text."""
+"""DuckDB twins of the stand-in inputs (see ``standins.py``), as CTE text. Column names are fixed values of the study."""
 
 FLIGHTS = """
 flights AS (

@@ -3,7 +3,7 @@
 The analyses were written for airline CSVs, a weather file, diamonds and
 movie reviews, none of which ship with the data. These functions only shape
 rows of the test tables into the schemas those analyses expect; they do none
-of the analyses' work. Each has a DuckDB twin in ``oracles.py``.
+of the analyses' work. Each has a DuckDB twin in ``sqlparts.py``.
 
 Mapping: a flight is a lineitem of an order (``Origin`` ← return flag,
 ``Dest`` ← order priority, ``UniqueCarrier`` ← market segment, ``Distance``

@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -67,4 +69,24 @@ def scratch_path(spark: SparkSession, name: str) -> str:
         fs.mkdirs(path)
         fs.deleteOnExit(path)
         _SCRATCH[app] = base
-    return f"{_SCRATCH[app]}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{_SCRATCH[app]}/{name}-{uuid.uuid4().hex[:12]}"
+    if _OPEN:
+        _OPEN[-1].append(path)
+    return path
+
+
+#: Folders handed out inside each open ``scratch`` block.
+_OPEN: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Folders that operators take inside the block are deleted at its end, not only when the driver ends. What is to
+    stay must be written inside the block: ``with scratch(spark): deduplicate(docs).write.parquet(out)``."""
+    _OPEN.append([])
+    try:
+        yield
+    finally:
+        for path in _OPEN.pop():
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

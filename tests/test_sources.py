@@ -45,3 +45,22 @@ def test_json_doc_sink(spark):
     doc = spark.createDataFrame([('{"a": 1}',)], "json string")
     path = write_json_doc(doc, scratch_path(spark, "json"))
     assert json.loads(spark.read.text(path).first().value) == {"a": 1}
+
+
+def test_scratch_folders_go_at_the_end_of_their_block(spark):
+    import os
+
+    from emberstat.operators.checkpoint import materialize
+    from emberstat.session import scratch
+
+    def files(df):
+        return [f.removeprefix("file://") for f in df.inputFiles()]
+
+    outside = materialize(spark.range(5))
+    with scratch(spark):
+        inside = materialize(spark.range(7))
+        with scratch(spark):
+            nested = files(materialize(spark.range(3)))
+        assert not any(os.path.exists(f) for f in nested) and inside.count() == 7
+        written = files(inside)
+    assert not any(os.path.exists(f) for f in written) and outside.count() == 5
