@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .checkpoint import is_written, materialize, materialize_measured
+from .checkpoint import is_written, materialize
 
 BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 #: Bytes of a row beside its values.
@@ -54,15 +54,14 @@ def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner", bounded
 
     ``bounded=True``: the caller guarantees the size (parameter-sized table) and it is broadcast. Otherwise the
     small side is written once to the shared checkpoint folder (unless it is only read from files) and its bytes are
-    measured on the way (lengths of texts included); it is broadcast only under ``max_bytes``, above that the join stays a
-    shuffle join (with adaptive skew-partition splitting). This runs a job while the plan is built. ``unique_on`` additionally checks that the
+    measured there (lengths of texts included); it is broadcast only under ``max_bytes``, above that the join stays a
+    shuffle join (with adaptive skew-partition splitting). This runs jobs while the plan is built. ``unique_on`` additionally checks that the
     small side has one row per key. ``null_safe``: a NULL key equals a NULL key (group keys).
     """
     if not bounded:
-        if is_written(small):
-            size = small.agg(measured_bytes(small)).first()[0] or 0
-        else:
-            small, size = materialize_measured(small, measured_bytes(small))
+        if not is_written(small):
+            small = materialize(small)
+        size = small.agg(measured_bytes(small)).first()[0] or 0
         if unique_on:
             most = small.groupBy(*unique_on).count().agg(F.max("count")).first()[0]
             if most is not None and most > 1:
