@@ -13,6 +13,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .checkpoint import materialize
 from .joins import join_null_safe, join_small
 from .ranks import quantile_columns, rank_keys
 
@@ -58,8 +59,6 @@ def stat_bin(df: DataFrame, x: str, bins: int = 30, by: Sequence[str] = ()) -> D
     also give the panel list). Columns: by…, bin, xmin, xmax, x, count,
     density, ncount.
     """
-    from .checkpoint import materialize
-
     by = list(by)
     spark = df.sparkSession
     origin, width = bin_edges(df, x, bins)
@@ -87,8 +86,6 @@ def weighted_keys(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) ->
     """Distinct (group, values) with their row count ``_w``, written once to
     the checkpoint folder: the one scan of the data every later statistic
     (quantiles, spread, range, kernel sums, whiskers) reads from."""
-    from .checkpoint import materialize
-
     data = df.select(*by, *cols).dropna(subset=list(cols))
     return materialize(data.groupBy(*by, *cols).agg(F.count(F.lit(1)).alias("_w")))
 
@@ -199,7 +196,7 @@ def stat_density(df: DataFrame, x: str, by: Sequence[str] = (), n: int = 512, me
     by = list(by)
     spark = df.sparkSession
     keys = weighted_keys(df, [x], by)
-    bw = bandwidth_nrd0(df, x, by, keys=keys)
+    bw = materialize(bandwidth_nrd0(df, x, by, keys=keys))  # a row for each group, read by the points and by the grid
     pts = _reduce_points(keys, [x], by, method, bin_count, common_range)
     p = join_null_safe(pts, bw, by) if by else pts.crossJoin(bw)
     ends = [F.min(x).alias("_lo"), F.max(x).alias("_hi")]
@@ -248,7 +245,7 @@ def stat_density_2d(df: DataFrame, x: str, y: str, n: int = 25, method: str = "b
     pts = _reduce_points(keys, [x, y], (), method, bin_count)
     rng = keys.agg(F.min(x).alias("_x0"), F.max(x).alias("_x1"), F.min(y).alias("_y0"), F.max(y).alias("_y1"),
                    F.sum("_w").alias("_n"))
-    scale = rng.crossJoin(h)
+    scale = materialize(rng.crossJoin(h))  # one row that both axes and the grid read
     # the kernel is a product, so one axis is summed up after the other: a node meets n points, not n x n
     out = pts.withColumnRenamed("_w", "_mass")
     for axis, i, g, lo, hi, rest in ((x, "ix", "gx", "_x0", "_x1", [y]), (y, "iy", "gy", "_y0", "_y1", ["ix"])):
