@@ -13,11 +13,14 @@ leaders: a leader is aligned with the other members, a member that no
 verified link joins to a leader becomes a leader itself, until every member
 is linked to one or has been one. So large groups of copies cost one
 alignment a member. Where many members of a bucket stay apart, they share a
-passage but little else, and only those that also share one of their rarest
-shingles are compared: no bucket is capped or expanded into all pairs. Before texts are fetched, a bitmap of each document's labelled
+passage but little else, and wait for the last round: no bucket is capped or
+expanded into all pairs. Before texts are fetched, a bitmap of each document's labelled
 shingles bounds what two documents can share; a pair below the bound is not
 aligned, and no link is lost by that.
-Links are joined to classes by star contraction.
+Links are joined to classes by star contraction. In the last round all documents
+of different classes that share one of their rarest shingles, which two linked
+ones must, are compared: so the classes are those of all links, whatever the
+sketches and leaders have missed.
 """
 
 from __future__ import annotations
@@ -32,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import checked_broadcast, compact, join_groups, mix64, pieces, shingles, small_batches, stage, words_of
+from .common import checked_broadcast, compact, join_groups, list_array, mix64, pieces, shingles, small_batches, stage, words_of
 
 SHINGLE, SKETCHES, PICKED, SIMILARITY = 5, 16, 4, 0.8
 #: Texts of fewer shingles meet by exact entries.
@@ -253,46 +256,56 @@ def _sampled(share: float):
 
 
 def _prefixes(common):
-    """(node, text, n, comp, waits) to the ``place`` and ``item`` of the text's rarest labelled shingles, by the sample's counts and
-    then by hash: as many as a linked text can't do without. The other columns stand beside them."""
+    """(node, text) to the text's rarest labelled shingles, by the sample's counts and then by hash: as many as a linked text
+    can't do without."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         listed, count = common.value
         for batch in batches:
-            for piece in pieces(batch, 1):
+            for nodes, items in _items(iter([batch])):
                 out = []
-                for _, items in _items(iter([piece])):
-                    for own in items:
-                        at = np.minimum(np.searchsorted(listed, own), max(len(listed) - 1, 0))
-                        seen = np.where(listed[at] == own, count[at], 0) if len(listed) else np.zeros(len(own), np.int64)
-                        order = np.lexsort((own, seen))
-                        out.append(own[order[: len(own) - int(np.ceil(SIMILARITY * len(own) - 1e-9)) + 1]])
-                size = [len(x) for x in out]
-                rows = pa.array(np.repeat(np.arange(len(size)), size))
-                place = np.concatenate([np.arange(n) for n in size]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([*[piece.column(k).take(rows) for k in (0, 2, 3, 4)], pa.array(place), pa.array(np.concatenate(out).view(np.int64))],
-                                                 ["node", "n", "comp", "waits", "place", "item"])
+                for own in items:
+                    at = np.minimum(np.searchsorted(listed, own), max(len(listed) - 1, 0))
+                    seen = np.where(listed[at] == own, count[at], 0) if len(listed) else np.zeros(len(own), np.int64)
+                    order = np.lexsort((own, seen))
+                    out.append(own[order[: len(own) - int(np.ceil(SIMILARITY * len(own) - 1e-9)) + 1]])
+                size = np.array([len(x) for x in out], np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), list_array(size, pa.array(np.concatenate([*out, np.zeros(0, np.uint64)]).view(np.int64)))],
+                                                 ["node", "items"])
 
     return run
 
 
-def prefix_pairs(texts: DataFrame) -> DataFrame:
+def prefix_pairs(texts: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """Pairs (node, leader) of a node that ``waits`` with any node of ``texts`` (node, text, n, comp, waits) of another ``comp`` that
-    can be linked: all of them, and few others.
+    can be linked: all of them, and few others. With ``known`` (node, n, comp; written), ``texts`` is (node, text), only the nodes
+    of ``known`` count, all of them wait, and a pair comes once (node < leader).
 
     Ordered in one way by rarity, two texts that share enough shingles share one early in both. So each shows only its
     rarest shingles, and a passage that many texts share, but none consists of, brings no two together. The order comes
-    from a sample of at most about ``SAMPLE`` shingles; which pairs are found doesn't depend on it."""
-    words = texts.agg(F.sum("n")).first()[0] or 0
-    sample = texts.select("node", "text").mapInArrow(_sampled(min(1.0, SAMPLE / max(words, 1))), "item long").groupBy("item").count().filter("count > 1")
+    from a sample of at most about ``SAMPLE`` shingles; which pairs are found doesn't depend on it. Shingles that only
+    one ``comp`` shows, as those within a group of copies, go before rows meet."""
+    once = known is not None
+    if known is None:
+        known = stage(texts.select("node", "n", "comp", "waits"), "prefix-nodes")
+    else:
+        known = known.withColumn("waits", F.lit(True))
+    words = known.agg(F.sum("n")).first()[0] or 0
+    texts = texts.select("node", "text")
+    sample = texts.mapInArrow(_sampled(min(1.0, SAMPLE / max(words, 1))), "item long").groupBy("item").count().filter("count > 1")
     rows = compact(sample, "common-shingles").toPandas()  # at most half the sample
     listed = rows["item"].to_numpy(np.int64).view(np.uint64)
     by = np.argsort(listed)
     common = texts.sparkSession.sparkContext.broadcast((listed[by], rows["count"].to_numpy(np.int64)[by]))
-    early = compact(texts.mapInArrow(_prefixes(common), "node long, n int, comp long, waits boolean, place int, item long"), "prefixes")
+    early = texts.mapInArrow(_prefixes(common), "node long, items array<long>").join(checked_broadcast(known, 40), "node")
+    early = compact(early.select("node", "n", "comp", "waits", F.posexplode("items").alias("place", "item")), "prefixes")
+    shown = early.groupBy("item").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.max("waits").alias("w"))
+    shown = compact(shown.filter("low < high AND w").select("item"), "shared-items")
+    early = compact(early.join(checked_broadcast(shown, 16), "item", "left_semi"), "shared-prefixes")
     other = early.select(F.col("node").alias("leader"), F.col("place").alias("at"), "item", F.col("n").alias("m"), F.col("comp").alias("leader_comp"))
     need = F.lit(SIMILARITY / (1 + SIMILARITY)) * (F.col("n") + F.col("m")) - 1e-6
     met = early.filter("waits").join(other, "item").filter(
-        (F.col("comp") != F.col("leader_comp")) & (F.col("n") - F.col("place") >= need) & (F.col("m") - F.col("at") >= need)
+        (F.col("node") < F.col("leader") if once else F.lit(True))
+        & (F.col("comp") != F.col("leader_comp")) & (F.col("n") - F.col("place") >= need) & (F.col("m") - F.col("at") >= need)
         & (F.least("n", "m") >= SIMILARITY * F.greatest("n", "m")))
     return met.select("node", "leader").distinct()
 
@@ -340,8 +353,10 @@ def find_links(nodes: DataFrame, texts: DataFrame) -> DataFrame | None:
     In the first round a bucket has one leader: the member that meets most others over all its buckets, which in a
     group of copies is near their origin. Then up to ``LEADERS`` members that no link joins to a leader lead. Then all
     that are left lead in buckets with at most ``SMALL`` of them; those of other buckets, texts that share a passage but
-    little else, meet the buckets' members by their rarest shingles (``prefix_pairs``). So rows grow with the entries.
+    little else, wait. At last all nodes meet those of other classes by their rarest shingles (``prefix_pairs``), which
+    finds every link between classes. So rows grow with the entries and the shingles.
     """
+    whole = texts.select(F.col("rid").alias("node"), "text")
     # exact entries follow the sketches, in no order
     entries = nodes.select("node", "n", F.posexplode("sketch")).select(F.xxhash64(F.least("pos", F.lit(SKETCHES)), "col").alias("bucket"), "node", "n")
     shared = entries.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1")
@@ -363,7 +378,7 @@ def find_links(nodes: DataFrame, texts: DataFrame) -> DataFrame | None:
     def ordered(met: DataFrame) -> DataFrame:
         return met.filter(near).select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
 
-    def verified(pairs: DataFrame) -> DataFrame:
+    def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
         left = texts.select(F.col("node").alias("a"), F.col("text").alias("left_text"))
         right = texts.select(F.col("node").alias("b"), F.col("text").alias("right_text"))
         joined = pairs.join(left, "a").join(right, "b").select("a", "b", "left_text", "right_text")
@@ -371,7 +386,7 @@ def find_links(nodes: DataFrame, texts: DataFrame) -> DataFrame | None:
 
     leaders = _as_leaders(members, [], "met", [])
     tested = compact(ordered(members.join(leaders, "bucket").filter(F.col("node") != F.col("leader"))), "pairs")
-    edges = settled(verified(tested))
+    edges = settled(verified(tested, texts))
     open_ = members.filter("size > 2")  # two members have met
     led = leaders.select("bucket", "leader")
     for last in (False, True):
@@ -381,28 +396,30 @@ def find_links(nodes: DataFrame, texts: DataFrame) -> DataFrame | None:
         done = compact(done.select("bucket", "comp").distinct(), "led")
         now = open_.join(checked_broadcast(named, 32), ["bucket", "node"])
         left = now.join(checked_broadcast(done, 24), ["bucket", "comp"], "left_anti")
-        found = []
         if last:
-            waiting = compact(named.join(checked_broadcast(done, 24), ["bucket", "comp"], "left_anti"), "waiting")
-            crowds = compact(waiting.groupBy("bucket").agg(F.count("*").alias("waiting")).filter(F.col("waiting") > SMALL).select("bucket"), "crowds")
-            if not crowds.isEmpty():
-                crowds = checked_broadcast(crowds, 16)
-                left = left.join(crowds, "bucket", "left_anti")
-                known = named.join(crowds, "bucket", "left_semi").select("node", "comp").distinct().join(prints.select("node", "n"), "node")
-                waits = waiting.join(crowds, "bucket", "left_semi").select("node", F.lit(True).alias("w")).distinct()
-                known = compact(known.join(waits, "node", "left").select("node", "n", "comp", F.coalesce("w", F.lit(False)).alias("waits")), "crowded")
-                own = texts.join(checked_broadcast(known, 32), "node").select("node", "text", "n", "comp", "waits")
-                near_ones = compact(prefix_pairs(stage(own, "crowd-texts")), "prefix-pairs")
-                sides = prints.select("node", "n", "bits", "fine")
-                other = sides.select(F.col("node").alias("leader"), F.col("n").alias("m"), F.col("bits").alias("other_bits"), F.col("fine").alias("other_fine"))
-                found.append(ordered(near_ones.join(sides, "node").join(other, "leader")))
+            waiting = left.groupBy("bucket").agg(F.count("*").alias("waiting"))
+            crowds = compact(waiting.filter(F.col("waiting") > SMALL).select("bucket"), "crowds")
+            left = left.join(checked_broadcast(crowds, 16), "bucket", "left_anti")
         new = _as_leaders(left, [(F.col("node") if last else F.pmod(F.xxhash64("node"), F.lit(LEADERS))).alias("salt")], "node", ["comp"])
         led = led.unionByName(new.select("bucket", "leader"))
-        found.append(ordered(now.join(new, "bucket").filter(F.col("comp") != F.col("leader_comp"))))
-        pairs = compact(reduce(DataFrame.unionByName, found).distinct().join(checked_broadcast(tested, 24), ["a", "b"], "left_anti"), "pairs")
+        met = ordered(now.join(new, "bucket").filter(F.col("comp") != F.col("leader_comp")))
+        pairs = compact(met.join(checked_broadcast(tested, 24), ["a", "b"], "left_anti"), "pairs")
         if not pairs.isEmpty():
             tested = tested.unionByName(pairs)
-            edges = settled(edges.unionByName(verified(pairs)))
+            edges = settled(edges.unionByName(verified(pairs, texts)))
+    labels = checked_broadcast(edges.select(F.col("b").alias("node"), F.col("a").alias("comp")), 24)
+    known = compact(nodes.filter("n > 0").select("node", "n").join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node")), "known")
+    pairs = prefix_pairs(whole, known).select(F.col("node").alias("a"), F.col("leader").alias("b"))
+    pairs = compact(pairs.join(checked_broadcast(tested, 24), ["a", "b"], "left_anti"), "prefix-pairs")
+    if not pairs.isEmpty():
+        own = compact(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "prefix-pair-nodes")
+        own = stage(whole.join(checked_broadcast(own, 16), "node", "left_semi"), "prefix-pair-texts")
+        sides = compact(own.mapInArrow(_bitmaps, "node long, bits array<long>, fine array<long>").join(known.select("node", "n"), "node"), "prefix-bitmaps")
+        sides = checked_broadcast(sides, 8 * (F.size("bits") + F.size("fine")) + 48)
+        other = sides.select(F.col("node").alias("leader"), F.col("n").alias("m"), F.col("bits").alias("other_bits"), F.col("fine").alias("other_fine"))
+        met = pairs.select(F.col("a").alias("node"), F.col("b").alias("leader")).join(sides, "node").join(other, "leader")
+        found = verified(compact(ordered(met), "pairs"), checked_broadcast(own, F.octet_length("text") + 32, 16 << 20))
+        edges = settled(edges.unionByName(found))
     if edges.isEmpty():
         return None
     stars = edges.select(F.col("b").alias("node"), F.col("a").alias("comp"))

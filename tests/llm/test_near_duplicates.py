@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 
@@ -169,6 +170,19 @@ def test_prefix_pairs_hold_every_link(spark):
     assert len(links) >= 40 and links <= found
 
 
+def test_links_without_a_common_entry_are_found(spark):
+    """29 of 36 shingles, and no sketch entry in common: only the last round compares them."""
+    rows = []
+    for k, seed in enumerate((225, 584)):
+        words = [f"s{seed}w{i}" for i in range(40)]
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(words[:33]))]
+    own = [nd.labelled(nd.shingles(nd.words_of(pa.array([t])).hash, nd.SHINGLE)) for _, t in rows]
+    assert all(not len(np.intersect1d(nd.order_minhash(own[k]), nd.order_minhash(own[k + 1]))) for k in (0, 2))
+    rows.append((9, "some other text of a few words that nobody copied"))
+    got = {r["id"]: r["class_id"] for r in nd.classes(spark.createDataFrame(rows, "doc_id long, text string"))[1].collect()}
+    assert got == {0: 0, 1: 0, 2: 2, 3: 2, 9: 9}
+
+
 def test_long_texts_are_aligned_within_their_band():
     import time
 
