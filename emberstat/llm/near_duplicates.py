@@ -35,6 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import scratch, scratch_path
 from .common import checked_broadcast, compact, join_groups, list_array, mix64, pieces, shingles, small_batches, stage, words_of
 
 SHINGLE, SKETCHES, PICKED, SIMILARITY = 5, 16, 4, 0.8
@@ -296,11 +297,14 @@ def prefix_pairs(texts: DataFrame, known: DataFrame | None = None) -> DataFrame:
     listed = rows["item"].to_numpy(np.int64).view(np.uint64)
     by = np.argsort(listed)
     common = texts.sparkSession.sparkContext.broadcast((listed[by], rows["count"].to_numpy(np.int64)[by]))
-    early = texts.mapInArrow(_prefixes(common), "node long, items array<long>").join(checked_broadcast(known, 40), "node")
-    early = compact(early.select("node", "n", "comp", "waits", F.posexplode("items").alias("place", "item")), "prefixes")
-    shown = early.groupBy("item").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.max("waits").alias("w"))
-    shown = compact(shown.filter("low < high AND w").select("item"), "shared-items")
-    early = compact(early.join(checked_broadcast(shown, 16), "item", "left_semi"), "shared-prefixes")
+    lists = texts.mapInArrow(_prefixes(common), "node long, items array<long>").join(checked_broadcast(known, 40), "node")
+    lists = compact(lists.select("node", "n", "comp", "waits", "items"), "prefixes")
+    early = lists.select("node", "n", "comp", "waits", F.posexplode("items").alias("place", "item"))
+    # by half of the hash, rows are small; of two that can be linked one shows the item within its first ninth
+    first = 2 * SIMILARITY / (1 + SIMILARITY) * F.col("n") <= F.col("n") - F.col("place") + 1e-6
+    shown = early.groupBy(F.hash("item").alias("half")).agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.max(first).alias("first"))
+    shown = compact(shown.filter("low < high AND first").select("half"), "shared-items")
+    early = compact(early.join(checked_broadcast(shown, 16), F.hash("item") == F.col("half"), "left_semi"), "shared-prefixes")
     other = early.select(F.col("node").alias("leader"), F.col("place").alias("at"), "item", F.col("n").alias("m"), F.col("comp").alias("leader_comp"))
     need = F.lit(SIMILARITY / (1 + SIMILARITY)) * (F.col("n") + F.col("m")) - 1e-6
     met = early.filter("waits").join(other, "item").filter(
@@ -347,16 +351,28 @@ def _only(a: str, b: str) -> Column:
     return reduce(lambda s, x: s + x, [F.bit_count(F.col(a)[k].bitwiseAND(F.bitwise_not(F.col(b)[k]))) for k in range(BITMAP)])
 
 
-def find_links(nodes: DataFrame, texts: DataFrame) -> DataFrame | None:
-    """Classes of linked nodes (node, comp), or None without links. ``nodes``: node, n, sketch; ``texts``: rid, text.
+def _within(kind: str) -> Column:
+    """What the two can share at most, all but the shingles that only one of them has, may do."""
+    most = F.least(F.col("n") - _only(kind, f"other_{kind}"), F.col("m") - _only(f"other_{kind}", kind))
+    return most + 1e-6 >= SIMILARITY / (1 + SIMILARITY) * (F.col("n") + F.col("m"))
 
-    In the first round a bucket has one leader: the member that meets most others over all its buckets, which in a
-    group of copies is near their origin. Then up to ``LEADERS`` members that no link joins to a leader lead. Then all
-    that are left lead in buckets with at most ``SMALL`` of them; those of other buckets, texts that share a passage but
-    little else, wait. At last all nodes meet those of other classes by their rarest shingles (``prefix_pairs``), which
-    finds every link between classes. So rows grow with the entries and the shingles.
-    """
-    whole = texts.select(F.col("rid").alias("node"), "text")
+
+def _ordered(met: DataFrame) -> DataFrame:
+    """Pairs (a, b), a < b, of nodes and leaders whose lengths and bitmaps allow a link."""
+    near = (F.least("n", "m") >= SIMILARITY * F.greatest("n", "m")) & _within("bits") & ((F.size("fine") != F.size("other_fine")) | _within("fine"))
+    return met.filter(near).select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
+
+
+def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs that are linked."""
+    left = texts.select(F.col("node").alias("a"), F.col("text").alias("left_text"))
+    right = texts.select(F.col("node").alias("b"), F.col("text").alias("right_text"))
+    joined = pairs.join(left, "a").join(right, "b").select("a", "b", "left_text", "right_text")
+    return compact(joined.mapInArrow(_align, "a long, b long"), "links")
+
+
+def _leader_rounds(nodes: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Stars (a, b) of the links that leaders find, and the pairs (a, b) tested for it (see ``find_links``)."""
     # exact entries follow the sketches, in no order
     entries = nodes.select("node", "n", F.posexplode("sketch")).select(F.xxhash64(F.least("pos", F.lit(SKETCHES)), "col").alias("bucket"), "node", "n")
     shared = entries.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1")
@@ -368,25 +384,9 @@ def find_links(nodes: DataFrame, texts: DataFrame) -> DataFrame | None:
     members = compact(members.join(checked_broadcast(prints.drop("n"), 8 * (F.size("bits") + F.size("fine")) + 48), "node"), "members")
     texts = checked_broadcast(texts, F.octet_length("text") + 32, 16 << 20)
 
-    def within(kind: str) -> Column:
-        """What the two can share at most, all but the shingles that only one of them has, may do."""
-        most = F.least(F.col("n") - _only(kind, f"other_{kind}"), F.col("m") - _only(f"other_{kind}", kind))
-        return most + 1e-6 >= SIMILARITY / (1 + SIMILARITY) * (F.col("n") + F.col("m"))
-
-    near = (F.least("n", "m") >= SIMILARITY * F.greatest("n", "m")) & within("bits") & ((F.size("fine") != F.size("other_fine")) | within("fine"))
-
-    def ordered(met: DataFrame) -> DataFrame:
-        return met.filter(near).select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
-
-    def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-        left = texts.select(F.col("node").alias("a"), F.col("text").alias("left_text"))
-        right = texts.select(F.col("node").alias("b"), F.col("text").alias("right_text"))
-        joined = pairs.join(left, "a").join(right, "b").select("a", "b", "left_text", "right_text")
-        return compact(joined.mapInArrow(_align, "a long, b long"), "links")
-
     leaders = _as_leaders(members, [], "met", [])
-    tested = compact(ordered(members.join(leaders, "bucket").filter(F.col("node") != F.col("leader"))), "pairs")
-    edges = settled(verified(tested, texts))
+    tested = compact(_ordered(members.join(leaders, "bucket").filter(F.col("node") != F.col("leader"))), "pairs")
+    edges = settled(_verified(tested, texts))
     open_ = members.filter("size > 2")  # two members have met
     led = leaders.select("bucket", "leader")
     for last in (False, True):
@@ -402,11 +402,30 @@ def find_links(nodes: DataFrame, texts: DataFrame) -> DataFrame | None:
             left = left.join(checked_broadcast(crowds, 16), "bucket", "left_anti")
         new = _as_leaders(left, [(F.col("node") if last else F.pmod(F.xxhash64("node"), F.lit(LEADERS))).alias("salt")], "node", ["comp"])
         led = led.unionByName(new.select("bucket", "leader"))
-        met = ordered(now.join(new, "bucket").filter(F.col("comp") != F.col("leader_comp")))
+        met = _ordered(now.join(new, "bucket").filter(F.col("comp") != F.col("leader_comp")))
         pairs = compact(met.join(checked_broadcast(tested, 24), ["a", "b"], "left_anti"), "pairs")
         if not pairs.isEmpty():
             tested = tested.unionByName(pairs)
-            edges = settled(edges.unionByName(verified(pairs, texts)))
+            edges = settled(edges.unionByName(_verified(pairs, texts)))
+    return edges, tested
+
+
+def find_links(nodes: DataFrame, texts: DataFrame) -> DataFrame | None:
+    """Classes of linked nodes (node, comp), or None without links. ``nodes``: node, n, sketch; ``texts``: rid, text.
+
+    In the first round a bucket has one leader: the member that meets most others over all its buckets, which in a
+    group of copies is near their origin. Then up to ``LEADERS`` members that no link joins to a leader lead. Then all
+    that are left lead in buckets with at most ``SMALL`` of them; those of other buckets, texts that share a passage but
+    little else, wait. At last all nodes meet those of other classes by their rarest shingles (``prefix_pairs``), which
+    finds every link between classes. So rows grow with the entries and the shingles.
+    """
+    spark = nodes.sparkSession
+    paths = scratch_path(spark, "leader-stars"), scratch_path(spark, "leader-pairs")
+    with scratch(spark):  # what the rounds have written goes
+        for frame, path in zip(_leader_rounds(nodes, texts), paths):
+            frame.coalesce(spark.sparkContext.defaultParallelism).write.parquet(path)
+    edges, tested = (spark.read.schema("a long, b long").parquet(path) for path in paths)
+    whole = texts.select(F.col("rid").alias("node"), "text")
     labels = checked_broadcast(edges.select(F.col("b").alias("node"), F.col("a").alias("comp")), 24)
     known = compact(nodes.filter("n > 0").select("node", "n").join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node")), "known")
     pairs = prefix_pairs(whole, known).select(F.col("node").alias("a"), F.col("leader").alias("b"))
@@ -418,7 +437,7 @@ def find_links(nodes: DataFrame, texts: DataFrame) -> DataFrame | None:
         sides = checked_broadcast(sides, 8 * (F.size("bits") + F.size("fine")) + 48)
         other = sides.select(F.col("node").alias("leader"), F.col("n").alias("m"), F.col("bits").alias("other_bits"), F.col("fine").alias("other_fine"))
         met = pairs.select(F.col("a").alias("node"), F.col("b").alias("leader")).join(sides, "node").join(other, "leader")
-        found = verified(compact(ordered(met), "pairs"), checked_broadcast(own, F.octet_length("text") + 32, 16 << 20))
+        found = _verified(compact(_ordered(met), "pairs"), checked_broadcast(own, F.octet_length("text") + 32, 16 << 20))
         edges = settled(edges.unionByName(found))
     if edges.isEmpty():
         return None
