@@ -8,13 +8,16 @@ element (or else a main element) is the article. A name alone doesn't remove
 most of an article's words, unless it is that of reader comments or a menu or
 most of it is links.
 
-Pages that mark neither are compared within their whole host: in shards of
-bounded size the token streams of the pages are put one behind the other and a
-suffix array finds the runs of ``LEAST_RUN`` tokens and on how many distinct
-pages they stand; these counts are summed up over the host. Tokens covered by
-runs of enough of the host's pages are boilerplate and the other runs are kept.
-Inside marked articles repeats stay: articles share passages, and a page may be
-a copy.
+All pages are compared within their whole host: in shards of bounded size the
+token streams of the pages are put one behind the other and a suffix array
+finds the runs of ``LEAST_RUN`` tokens and on how many distinct pages they
+stand; these counts are summed up over the host. Tokens covered by runs of
+enough of the host's pages are boilerplate and the other runs are kept. Of a
+page that marks its article the stream is what stands around the article, and a
+run of such boilerplate also goes from the article if ``LEAST_PAGES`` different
+articles of the host hold it, and no more than hold it outside. Other repeats
+in articles stay: articles share passages, a page may be a copy, and a sidebar
+may show how another article begins.
 """
 
 from __future__ import annotations
@@ -38,6 +41,7 @@ from .url_rules import host_of
 LEAST_RUN, LEAST_PAGES, LEAST_SHARE = 8, 3, 0.01
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+_UNSEEN = frozenset("script style noscript template iframe object svg canvas annotation annotation-xml head title datalist audio video".split())
 _SKIP = frozenset("nav footer aside form script style noscript template button select option textarea label fieldset iframe object svg canvas annotation annotation-xml menu dialog head title datalist audio video".split())
 _INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr math mi mn mo ms mtext mrow msub msup msubsup mfrac msqrt mroot munder mover munderover mfenced mtable mtr mtd mspace mstyle semantics".split())
 _HEADINGS = frozenset(f"h{k}" for k in range(1, 7))
@@ -70,12 +74,13 @@ def named(names: str, words: frozenset) -> set[str]:
 class _Blocks(HTMLParser):
     """Blocks of one page as (zone, text, doubt): zone 2 in an article, 1 in main, 0 elsewhere; what structure shows to be noise
     is left out. ``doubt`` is the number of the outermost element around that only its name calls noise (0: none); ``sure``
-    holds those whose name is enough, ``links`` the characters of each that are links."""
+    holds those whose name is enough, ``links`` the characters of each that are links. ``around`` is the text of the noise."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.blocks: list[tuple[int, str, int]] = []
         self.now: list[str] = []
+        self.around: list[str] = []
         self.open: list[tuple[str, str]] = []  # open elements that matter: (tag, kind)
         self.doubts = 0
         self.sure: set[int] = set()
@@ -158,14 +163,17 @@ class _Blocks(HTMLParser):
             self.now = []
 
     def handle_data(self, data) -> None:
-        if not self.muted():
+        if self.muted():
+            if not any(t in _UNSEEN for t, _ in self.open):
+                self.around.append(data)
+        else:
             self.now.append(data)
             if self.in_link and (doubt := self.doubt()):
                 self.links[doubt] += len(data.strip())
 
 
-def article_of(html: str | None) -> tuple[bool, str]:
-    """Whether the page marks its article, and its text."""
+def read_page(html: str | None) -> tuple[bool, str, str]:
+    """Whether the page marks its article, its text, and what stands around that."""
     parser = _Blocks()
     parser.feed(html or "")
     parser.close()
@@ -178,7 +186,14 @@ def article_of(html: str | None) -> tuple[bool, str]:
             chars[doubt] += len(text)
     total = sum(n for d, n in words.items() if d not in parser.sure)
     stays = {0} | {d for d, n in words.items() if d not in parser.sure and best > 0 and 2 * n > total and 2 * parser.links[d] < chars[d]}
-    return best > 0, " ".join(t for z, t, d in parser.blocks if z == best and d in stays)
+    is_text = [z == best and d in stays for z, _, d in parser.blocks]
+    around = [t for (_, t, _), own in zip(parser.blocks, is_text) if not own] + " ".join(parser.around).split()
+    return best > 0, " ".join(t for (_, t, _), own in zip(parser.blocks, is_text) if own), " ".join(around)
+
+
+def article_of(html: str | None) -> tuple[bool, str]:
+    """Whether the page marks its article, and its text."""
+    return read_page(html)[:2]
 
 
 class Runs(NamedTuple):
@@ -273,7 +288,7 @@ def _page_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             known: dict[str, int] = {}
             found = [np.unique(_windows(t.split(), h, known)) for h, t in zip(piece.column(1).to_pylist(), piece.column(2).to_pylist())]
             yield pa.RecordBatch.from_arrays([piece.column(0).take(pa.array(np.repeat(np.arange(len(found)), [len(f) for f in found]))),
-                                              pa.array(np.concatenate(found))], ["rid", "run"])
+                                              pa.array(np.concatenate(found))], ["at", "run"])
 
 
 def _drop_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -290,23 +305,36 @@ def _drop_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for piece in pieces(batch, 1):
-            found = [article_of(h) for h in piece.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([piece.column(0), pa.array([m for m, _ in found], pa.bool_()), pa.array([t for _, t in found], pa.string())], ["row", "marked", "text"])
-
-
-def without_boilerplate(plain: DataFrame) -> DataFrame:
-    """Unmarked pages (rid, row, host, text) as (row, text), without the runs that stand on ``LEAST_PAGES`` distinct texts of
-    their host or more and on ``LEAST_SHARE`` of them or more."""
-    plain = plain.withColumn("host", F.xxhash64("host"))
-    distinct = plain.groupBy("host", F.md5("text")).agg(F.first("text").alias("text")).select("host", "text")
+            marked, text, around = zip(*[read_page(h) for h in piece.column(1).to_pylist()])
+            yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(marked, pa.bool_()), pa.array(text, pa.string()), pa.array(around, pa.string())],
+                                             ["row", "marked", "text", "around"])
+
+
+def without_boilerplate(pages: DataFrame) -> DataFrame:
+    """Pages (rid, row, host, marked, text, around; written) as (row, text), without the runs that stand on ``LEAST_PAGES``
+    distinct texts of their host or more and on ``LEAST_SHARE`` of them or more: of unmarked pages in ``text``, of marked ones in
+    ``around``. From the text of marked pages they go if they stand in ``LEAST_PAGES`` distinct texts too, and in no more
+    than in ``around``."""
+    pages = pages.withColumn("host", F.xxhash64("host", "marked"))
+    streams = pages.select("host", F.when(F.col("marked"), F.col("around")).otherwise(F.col("text")).alias("text"))
+    distinct = streams.groupBy("host", F.md5("text")).agg(F.first("text").alias("text")).select("host", "text")
     runs = distinct.mapInArrow(_count_runs, "host long, run long, n long").groupBy("host", "run").agg(F.sum("n").alias("n"))
     runs = stage(runs.filter(F.col("run").isNull() | (F.col("n") >= LEAST_PAGES)), "runs")
     sizes = runs.filter("run IS NULL").select("host", F.col("n").alias("pages"))
-    common = runs.filter("run IS NOT NULL").join(sizes, "host").filter(F.col("n") >= LEAST_SHARE * F.col("pages")).select("run").distinct()
-    common = checked_broadcast(stage(common, "boilerplate"), 16)
-    found = plain.select("rid", "host", "text").mapInArrow(_page_runs, "rid long, run long").join(common, "run", "left_semi")
-    marked = plain.join(found.groupBy("rid").agg(F.collect_list("run").alias("runs")), "rid", "left").select("row", "host", "text", "runs")
-    return marked.mapInArrow(_drop_runs, f"row {plain.schema['row'].dataType.simpleString()}, text string")
+    common = runs.filter("run IS NOT NULL").join(sizes, "host").filter(F.col("n") >= LEAST_SHARE * F.col("pages"))
+    common = checked_broadcast(stage(common.groupBy("run").agg(F.max("n").alias("n")), "boilerplate"), 24)
+
+    def found(of: DataFrame) -> DataFrame:
+        texts = of.select(F.struct("rid", F.xxhash64("text").alias("print")).alias("at"), "host", "text")
+        return texts.mapInArrow(_page_runs, "at struct<rid: long, print: long>, run long").join(common, "run").select("at.*", "run", "n")
+
+    inside = stage(found(pages.filter("marked")), "article-runs")
+    repeated = inside.groupBy("run", "n").agg(F.count_distinct("print").alias("texts")).filter((F.col("texts") >= LEAST_PAGES) & (F.col("texts") <= F.col("n")))
+    inside = inside.join(checked_broadcast(stage(repeated.select("run"), "article-boilerplate"), 16), "run", "left_semi")
+    gone = found(pages.filter("NOT marked")).select("rid", "run").unionByName(inside.select("rid", "run"))
+    gone = stage(gone.groupBy("rid").agg(F.collect_list("run").alias("runs")), "page-runs")
+    named = pages.join(checked_broadcast(gone, 8 * F.size("runs") + 32), "rid", "left").select("row", "host", "text", "runs")
+    return named.mapInArrow(_drop_runs, f"row {pages.schema['row'].dataType.simpleString()}, text string")
 
 
 def extract_text(pages: DataFrame, keep: list[str] | None = None, html_col: str = "html", url_col: str = "url") -> DataFrame:
@@ -314,17 +342,16 @@ def extract_text(pages: DataFrame, keep: list[str] | None = None, html_col: str
     column of such a name is replaced.
 
     Character references are decoded, white space inside a block is one space, blocks are joined by one space in page
-    order. A null, empty or text-free page gives an empty text. Unmarked pages are compared with all others of their
-    host (those with a null URL or one without a host with each other; equal texts count once): a run goes if it stands
-    on ``LEAST_PAGES`` texts and on ``LEAST_SHARE`` of the host's texts or more. Repeated rows each give a row; an empty
-    table stays empty.
+    order. A null, empty or text-free page gives an empty text. Pages are compared with all others of their host (those
+    with a null URL or one without a host with each other; equal texts count once), the unmarked and the marked ones by
+    themselves: a run goes if it stands on ``LEAST_PAGES`` texts and on ``LEAST_SHARE`` of the host's texts or more, from a marked
+    article only if both the articles and what is around them repeat it. Repeated rows each give a row; an empty table
+    stays empty.
     """
     small_batches(pages.sparkSession)
     row = F.struct(*[F.col(f"`{c}`") for c in (keep or pages.columns)]).alias("row")
     df = pages.select(F.struct(row, host_of(F.col(f"`{url_col}`")).alias("host")).alias("row"), F.col(f"`{html_col}`").alias("html"))
-    schema = f"row {df.schema['row'].dataType.simpleString()}, marked boolean, text string"
-    parsed = df.mapInArrow(_parse, schema).select(F.monotonically_increasing_id().alias("rid"), "row.row", "row.host", "marked", "text")
-    parsed = stage(parsed, "articles")
-    compared = without_boilerplate(parsed.filter("NOT marked").select("rid", "row", "host", "text"))
-    out = parsed.filter("marked").select("row", "text").unionByName(compared)
+    schema = f"row {df.schema['row'].dataType.simpleString()}, marked boolean, text string, around string"
+    parsed = df.mapInArrow(_parse, schema).select(F.monotonically_increasing_id().alias("rid"), "row.row", "row.host", "marked", "text", "around")
+    out = without_boilerplate(stage(parsed, "articles"))
     return with_results(out.withColumn("n_chars", F.length("text").cast("long")), "row", ["text", "n_chars"])

@@ -334,6 +334,19 @@ def test_boilerplate_of_unmarked_pages(spark):
     assert unique_runs(["same text that is on every page of it"] * 4) == ["same text that is on every page of it"] * 4
 
 
+def test_boilerplate_inside_marked_articles(spark):
+    """A passage that a host's pages say outside their articles goes from the articles that repeat it too; passages that only
+    articles share and teasers of one article stay."""
+    letter, quote = " ".join(f"letter{i}" for i in range(10)), " ".join(f"quote{i}" for i in range(10))
+    own = [" ".join(f"own{p}x{i}" for i in range(20 + p)) for p in range(6)]
+    page = "<body><aside>{} {}</aside><article><p>{}</p><p>{}</p><p>{}</p></article><footer>f{}</footer></body>"
+    pages = [(p, f"http://m.com/{p}", page.format(letter, own[0] if p else "", own[p], quote, letter if p < 4 else "end", p)) for p in range(6)]
+    pages += [(10 + p, f"http://n.com/{p}", f"<article><p>{own[p]} {letter}</p></article>") for p in range(4)]
+    got = {r["page_id"]: r["text"] for r in extract_text(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert [got[p] for p in range(6)] == [f"{own[p]} {quote}" + " end" * (p > 3) for p in range(6)]
+    assert [got[10 + p] for p in range(4)] == [f"{own[p]} {letter}" for p in range(4)]
+
+
 def test_runs_are_counted_over_the_whole_host(spark):
     r = random.Random(8)
     prose = lambda: " ".join(f"w{r.randrange(10**6)}" for _ in range(12))
