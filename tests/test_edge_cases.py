@@ -240,6 +240,11 @@ def test_topic_keys_run_and_the_bound_rises(spark):
     assert Q["model_round_trip"](spark, SMALL).count() == 100
 
 
+@pytest.mark.parametrize("key", ["lda_theta", "docs_for_topic", "topic_map"])
+def test_reading_a_topic_table_again_infers_nothing_again(spark, key):
+    assert "UDF" not in Q[key](spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_explorer_document_is_whole(spark):
     import json
 
