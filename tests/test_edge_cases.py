@@ -240,6 +240,25 @@ def test_topic_keys_run_and_the_bound_rises(spark):
     assert Q["model_round_trip"](spark, SMALL).count() == 100
 
 
+def test_one_large_row_group_is_tokenised_by_all_tasks(spark, tmp_path, monkeypatch):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    monkeypatch.setattr(tx, "TASK_DOCS", 500)
+    ids = [None, None, 7, 7, *range(10, 2006)]
+    pq.write_table(pa.table({"doc_id": pa.array(ids, pa.int64()), "text": [f"apple pear{i % 3} plum" for i in range(2000)]}), str(tmp_path / "one.parquet"))
+    corpus = spark.read.parquet(str(tmp_path / "one.parquet"))
+    spread, n = tx.dealt(corpus)
+    held = [r["count"] for r in spread.groupBy(F.spark_partition_id()).count().collect()]
+    assert n == 2000 == sum(held) and len(held) == 4 and max(held) <= 600
+    assert sorted(map(str, spread.collect())) == sorted(map(str, corpus.collect()))
+    got = tx.sparse_document_term_matrix(corpus, 0.97, stemming=False)
+    want = tx.document_term_matrix(corpus, stemming=False)
+    assert sorted(map(str, got.select(want.columns).collect())) == sorted(map(str, want.collect()))
+    few = corpus.limit(300)
+    assert tx.dealt(few) == (few, 300) and tx.dealt(corpus.filter("doc_id < 0"))[1] == 0
+
+
 @pytest.mark.parametrize("key", ["lda_theta", "docs_for_topic", "topic_map"])
 def test_reading_a_topic_table_again_infers_nothing_again(spark, key):
     assert "UDF" not in Q[key](spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
