@@ -26,6 +26,7 @@ sketches and leaders have missed.
 from __future__ import annotations
 
 import hashlib
+import zlib
 from functools import lru_cache, reduce
 from itertools import combinations
 from typing import Iterator
@@ -41,9 +42,10 @@ from .common import checked_broadcast, compact, join_groups, list_array, mix64,
 SHINGLE, SKETCHES, PICKED, SIMILARITY = 5, 16, 4, 0.8
 #: Texts of fewer shingles meet by exact entries.
 FEW = 20
-#: Leaders of a bucket in the second round; members that may all lead in the third; shingles of the sample that orders the
-#: prefixes of what is left.
-LEADERS, SMALL, SAMPLE = 16, 32, 2_000_000
+#: Leaders of a bucket in the second round; members that may all lead in the third.
+LEADERS, SMALL = 16, 32
+#: Slots of the table that counts shingles, as powers of two: at least, at most (a byte each), and in a part that is summed at a time.
+SLOTS, PART = (16, 25), 16
 #: 64-bit words of the bitmap, and of the finer one by the number of shingles (none for few, which the first tells apart).
 BITMAP = 16
 FINE = ((192, 0), (768, 64), (3072, 256), (1 << 62, 1024))
@@ -245,33 +247,50 @@ def _items(batches: Iterator[pa.RecordBatch]):
             yield piece.column(0).to_pylist(), [labelled(shingles(words.hash[a:b], SHINGLE)) for a, b in zip(cuts, cuts[1:])]
 
 
-def _sampled(share: float):
-    """(node, text) to the labelled shingles of a sample of the texts."""
+def _counted(bits: int):
+    """(node, text) to the parts of one table for the task: of the labelled shingles of all its texts, how many fall in each
+    of 2^``bits`` slots, up to 255."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for nodes, items in _items(batches):
-            draw = mix64(np.array(nodes, np.int64).view(np.uint64) * _ONE) >> np.uint64(11)
-            own = [x for x, d in zip(items, draw) if d < share * (1 << 53)]
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([*own, np.zeros(0, np.uint64)]).view(np.int64))], ["item"])
+        table = np.zeros(1 << bits, np.uint8)
+        for _, items in _items(batches):
+            slots, count = np.unique(np.concatenate([*items, np.zeros(0, np.uint64)]) >> np.uint64(64 - bits), return_counts=True)
+            table[slots] = np.minimum(table[slots] + count, 255)
+        for k, part in enumerate(table.reshape(-1, 1 << PART)):
+            if part.any():  # few bits a slot
+                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([zlib.compress(part, 1)], pa.binary())], ["part", "counts"])
 
     return run
 
 
+def _summed(part: pa.Table) -> pa.Table:
+    """One part of all tasks' tables as one: counts of 128 and more in eighths of a doubling, so that a byte holds them."""
+    total = sum(np.frombuffer(zlib.decompress(x), np.uint8).astype(np.float64) for x in part["counts"].to_pylist())
+    code = np.where(total < 128, total, 128 + 8 * np.log2(np.maximum(total, 128) / 128)).clip(0, 255).astype(np.uint8)
+    return pa.table([part["part"][:1].cast(pa.int32()), pa.array([zlib.compress(code, 1)], pa.binary())], names=["part", "counts"])
+
+
+def shingle_counts(texts: DataFrame, words: int) -> np.ndarray:
+    """How often the labelled shingles of all ``texts`` (node, text), about ``words``, fall in each slot (the first bits of a
+    shingle); larger counts are rounded. There is a slot for 4 shingles or fewer until the table has its largest size."""
+    bits = min(max(int(words // 4).bit_length(), SLOTS[0]), SLOTS[1])
+    parts = texts.coalesce(texts.sparkSession.sparkContext.defaultParallelism).mapInArrow(_counted(bits), "part int, counts binary")
+    table = np.zeros((1 << bits - PART, 1 << PART), np.uint8)
+    for row in parts.groupBy("part").applyInArrow(_summed, "part int, counts binary").collect():
+        table[row["part"]] = np.frombuffer(zlib.decompress(row["counts"]), np.uint8)
+    return table.ravel()
+
+
 def _prefixes(common):
-    """(node, text) to the text's rarest labelled shingles, by the sample's counts and then by hash: as many as a linked text
-    can't do without."""
+    """(node, text) to the text's rarest labelled shingles, by the counts of their slots and then by hash: as many as a linked
+    text can't do without."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        listed, count = common.value
-        for batch in batches:
-            for nodes, items in _items(iter([batch])):
-                out = []
-                for own in items:
-                    at = np.minimum(np.searchsorted(listed, own), max(len(listed) - 1, 0))
-                    seen = np.where(listed[at] == own, count[at], 0) if len(listed) else np.zeros(len(own), np.int64)
-                    order = np.lexsort((own, seen))
-                    out.append(own[order[: len(own) - int(np.ceil(SIMILARITY * len(own) - 1e-9)) + 1]])
-                size = np.array([len(x) for x in out], np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), list_array(size, pa.array(np.concatenate([*out, np.zeros(0, np.uint64)]).view(np.int64)))],
-                                                 ["node", "items"])
+        counts = common.value
+        shift = np.uint64(64 - (len(counts).bit_length() - 1))
+        for nodes, items in _items(batches):
+            out = [own[np.lexsort((own, counts[own >> shift]))[: len(own) - int(np.ceil(SIMILARITY * len(own) - 1e-9)) + 1]] for own in items]
+            size = np.array([len(x) for x in out], np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), list_array(size, pa.array(np.concatenate([*out, np.zeros(0, np.uint64)]).view(np.int64)))],
+                                             ["node", "items"])
 
     return run
 
@@ -283,7 +302,7 @@ def prefix_pairs(texts: DataFrame, known: DataFrame | None = None) -> DataFrame:
 
     Ordered in one way by rarity, two texts that share enough shingles share one early in both. So each shows only its
     rarest shingles, and a passage that many texts share, but none consists of, brings no two together. The order comes
-    from a sample of at most about ``SAMPLE`` shingles; which pairs are found doesn't depend on it. Shingles that only
+    from the counts of all shingles (``shingle_counts``); which links are found doesn't depend on it. Shingles that only
     one ``comp`` shows, as those within a group of copies, go before rows meet."""
     once = known is not None
     if known is None:
@@ -292,11 +311,7 @@ def prefix_pairs(texts: DataFrame, known: DataFrame | None = None) -> DataFrame:
         known = known.withColumn("waits", F.lit(True))
     words = known.agg(F.sum("n")).first()[0] or 0
     texts = texts.select("node", "text")
-    sample = texts.mapInArrow(_sampled(min(1.0, SAMPLE / max(words, 1))), "item long").groupBy("item").count().filter("count > 1")
-    rows = compact(sample, "common-shingles").toPandas()  # at most half the sample
-    listed = rows["item"].to_numpy(np.int64).view(np.uint64)
-    by = np.argsort(listed)
-    common = texts.sparkSession.sparkContext.broadcast((listed[by], rows["count"].to_numpy(np.int64)[by]))
+    common = texts.sparkSession.sparkContext.broadcast(shingle_counts(texts, words))
     lists = texts.mapInArrow(_prefixes(common), "node long, items array<long>").join(checked_broadcast(known, 40), "node")
     lists = compact(lists.select("node", "n", "comp", "waits", "items"), "prefixes")
     early = lists.select("node", "n", "comp", "waits", F.posexplode("items").alias("place", "item"))

@@ -170,6 +170,37 @@ def test_prefix_pairs_hold_every_link(spark):
     assert len(links) >= 40 and links <= found
 
 
+def few_share(n=60, each=6):
+    """Groups of texts that share two thirds of their words, too little to be linked."""
+    rows = [(g * each + i, " ".join([*(f"u{g}x{i}x{j}" for j in range(40)), *(f"p{g}x{j}" for j in range(80))])) for g in range(n) for i in range(each)]
+    return [(i, t, 116, i, True) for i, t in rows], "node long, text string, n int, comp long, waits boolean"
+
+
+def test_the_order_of_prefixes_counts_every_shingle(spark, monkeypatch):
+    """Passages that only a few texts share are known as such, however large the table: their texts don't meet."""
+    monkeypatch.setattr(nd, "SAMPLE", 500, raising=False)  # a sample would be this small a share of a large table
+    assert nd.prefix_pairs(spark.createDataFrame(*few_share())).count() <= 20
+
+
+def test_full_slots_lose_no_link(spark, monkeypatch):
+    monkeypatch.setattr(nd, "SLOTS", (1, 1))
+    monkeypatch.setattr(nd, "PART", 1)
+    rows, kind = few_share(8)
+    rows += [(1000 + i, t.replace(t.split()[3], "changed"), 116, 1000 + i, True) for i, t, *_ in rows]
+    found = {(x["node"], x["leader"]) for x in nd.prefix_pairs(spark.createDataFrame(rows, kind)).collect()}
+    assert {(i, 1000 + i) for i in range(48)} <= found
+
+
+def test_shingle_counts(spark):
+    texts = [" ".join(f"w{i % 7}x{j}" for j in range(30)) for i in range(300)] + ["one more", "", "c " * 400]
+    items = np.concatenate([nd.labelled(nd.shingles(nd.words_of(pa.array([t])).hash, nd.SHINGLE)) for t in texts])
+    want = np.bincount((items >> np.uint64(64 - nd.SLOTS[0])).astype(np.int64), minlength=1 << nd.SLOTS[0])
+    df = spark.createDataFrame(list(enumerate([*texts, None])), "node long, text string").repartition(3)
+    assert (nd.shingle_counts(df, len(items)) == want).all() and want.max() < 128
+    many = nd.shingle_counts(spark.createDataFrame([(i, "a b c d e") for i in range(600)], "node long, text string").repartition(4), 600)
+    assert np.count_nonzero(many) == 1 and many.max() == 128 + int(8 * np.log2(600 / 128))
+
+
 def test_links_without_a_common_entry_are_found(spark):
     """29 of 36 shingles, and no sketch entry in common: only the last round compares them."""
     rows = []
